@@ -82,3 +82,7 @@ PLANNED_KEY = ["EventId"]
 STATION_KEY = ["eva_number", "creation_timestamp"]
 CHANGED_KEY = ["EventId", "EventType", "IsUnplannedEvent"]
 MESSAGE_KEY = ["EventId", "EventType", "MessageId"]
+
+PAYLOAD = T.StructType(
+    [T.StructField("eva", _LONG), T.StructField("status", T.IntegerType()), T.StructField("body", _TEXT)]
+)

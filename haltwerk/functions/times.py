@@ -68,7 +68,8 @@ def batch_name(ts: Column | str) -> Column:
 def service_day(event_id: Column | str) -> Column:
     """Day part of an event id ``<trip>-<yyMMddHHmm>-<stop index>``; ``other`` if it has none.
 
-    The same id always gives the same day, so history tables can be laid out by it.
+    The same id always gives the same day, so history tables can be laid out by it. Only
+    real dates count, which bounds the number of days.
     """
-    stamp = F.regexp_extract(as_col(event_id), "-([0-9]{6})[0-9]{4}-[0-9]+$", 1)
-    return F.when(F.length(stamp) == 6, stamp).otherwise("other")
+    start = F.regexp_extract(as_col(event_id), "-([0-9]{10})-[0-9]+$", 1)
+    return F.when(packed_time(start).isNotNull(), F.substring(start, 1, 6)).otherwise("other")

@@ -3,7 +3,7 @@
 Every binding derives its rows one by one from a whole table: no row is left out, and no
 group is collected into one row. The same rules are stated in SQL in ``oracle.py``.
 
-Stop ids: four consecutive events describe one stop, ``<trip>-<yyMMddHHmm>-1``.
+Stop ids have the form ``<trip>-<yyMMddHHmm>-1``; several events describe one stop.
 """
 
 from __future__ import annotations
@@ -52,42 +52,56 @@ def _columns() -> tuple[Column, Column, Column, Column]:
     return tuple(F.col(c) for c in ("event_id", "event_type", "value", "ts"))
 
 
-def stop_id(event_id: Column) -> Column:
-    trip = event_id - event_id % 4
-    day = F.date_add(F.lit(date(2024, 1, 1)), (F.call_function("div", trip, F.lit(400)) % 365).cast("int"))
+def stop_id() -> Column:
+    """The events of one user fall on 24 stops, so a stop returns at scattered times."""
+    trip = F.col("user_id") * 24 + F.col("event_id") % 24
+    day = F.date_add(F.lit(date(2024, 1, 1)), (F.call_function("div", trip, F.lit(1000)) % 365).cast("int"))
     return F.concat(_text(trip), F.lit("-"), F.date_format(day, "yyMMdd"), F.lit("0000-1"))
 
 
 # planned stops ---------------------------------------------------------------------------
 
 
-def _planned_columns() -> dict[str, Column]:
+def _planned(ev: DataFrame) -> DataFrame:
+    """``user_id``, ``event_type``, ``value`` and the stop's own fields; scalars first, then structs."""
     _id, _type, _value, _ts = _columns()
     booked = F.concat_ws(" ", _type, _text(F.col("user_id")))
     line = F.when(_id % 8 == 0, None).when(_value < 20, booked).otherwise(_text(F.col("user_id")))
-    platform = _text(_id % 12 + 1)
-
-    def side(time: Column) -> Column:
-        return F.struct(
-            booked.alias("_fb"), line.alias("_l"), platform.alias("_pp"), _text(pack_time(time)).alias("_pt")
-        )
+    scalars = ev.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        stop_id().alias("stop"),
+        booked.alias("_fb"),
+        line.alias("_l"),
+        _text(_id % 12 + 1).alias("_pp"),
+        _text(pack_time(_ts)).alias("arrives"),
+        _text(pack_time(_plus_minutes(_ts, F.lit(5)))).alias("departs"),
+    )
 
-    own_id = F.when(_id % 4 == 0, stop_id(_id)).otherwise(F.concat(stop_id(_id), F.lit("."), _text(_id % 4)))
-    return {
-        "_id": own_id,
-        "tl": F.struct(_type.alias("_c")),
-        "ar": F.when(_type != "signup", side(_ts)),
-        "dp": F.when(_type != "error", side(_plus_minutes(_ts, F.lit(5)))),
-    }
+    def side(time: str) -> Column:
+        return F.struct("_fb", "_l", "_pp", F.col(time).alias("_pt"))
+
+    return scalars.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        F.col("stop").alias("_id"),
+        F.struct(_type.alias("_c")).alias("tl"),
+        F.when(_type != "signup", side("arrives")).alias("ar"),
+        F.when(_type != "error", side("departs")).alias("dp"),
+    )
 
 
 def planned_stops(ev: DataFrame) -> DataFrame:
-    """One raw planned stop per event (schema ``PLANNED_XML``); every fourth id meets changes."""
-    return ev.select(_text(F.col("user_id")).alias("_eva"), *(c.alias(n) for n, c in _planned_columns().items()))
+    """One raw planned stop per event (schema ``PLANNED_XML``)."""
+    return _planned(ev).select(_text(F.col("user_id")).alias("_eva"), "_id", "tl", "ar", "dp")
 
 
 def repeated_plan(planned: DataFrame) -> DataFrame:
-    """Every plan row twice; the second copy has no times on platform 1, else one minute more."""
+    """Every plan row twice; the second copy has no times on platform 1, else times one higher."""
     timeless = F.coalesce("Arrival_PlannedPlatform", "Departure_PlannedPlatform") == "1"
     again = planned.withColumns(
         {
@@ -101,58 +115,69 @@ def repeated_plan(planned: DataFrame) -> DataFrame:
 # changed stops ---------------------------------------------------------------------------
 
 
-def _messages(prefix: str, *wanted: Column) -> Column:
-    """List of up to ``len(wanted)`` messages; a condition decides on each."""
+def _changed(ev: DataFrame, prefix: str, as_text: bool) -> DataFrame:
     _id, _type, _value, _ts = _columns()
+    kind, click = _id % 4, _type == "click"
+    shift = F.floor(_value).cast("int") - 30
+
+    def packed(minutes: Column) -> Column:
+        return _text(pack_time(_plus_minutes(_ts, minutes)))
+
+    # Scalars once, then message lists, then the stop: no expression is repeated.
+    scalars = ev.select(
+        "event_id",
+        "event_type",
+        "value",
+        "ts",
+        _text(F.col("user_id")).alias("eva"),
+        stop_id().alias("stop"),
+        _text(pack_time(_ts)).alias("now"),
+        packed(F.lit(1)).alias("now_1"),
+        packed(F.lit(60)).alias("until"),
+        packed(F.lit(61)).alias("until_1"),
+        packed(shift).alias("ct_ar"),
+        packed(shift + 2).alias("ct_dp"),
+        F.concat(F.lit("L"), _text(F.col("user_id") % 50)).alias("line"),
+    )
 
     def message(k: int) -> Column:
-        sent = pack_time(_plus_minutes(_ts, F.lit(k)))
+        tail = "_1" if k else ""
         values = {
             "id": F.concat(F.lit("r"), _text((_id + k) % 3)),
             "t": F.substring(_type, 1, 1),
-            "ts": _text(sent),
+            "ts": F.col(f"now{tail}"),
             "cat": _type,
-            "from": _text(sent),
-            "to": _text(pack_time(_plus_minutes(_ts, F.lit(60 + k)))),
+            "from": F.col(f"now{tail}"),
+            "to": F.col(f"until{tail}"),
         }
         return F.struct(*(v.alias(prefix + n) for n, v in values.items()))
 
-    return F.array_compact(F.array(*(F.when(w, message(k)) for k, w in enumerate(wanted))))
-
-
-def _changed(ev: DataFrame, prefix: str, as_text: bool) -> DataFrame:
-    _id, _type, _value, _ts = _columns()
-    kind, click = _id % 4, _type == "click"
-    has_ar = (kind <= 1) | ((kind == 3) & (_value > 50))
-    has_dp = (kind == 0) | (kind == 2)
-
-    def lists(*wanted: Column) -> Column:
-        found = _messages(prefix, *wanted)
-        return F.to_json(found) if as_text else found
+    one, two = F.array(message(0)), F.array(message(0), message(1))
+    beside = F.when(click, two).when(_type != "view", one)
+    alone = F.when((kind == 3) | (_type == "purchase"), one)
+    lists = scalars.select(
+        "*", *((F.to_json(c) if as_text else c).alias(n) for n, c in (("beside", beside), ("alone", alone)))
+    )
 
-    def side(shift: int) -> Column:
-        moved = _plus_minutes(_ts, F.floor(_value).cast("int") - 30 + shift)
+    def side(time: str) -> Column:
         values = {
-            "clt": F.when(_type == "error", _text(pack_time(_ts))),
+            "clt": F.when(_type == "error", F.col("now")),
             "cp": F.when(click, _text(_id % 5)),
-            "ct": F.when(_type != "view", _text(pack_time(moved))),
-            "l": F.concat(F.lit("L"), _text(F.col("user_id") % 50)),
+            "ct": F.when(_type != "view", F.col(time)),
+            "l": F.col("line"),
             "cs": F.when(_type == "error", "c").when(_type == "signup", "a"),
         }
-        return F.struct(
-            *(v.alias(prefix + n) for n, v in values.items()),
-            F.when(_type != "view", lists(F.lit(True), click)).alias("m"),
-        )
+        return F.struct(*(v.alias(prefix + n) for n, v in values.items()), F.col("beside").alias("m"))
 
     shape = [
-        _text(F.col("user_id")).alias(f"{prefix}eva"),
-        stop_id(_id).alias(f"{prefix}id"),
-        F.when(has_ar, side(0)).alias("ar"),
-        F.when(has_dp, side(2)).alias("dp"),
-        F.when((kind == 3) | (_type == "purchase"), lists(F.lit(True))).alias("m"),
+        F.col("eva").alias(f"{prefix}eva"),
+        F.col("stop").alias(f"{prefix}id"),
+        F.when((kind <= 1) | ((kind == 3) & (_value > 50)), side("ct_ar")).alias("ar"),
+        F.when((kind == 0) | (kind == 2), side("ct_dp")).alias("dp"),
+        F.col("alone").alias("m"),
     ]
     stamp = [F.date_format(_ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("_collected_at")] if as_text else []
-    return ev.select(*shape, *stamp)
+    return lists.select(*shape, *stamp)
 
 
 def changed_stops_xml(ev: DataFrame) -> DataFrame:
@@ -173,15 +198,15 @@ def payloads(ev: DataFrame) -> DataFrame:
 
     ``error`` events failed; bodies of expensive clicks are cut off.
     """
-    _id, _type, _value, _ts = _columns()
-    stop = F.struct(*(c.alias(n) for n, c in _planned_columns().items()))
-    stops = F.array_repeat(stop, (_id % 4).cast("int"))
-    body = F.to_xml(F.struct(stops.alias("s")), {"rowTag": "timetable"})
-    cut = (_type == "click") & (_value > 100)
-    return ev.select(
+    stops = _planned(ev).select("*", F.struct("_id", "tl", "ar", "dp").alias("stop"))
+    body = F.to_xml(
+        F.struct(F.array_repeat("stop", (F.col("event_id") % 4).cast("int")).alias("s")), {"rowTag": "timetable"}
+    )
+    cut = (F.col("event_type") == "click") & (F.col("value") > 100)
+    return stops.select("user_id", "event_type", cut.alias("cut"), body.alias("body")).select(
         F.col("user_id").alias("eva"),
-        F.when(_type == "error", 503).otherwise(200).alias("status"),
-        F.when(cut, F.substring_index(body, ">", 1)).otherwise(body).alias("body"),
+        F.when(F.col("event_type") == "error", 503).otherwise(200).alias("status"),
+        F.when(F.col("cut"), F.substring_index("body", ">", 1)).otherwise(F.col("body")).alias("body"),
     )
 
 

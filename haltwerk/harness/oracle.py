@@ -19,14 +19,13 @@ def _unpack(packed: str) -> str:
 CTE: dict[str, str] = {}
 
 CTE["ids"] = """
-    SELECT *, event_id % 4 AS kind,
-           CAST(event_id - event_id % 4 AS VARCHAR) || '-' ||
-           strftime(DATE '2024-01-01' + CAST(((event_id - event_id % 4) // 400) % 365 AS INTEGER), '%y%m%d') ||
+    SELECT *, event_id % 4 AS kind, CAST(user_id * 24 + event_id % 24 AS VARCHAR) || '-' ||
+           strftime(DATE '2024-01-01' + CAST(((user_id * 24 + event_id % 24) // 1000) % 365 AS INTEGER), '%y%m%d') ||
            '0000-1' AS sid
     FROM events"""
 
 CTE["plan_raw"] = f"""
-    SELECT CAST(user_id AS VARCHAR) AS eva, CASE WHEN kind = 0 THEN sid ELSE sid || '.' || kind END AS id,
+    SELECT CAST(user_id AS VARCHAR) AS eva, sid AS id, user_id, event_id, kind, event_type, value,
            event_type AS ttype, event_type || ' ' || user_id AS fb,
            CASE WHEN event_id % 8 = 0 THEN NULL WHEN value < 20 THEN event_type || ' ' || user_id
                 ELSE CAST(user_id AS VARCHAR) END AS l,
@@ -83,6 +82,12 @@ def _first_plan(relation: str) -> str:
 
 
 CTE["plan_first"] = _first_plan("plan")
+CTE["plan_1"] = f"SELECT * EXCLUDE (ts) FROM plan_ts WHERE ts < {_CUT}"
+CTE["plan_99"] = """
+    SELECT * REPLACE (CASE WHEN Arrival_PlannedPlatform IS NOT NULL THEN '99' END AS Arrival_PlannedPlatform,
+                      CASE WHEN Departure_PlannedPlatform IS NOT NULL THEN '99' END AS Departure_PlannedPlatform)
+    FROM plan"""
+CTE["first_1"], CTE["first_99"] = _first_plan("plan_1"), _first_plan("plan_99")
 
 CTE["stops"] = f"""
     SELECT *, (kind <= 1 OR (kind = 3 AND value > 50)) AS has_ar, (kind = 0 OR kind = 2) AS has_dp,
@@ -247,7 +252,8 @@ CTE["history"] = _upsert("latest_1", "latest_2", _CHANGE_KEY, _CHANGE_COLS)
 # What each relation is built from, in the order in which they can be stated.
 _NEEDS = {
     "ids": "", "plan_raw": "ids", "plan_ts": "plan_raw", "plan": "plan_ts", "plan_late": "plan", "plan_twice": "plan",
-    "plan_first": "plan", "planned_long": "plan_first", "stops": "ids", "changes": "stops", "changes_1": "stops",
+    "plan_first": "plan", "plan_1": "plan_ts", "plan_99": "plan", "first_1": "plan_1", "first_99": "plan_99",
+    "planned_long": "plan_first", "stops": "ids", "changes": "stops", "changes_1": "stops",
     "changes_2": "stops", "full_changes_1": "stops", "full_changes_2": "stops", "messages": "stops",
     "messages_1": "stops", "messages_2": "stops", "full_messages_1": "stops", "full_messages_2": "stops",
     "latest": "changes", "latest_1": "changes_1", "latest_2": "changes_2", "full_latest_1": "full_changes_1",
@@ -278,11 +284,9 @@ _YIELD = """
     FROM events GROUP BY user_id"""
 
 _RECORDS = """
-    SELECT user_id AS request_key, CAST(user_id AS VARCHAR) AS eva, id, ttype, ar_pt, dp_pt FROM (
-        SELECT i.user_id, i.event_id, p.id, p.ttype, CASE WHEN has_ar THEN CAST(arr AS VARCHAR) END AS ar_pt,
-               CASE WHEN has_dp THEN CAST(dep AS VARCHAR) END AS dp_pt, i.kind, i.event_type, i.value
-        FROM ids i JOIN plan_raw p ON p.id = CASE WHEN i.kind = 0 THEN i.sid ELSE i.sid || '.' || i.kind END),
-        (VALUES (1), (2), (3)) AS copies(n)
+    SELECT user_id AS request_key, eva, id, ttype, CASE WHEN has_ar THEN CAST(arr AS VARCHAR) END AS ar_pt,
+           CASE WHEN has_dp THEN CAST(dep AS VARCHAR) END AS dp_pt
+    FROM plan_raw, (VALUES (1), (2), (3)) AS copies(n)
     WHERE n <= kind AND event_type <> 'error' AND NOT (event_type = 'click' AND value > 100)"""
 
 _KPI_CANCEL = """
@@ -303,13 +307,9 @@ _INSERT_ONLY = f"""
     SELECT {', '.join(_PLAN_COLS)} FROM plan_late l
     WHERE NOT EXISTS (SELECT 1 FROM plan_ts t WHERE t.{_BEFORE} AND t.EventId = l.EventId)"""
 
-_LOAD_PLANNED = f"""
-    SELECT {', '.join(_PLAN_COLS)} FROM plan_ts WHERE {_BEFORE} UNION ALL
-    SELECT {', '.join(_PLAN_COLS)} FROM (
-        SELECT * REPLACE (CASE WHEN Arrival_PlannedPlatform IS NOT NULL THEN '99' END AS Arrival_PlannedPlatform,
-                          CASE WHEN Departure_PlannedPlatform IS NOT NULL THEN '99' END AS Departure_PlannedPlatform)
-        FROM plan_ts) l
-    WHERE NOT EXISTS (SELECT 1 FROM plan_ts t WHERE t.{_BEFORE} AND t.EventId = l.EventId)"""
+_LOAD_PLANNED = """
+    SELECT * FROM first_1 UNION ALL
+    SELECT * FROM first_99 l WHERE NOT EXISTS (SELECT 1 FROM first_1 t WHERE t.EventId = l.EventId)"""
 
 _ORDERS = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
 
@@ -370,6 +370,7 @@ def oracle_sql() -> dict[str, str]:
         "added_baseline": _with("latest", _added("latest")),
         "delay_fact": _with("delay", "SELECT * FROM delay"),
         "delay_fact_history": _with("planned_long history", _delay("history")),
+        "delay_fact_stored": _with("planned_long history", _delay("history")),
         "kpi_cancellation": _with("delay", _KPI_CANCEL),
         "kpi_ontime_type": _with("delay", _kpi_ontime("TrainType")),
         "kpi_ontime_station": _with("delay old", f"""
@@ -377,7 +378,7 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN (SELECT * FROM old WHERE ValidFrom <= DATE '2024-03-01' AND ValidTo > DATE '2024-03-01') s
               ON CAST(s.eva_number AS VARCHAR) = k.EVA_Number"""),
         "load_stations": _with("old_open new", _interval("old_open")),
-        "load_planned": _with("plan_ts", _LOAD_PLANNED),
+        "load_planned": _with("first_1 first_99", _LOAD_PLANNED),
         "load_full_changes": full_changes,
         "load_recent_changes": recent_changes,
         "load_full_messages": full_messages,

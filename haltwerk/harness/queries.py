@@ -48,7 +48,16 @@ from ..plans import (
     recent_message_rows,
 )
 from ..session import work_dir
-from ..sinks import create_if_absent, current_snapshot, guarded_publish, publish, read_appended, read_history, read_whole
+from ..sinks import (
+    create_if_absent,
+    current_snapshot,
+    guarded_publish,
+    publish,
+    read_active,
+    read_appended,
+    read_history,
+    read_whole,
+)
 from ..sources import (
     parse_record,
     payload_yield,
@@ -318,6 +327,17 @@ def delay_table_history(spark: SparkSession, sf: str) -> DataFrame:
     return delay_fact(planned_rows(B.planned_stops(B.events(spark, sf))), _event_history(spark, sf))
 
 
+def delay_table_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Plan and changes loaded into their tables, then joined from there."""
+    base, ev = work_dir(spark, "curated"), B.events(spark, sf)
+    load_planned(B.planned_stops(ev), f"{base}/planned")
+    for n, part in enumerate((B.first_batch(ev), B.second_batch(ev))):
+        load_recent_changes(_jsonl(spark, B.changed_stops_json(part)), f"{base}/changes", f"recent-{n}")
+    return delay_fact(
+        read_appended(spark, f"{base}/planned", S.FACT_PLANNED), read_active(spark, f"{base}/changes", S.FACT_CHANGED)
+    )
+
+
 def cancellation(spark: SparkSession, sf: str) -> DataFrame:
     return kpi_cancellation(delay_table(spark, sf), ["TrainType"])
 
@@ -472,6 +492,7 @@ def queries() -> dict[str, Query]:
         "added_baseline": added_baseline,
         "delay_fact": delay_table,
         "delay_fact_history": delay_table_history,
+        "delay_fact_stored": delay_table_stored,
         "kpi_cancellation": cancellation,
         "kpi_ontime_type": ontime_type,
         "kpi_ontime_station": ontime_station,

@@ -5,6 +5,7 @@ from .snapshots import (
     current_snapshot,
     guarded_publish,
     publish,
+    read_active,
     read_appended,
     read_history,
     read_whole,
@@ -13,5 +14,5 @@ from .snapshots import (
 
 __all__ = [
     "append_new", "batch_committed", "create_if_absent", "current_snapshot", "guarded_publish", "publish",
-    "read_appended", "read_history", "read_whole", "upsert_history",
+    "read_active", "read_appended", "read_history", "read_whole", "upsert_history",
 ]

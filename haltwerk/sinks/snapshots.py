@@ -11,13 +11,17 @@ Three ways to read a table at snapshot ``n``:
 - whole: each snapshot is a full copy (dimension);
 - appended: all snapshots up to ``n`` together (insert-only fact);
 - flag history: inactive rows of all snapshots up to ``n``, and for every day part the
-  active rows of the last snapshot that rewrote this part. A batch rewrites only the
-  active rows of the day parts it touches; history is never rewritten.
+  active rows of the last snapshot that rewrote this part. A batch reads and rewrites
+  only the active rows of the day parts it touches; history is never read or rewritten.
+
+The commit log is reduced in Spark to one entry per day part before it reaches the driver:
+two-digit years allow 36,525 days, so that is its bound.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +33,7 @@ from ..operators.merge import flag_changes, new_rows
 
 _ID = T.StructField("snapshot_id", T.LongType())
 _PART = T.StructField("part", T.StringType())
+_NO_PART = "none"  # entry of a snapshot that is not laid out by day
 _COMMIT = T.StructType([_ID, T.StructField("batch", T.StringType()), _PART])
 
 
@@ -45,36 +50,42 @@ def _commits(spark: SparkSession, path: str) -> DataFrame:
     return _read_or_empty(spark, f"{path}/commits", _COMMIT, "json")
 
 
-def _state(spark: SparkSession, path: str, batch: str | None = None) -> tuple[int | None, bool]:
-    """(newest committed snapshot, whether the batch is committed), in one small job."""
+class _Log(NamedTuple):
+    newest: dict[str, int]  # day part -> last snapshot that wrote it
+    done: bool  # the batch asked for is committed
+
+    @property
+    def current(self) -> int | None:
+        return max(self.newest.values(), default=None)
+
+
+def _log(spark: SparkSession, path: str, batch: str | None = None, upto: int | None = None) -> _Log:
+    entries = _commits(spark, path)
+    if upto is not None:
+        entries = entries.where(F.col("snapshot_id") <= upto)
     seen = F.max(F.col("batch") == F.lit(batch)) if batch is not None else F.lit(False)
-    row = _commits(spark, path).agg(F.max("snapshot_id").alias("newest"), seen.alias("seen")).first()
-    return row["newest"], bool(row["seen"])
+    rows = entries.groupBy("part").agg(F.max("snapshot_id").alias("newest"), seen.alias("seen")).collect()
+    return _Log({r["part"]: r["newest"] for r in rows}, any(r["seen"] for r in rows))
 
 
 def current_snapshot(spark: SparkSession, path: str) -> int | None:
     """Number of the newest committed snapshot, or None."""
-    return _state(spark, path)[0]
+    return _log(spark, path).current
 
 
 def batch_committed(spark: SparkSession, path: str, batch: str) -> bool:
-    return _state(spark, path, batch)[1]
+    return _log(spark, path, batch).done
 
 
 def _after(snapshot: int | None) -> int:
     return 0 if snapshot is None else snapshot + 1
 
 
-def _commit(parts: DataFrame, path: str, snapshot_id: int, batch: str | None) -> None:
-    record = parts.select(
-        F.lit(snapshot_id).cast("long").alias("snapshot_id"), F.lit(batch).cast("string").alias("batch"), "part"
-    )
-    # One row per rewritten day part: bounded, and one file makes the commit atomic.
-    record.coalesce(1).write.mode("append").json(f"{path}/commits")
-
-
-def _commit_whole(spark: SparkSession, path: str, snapshot_id: int, batch: str | None) -> None:
-    _commit(spark.range(1).select(F.lit("all").alias("part")), path, snapshot_id, batch)
+def _commit(
+    spark: SparkSession, path: str, snapshot_id: int, batch: str | None = None, parts: Sequence[str] = (_NO_PART,)
+) -> None:
+    record = spark.createDataFrame([(snapshot_id, batch, part) for part in parts], _COMMIT)
+    record.coalesce(1).write.mode("append").json(f"{path}/commits")  # one file: all or nothing
 
 
 def _data(spark: SparkSession, path: str, schema: T.StructType, extra: Sequence[T.StructField] = ()) -> DataFrame:
@@ -104,7 +115,7 @@ def publish(
         value = spark.read.schema(df.schema).parquet(target).agg(check.alias("v")).first()["v"]
         if value is None or value < min_value:
             return False
-    _commit_whole(spark, path, n, batch)
+    _commit(spark, path, n, batch)
     return True
 
 
@@ -128,13 +139,13 @@ def guarded_publish(candidate: DataFrame, previous: DataFrame, check: Column, mi
 def append_new(source: DataFrame, path: str, keys: Sequence[str], batch: str | None = None) -> bool:
     """Insert-only merge into a stored table: only unknown rows are written."""
     spark = source.sparkSession
-    current, done = _state(spark, path, batch)
-    if done:
+    log = _log(spark, path, batch)
+    if log.done:
         return False
-    rows = new_rows(_appended(spark, path, source.schema, current), source, keys)
-    n = _after(current)
+    rows = new_rows(_appended(spark, path, source.schema, log.current), source, keys)
+    n = _after(log.current)
     rows.write.mode("overwrite").parquet(f"{path}/data/snapshot_id={n}")
-    _commit_whole(spark, path, n, batch)
+    _commit(spark, path, n, batch)
     return True
 
 
@@ -151,28 +162,37 @@ def _appended(spark: SparkSession, path: str, schema: T.StructType, snapshot: in
 # flag history ------------------------------------------------------------------------------
 
 
-def _history_rows(spark: SparkSession, path: str, schema: T.StructType, flag: str, snapshot: int):
-    """(active rows with their day part, inactive rows) at ``snapshot``."""
-    fields = T.StructType([f for f in schema.fields if f.name != flag])
-    data = _data(spark, path, fields, [_PART, schema[flag]])
-    # The newest snapshot of every day part: a few thousand small rows, and the join on
-    # two partition columns prunes folders.
-    newest = _commits(spark, path).where(F.col("snapshot_id") <= snapshot).groupBy("part").agg(
-        F.max("snapshot_id").alias("snapshot_id")
-    )
-    active = data.where(F.col(flag)).join(newest, ["snapshot_id", "part"], "left_semi")
-    inactive = data.where(~F.col(flag) & (F.col("snapshot_id") <= snapshot))
-    return active, inactive
+def _active_rows(
+    spark: SparkSession, path: str, schema: T.StructType, flag: str, newest: dict[str, int]
+) -> DataFrame:
+    """Active rows of the given day parts, with their part; lists only their folders."""
+    fields = [f for f in schema.fields if f.name != flag]
+    full = T.StructType([*fields, _ID, _PART, schema[flag]])
+    folders = [f"{path}/data/snapshot_id={n}/part={p}/{flag}=true" for p, n in newest.items() if p != _NO_PART]
+    if not folders:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", f"{path}/data").parquet(*folders)
+
+
+def read_active(
+    spark: SparkSession, path: str, schema: T.StructType, flag: str = "IsActive", snapshot: int | None = None
+) -> DataFrame:
+    """The active rows of a flag history; inactive folders are not even listed."""
+    newest = _log(spark, path, upto=snapshot).newest
+    return _active_rows(spark, path, schema, flag, newest).select(*schema.names)
 
 
 def read_history(
     spark: SparkSession, path: str, schema: T.StructType, flag: str = "IsActive", snapshot: int | None = None
 ) -> DataFrame:
     """A flag history table at ``snapshot`` (default: newest)."""
-    n = current_snapshot(spark, path) if snapshot is None else snapshot
-    if n is None:
+    log = _log(spark, path, upto=snapshot)
+    if log.current is None:
         return spark.createDataFrame([], schema)
-    active, inactive = _history_rows(spark, path, schema, flag, n)
+    active = _active_rows(spark, path, schema, flag, log.newest)
+    fields = T.StructType([f for f in schema.fields if f.name != flag])
+    stored = _data(spark, path, fields, [_PART, schema[flag]])
+    inactive = stored.where(~F.col(flag) & (F.col("snapshot_id") <= log.current))
     return active.unionByName(inactive).select(*schema.names)
 
 
@@ -188,24 +208,24 @@ def upsert_history(
     """Flag upsert of a batch (one row per key) into a stored history, as one commit.
 
     Cost follows the batch and the day parts it touches, not the table. A batch name that
-    was committed before is skipped, so a replay changes nothing.
+    was committed before is skipped, so a replay changes nothing. ``part`` must depend on
+    the key only and take a bounded number of values.
     """
     spark = source.sparkSession
-    current, done = _state(spark, path, batch)
-    if done:
+    log = _log(spark, path, batch)
+    if log.done:
         return False
     rows = source.withColumn("part", part("EventId")).persist()
     try:
-        touched = rows.select("part").distinct()
-        if current is None:
-            changes = rows
-        else:
-            active, _ = _history_rows(spark, path, source.schema, flag, current)
-            active = active.join(touched, "part", "left_semi").select(*rows.columns)
+        touched = [r["part"] for r in rows.select("part").distinct().collect()]  # days of one batch
+        known = {p: log.newest[p] for p in touched if p in log.newest}
+        changes = rows
+        if known:
+            active = _active_rows(spark, path, source.schema, flag, known).select(*rows.columns)
             changes = flag_changes(active, rows, keys, flag, guard_late)
-        n = _after(current)
+        n = _after(log.current)
         _write_history(changes, f"{path}/data/snapshot_id={n}", flag)
-        _commit(touched, path, n, batch)
+        _commit(spark, path, n, batch, touched or [_NO_PART])
     finally:
         rows.unpersist()
     return True
@@ -227,5 +247,5 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType, histo
         return False
     if not history:  # a history has no folder before its first day part
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/data/snapshot_id=0")
-    _commit_whole(spark, path, 0, None)
+    _commit(spark, path, 0)
     return True

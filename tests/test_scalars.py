@@ -101,5 +101,5 @@ def test_unplanned(spark):
 
 
 def test_service_day(spark):
-    ids = ["837-2607110541-100", "-837818-0007110541-1", "12", None]
-    assert [one(spark, service_day(F.lit(i).cast("string"))) for i in ids] == ["260711", "000711", "other", "other"]
+    ids = ["837-2607110541-100", "-837818-0007110541-1", "837-2613110541-1", "12", None]
+    assert [one(spark, service_day(F.lit(i).cast("string"))) for i in ids] == ["260711", "000711", "other", "other", "other"]

@@ -247,6 +247,7 @@ CTE["latest_1"], CTE["latest_2"] = _latest_changes("changes_1"), _latest_changes
 CTE["full_latest_1"], CTE["full_latest_2"] = _latest_changes("full_changes_1"), _latest_changes("full_changes_2")
 CTE["latest_msg_1"], CTE["latest_msg_2"] = _latest_messages("messages_1"), _latest_messages("messages_2")
 CTE["full_msg_1"], CTE["full_msg_2"] = _latest_messages("full_messages_1"), _latest_messages("full_messages_2")
+CTE["latest_msg"] = _latest_messages("messages")
 CTE["history"] = _upsert("latest_1", "latest_2", _CHANGE_KEY, _CHANGE_COLS)
 
 # What each relation is built from, in the order in which they can be stated.
@@ -257,7 +258,7 @@ _NEEDS = {
     "changes_2": "stops", "full_changes_1": "stops", "full_changes_2": "stops", "messages": "stops",
     "messages_1": "stops", "messages_2": "stops", "full_messages_1": "stops", "full_messages_2": "stops",
     "latest": "changes", "latest_1": "changes_1", "latest_2": "changes_2", "full_latest_1": "full_changes_1",
-    "full_latest_2": "full_changes_2", "latest_msg_1": "messages_1", "latest_msg_2": "messages_2",
+    "full_latest_2": "full_changes_2", "latest_msg": "messages", "latest_msg_1": "messages_1", "latest_msg_2": "messages_2",
     "full_msg_1": "full_messages_1", "full_msg_2": "full_messages_2", "history": "latest_1 latest_2",
     "delay": "planned_long latest", "old_open": "", "old": "old_open", "new": "", "hbf": "old",
 }
@@ -383,6 +384,18 @@ def oracle_sql() -> dict[str, str]:
         "load_recent_changes": recent_changes,
         "load_full_messages": full_messages,
         "load_recent_messages": recent_messages,
+        "raw_archive": _with("stops", f"""
+            SELECT CASE WHEN {_BEFORE} THEN '20240120_000000' ELSE '20240131_000000' END AS batch_id,
+                   CAST(user_id AS VARCHAR) AS eva, sid AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS collected_at
+            FROM stops"""),
+        "sql_views": _with("delay old_open latest_msg", """
+            SELECT v.EventType, count(*) AS n_events, count(*) FILTER (WHERE v.IsCancelled) AS n_cancelled,
+                   count(s.eva_number) AS n_main, CAST(sum(coalesce(m.n, 0)) AS BIGINT) AS n_messages
+            FROM delay v
+            LEFT JOIN old_open s ON CAST(s.eva_number AS VARCHAR) = v.EVA_Number AND s.station_name LIKE '%Hbf'
+            LEFT JOIN (SELECT EventId, EventType, count(*) AS n FROM latest_msg GROUP BY ALL) m
+              ON m.EventId = v.EventId AND m.EventType = v.EventType
+            GROUP BY v.EventType"""),
         "stream_ingest": _with("stops", """
             SELECT CAST(user_id AS VARCHAR) AS eva, sid AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS collected_at,
                    CASE WHEN has_ar THEN CAST(ct AS VARCHAR) END AS ar_ct,

@@ -46,6 +46,7 @@ from ..plans import (
     planned_rows,
     recent_change_rows,
     recent_message_rows,
+    register_views,
 )
 from ..session import work_dir
 from ..sinks import (
@@ -59,6 +60,7 @@ from ..sinks import (
     read_whole,
 )
 from ..sources import (
+    archive_raw,
     parse_record,
     payload_yield,
     read_records_json,
@@ -353,10 +355,11 @@ def ontime_station(spark: SparkSession, sf: str) -> DataFrame:
 # loads -----------------------------------------------------------------------------------------
 
 
-def _xml(spark: SparkSession, df: DataFrame, schema, tag: str, root: str = "timetable") -> DataFrame:
+def _xml(spark: SparkSession, df: DataFrame, schema, tag: str = "s", root: str = "timetable") -> DataFrame:
+    """Written as wrapper documents and read back; stop documents by splits."""
     path = work_dir(spark, "raw")
     write_records_xml(df, path, tag, root)
-    return read_records_xml(spark, path, schema, tag)
+    return read_records_xml(spark, path, schema, tag, root if tag == "s" else None)
 
 
 def _jsonl(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -375,25 +378,26 @@ def stations(spark: SparkSession, sf: str) -> DataFrame:
 
 def planned(spark: SparkSession, sf: str) -> DataFrame:
     path, ev = work_dir(spark, "planned"), B.events(spark, sf)
+    create_if_absent(spark, path, S.FACT_PLANNED, by_day=True)
     again = B.planned_stops(ev)
     for side in ("ar", "dp"):
         again = again.withColumn(side, F.when(F.col(side).isNotNull(), F.col(side).withField("_pp", F.lit("99"))))
     for n, stops in enumerate((B.planned_stops(B.first_batch(ev)), again)):
-        load_planned(_xml(spark, stops, S.PLANNED_XML, "s"), path, f"load-{n}")
+        load_planned(_xml(spark, stops, S.PLANNED_XML), path, f"load-{n}")
     return read_appended(spark, path, S.FACT_PLANNED)
 
 
 def _full(spark: SparkSession, sf: str, load: Callable, schema) -> DataFrame:
     path, ev = work_dir(spark, "full"), B.events(spark, sf)
-    create_if_absent(spark, path, schema, history=True)
+    create_if_absent(spark, path, schema, by_day=True)
     for stamp, part in ((B.FULL_TS_1, B.first_batch(ev)), (B.FULL_TS_2, B.second_batch(ev))):
-        load(_xml(spark, B.changed_stops_xml(part), S.CHANGED_XML, "s"), path, stamp, f"full-{stamp}")
+        load(_xml(spark, B.changed_stops_xml(part), S.CHANGED_XML), path, stamp, f"full-{stamp}")
     return _zone_free(read_history(spark, path, schema))
 
 
 def _recent(spark: SparkSession, sf: str, load: Callable, schema) -> DataFrame:
     path, ev = work_dir(spark, "recent"), B.events(spark, sf)
-    create_if_absent(spark, path, schema, history=True)
+    create_if_absent(spark, path, schema, by_day=True)
     for n, part in enumerate((B.first_batch(ev), B.second_batch(ev))):
         load(_jsonl(spark, B.changed_stops_json(part)), path, f"recent-{n}")
     return _zone_free(read_history(spark, path, schema))
@@ -415,6 +419,37 @@ def recent_messages(spark: SparkSession, sf: str) -> DataFrame:
     return _recent(spark, sf, load_recent_messages, S.FACT_MESSAGES)
 
 
+def raw_archive(spark: SparkSession, sf: str) -> DataFrame:
+    """Both raw batches kept under their names; the first is archived twice."""
+    path, ev = work_dir(spark, "archive"), B.events(spark, sf)
+    first, second = B.changed_stops_json(B.first_batch(ev)), B.changed_stops_json(B.second_batch(ev))
+    for raw, stamp in ((first, B.FULL_TS_1), (second, B.FULL_TS_2), (first, B.FULL_TS_1)):
+        archive_raw(raw, path, stamp)
+    return spark.read.parquet(path).select("batch_id", "eva", "id", F.col("_collected_at").alias("collected_at"))
+
+
+def sql_views(spark: SparkSession, sf: str) -> DataFrame:
+    """All tables loaded, registered as views and queried in SQL."""
+    base, ev, customers = work_dir(spark, "views"), B.events(spark, sf), B.table(spark, sf, "customer")
+    load_stations(B.stations_xml(customers), f"{base}/stations", B.OLD_FROM, min_main_stations=1)
+    load_planned(B.planned_stops(ev), f"{base}/planned")
+    stops = B.changed_stops_json(ev)
+    load_recent_changes(stops, f"{base}/changed")
+    load_recent_messages(stops, f"{base}/messages")
+    register_views(spark, f"{base}/stations", f"{base}/planned", f"{base}/changed", f"{base}/messages")
+    return spark.sql(
+        """
+        SELECT v.EventType, count(*) AS n_events, count_if(v.IsCancelled) AS n_cancelled,
+               count(s.eva_number) AS n_main, sum(coalesce(m.n, 0)) AS n_messages
+        FROM v_traindelayfact v
+        LEFT JOIN dim_stations s ON CAST(s.eva_number AS STRING) = v.EVA_Number AND s.station_name LIKE '%Hbf'
+        LEFT JOIN (SELECT EventId, EventType, count(*) AS n FROM fact_messages WHERE IsActive GROUP BY ALL) m
+          ON m.EventId = v.EventId AND m.EventType = v.EventType
+        GROUP BY v.EventType
+        """
+    )
+
+
 # streaming -----------------------------------------------------------------------------------------
 
 
@@ -502,6 +537,8 @@ def queries() -> dict[str, Query]:
         "load_recent_changes": recent_changes,
         "load_full_messages": full_messages,
         "load_recent_messages": recent_messages,
+        "raw_archive": raw_archive,
+        "sql_views": sql_views,
         "stream_ingest": stream_ingest,
         "stream_scd2_events": stream_events,
         "stream_scd2_messages": stream_messages,

@@ -9,7 +9,7 @@ One writer per table.
 Three ways to read a table at snapshot ``n``:
 
 - whole: each snapshot is a full copy (dimension);
-- appended: all snapshots up to ``n`` together (insert-only fact);
+- appended: all snapshots up to ``n`` together, laid out by day part (insert-only fact);
 - flag history: inactive rows of all snapshots up to ``n``, and for every day part the
   active rows of the last snapshot that rewrote this part. A batch reads and rewrites
   only the active rows of the day parts it touches; history is never read or rewritten.
@@ -136,27 +136,47 @@ def guarded_publish(candidate: DataFrame, previous: DataFrame, check: Column, mi
 # appended snapshots ----------------------------------------------------------------------
 
 
-def append_new(source: DataFrame, path: str, keys: Sequence[str], batch: str | None = None) -> bool:
-    """Insert-only merge into a stored table: only unknown rows are written."""
+def _days_of(rows: DataFrame) -> list[str]:
+    """Day parts of one batch; bounded by the number of days."""
+    return [r["part"] for r in rows.select("part").distinct().collect()]
+
+
+def append_new(
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    batch: str | None = None,
+    part: Callable[[str], Column] = service_day,
+) -> bool:
+    """Insert-only merge into a stored table: only unknown rows are written.
+
+    Known keys are looked up in the day parts of the batch only.
+    """
     spark = source.sparkSession
     log = _log(spark, path, batch)
     if log.done:
         return False
-    rows = new_rows(_appended(spark, path, source.schema, log.current), source, keys)
-    n = _after(log.current)
-    rows.write.mode("overwrite").parquet(f"{path}/data/snapshot_id={n}")
-    _commit(spark, path, n, batch)
+    rows = source.withColumn("part", part("EventId")).persist()
+    try:
+        touched = _days_of(rows)
+        known = _appended(spark, path, source.schema, log.current).where(F.col("part").isin(touched))
+        n = _after(log.current)
+        _write_parts(new_rows(known, rows, keys), f"{path}/data/snapshot_id={n}", "part")
+        _commit(spark, path, n, batch)
+    finally:
+        rows.unpersist()
     return True
 
 
 def read_appended(spark: SparkSession, path: str, schema: T.StructType, snapshot: int | None = None) -> DataFrame:
-    return _appended(spark, path, schema, current_snapshot(spark, path) if snapshot is None else snapshot)
+    current = _log(spark, path, upto=snapshot).current
+    return _appended(spark, path, schema, current).select(*schema.names)
 
 
 def _appended(spark: SparkSession, path: str, schema: T.StructType, snapshot: int | None) -> DataFrame:
     if snapshot is None:
-        return spark.createDataFrame([], schema)
-    return _data(spark, path, schema).where(F.col("snapshot_id") <= snapshot).drop("snapshot_id")
+        return spark.createDataFrame([], T.StructType([*schema.fields, _ID, _PART]))
+    return _data(spark, path, schema, [_PART]).where(F.col("snapshot_id") <= snapshot)
 
 
 # flag history ------------------------------------------------------------------------------
@@ -217,35 +237,35 @@ def upsert_history(
         return False
     rows = source.withColumn("part", part("EventId")).persist()
     try:
-        touched = [r["part"] for r in rows.select("part").distinct().collect()]  # days of one batch
+        touched = _days_of(rows)
         known = {p: log.newest[p] for p in touched if p in log.newest}
         changes = rows
         if known:
             active = _active_rows(spark, path, source.schema, flag, known).select(*rows.columns)
             changes = flag_changes(active, rows, keys, flag, guard_late)
         n = _after(log.current)
-        _write_history(changes, f"{path}/data/snapshot_id={n}", flag)
+        _write_parts(changes, f"{path}/data/snapshot_id={n}", "part", flag)
         _commit(spark, path, n, batch, touched or [_NO_PART])
     finally:
         rows.unpersist()
     return True
 
 
-def _write_history(changes: DataFrame, target: str, flag: str) -> None:
-    if changes.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+def _write_parts(rows: DataFrame, target: str, *columns: str) -> None:
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         # Right-sized files: small parts share a task, a big part is split into many.
-        changes = changes.hint("rebalance", "part", flag)
-    changes.write.partitionBy("part", flag).mode("overwrite").parquet(target)
+        rows = rows.hint("rebalance", *columns)
+    rows.write.partitionBy(*columns).mode("overwrite").parquet(target)
 
 
 # bootstrap -----------------------------------------------------------------------------------
 
 
-def create_if_absent(spark: SparkSession, path: str, schema: T.StructType, history: bool = False) -> bool:
+def create_if_absent(spark: SparkSession, path: str, schema: T.StructType, by_day: bool = False) -> bool:
     """An empty table, unless the path already holds one."""
     if current_snapshot(spark, path) is not None:
         return False
-    if not history:  # a history has no folder before its first day part
+    if not by_day:  # a table laid out by day has no folder before its first day
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/data/snapshot_id=0")
     _commit(spark, path, 0)
     return True

@@ -7,13 +7,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_records_xml(spark: SparkSession, path: str, schema: T.StructType, row_tag: str) -> DataFrame:
+_CORRUPT = "_corrupt_record"
+
+
+def read_records_xml(
+    spark: SparkSession, path: str, schema: T.StructType, row_tag: str, root_tag: str | None = None
+) -> DataFrame:
     """One row per ``row_tag`` element of all files below ``path``.
 
-    The reader streams through a file but does not split it, so parallelism comes from
-    the number of files; ``write_records_xml`` bounds the records per file for this.
+    Without ``root_tag`` Spark's XML reader is used; it streams through a file but does not
+    split it, so parallelism comes from the number of files. With ``root_tag``, the
+    wrapper's element, files are read as text cut at the closing tags, which Spark does
+    split: one huge wrapper document is then read by many tasks. Use it for UTF-8 files
+    whose records are not all self-closing. A record that cannot be parsed gives one row
+    of NULLs either way.
     """
-    return spark.read.schema(schema).format("xml").option("rowTag", row_tag).load(path)
+    if root_tag is None:
+        return spark.read.schema(schema).format("xml").option("rowTag", row_tag).load(path)
+
+    document = T.StructType([T.StructField(row_tag, T.ArrayType(schema)), T.StructField(_CORRUPT, T.StringType())])
+
+    def parsed(*closing: str) -> Column:
+        parts = [F.lit("<r>"), F.col("body"), *(F.lit(c) for c in closing), F.lit("</r>")]
+        return F.from_xml(F.concat(*parts), document.simpleString())
+
+    def broken(doc: str) -> Column:
+        return F.col(f"{doc}.{_CORRUPT}").isNotNull()
+
+    # A piece holds any number of self-closing records and then one open record; only the
+    # last piece of a file has no open one.
+    wrapper = rf"<\?xml[^>]*\?>|</?{root_tag}(\s[^>]*)?>"
+    pieces = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    docs = (
+        pieces.select(F.regexp_replace("value", wrapper, "").alias("body"))
+        .select("body", parsed(f"</{row_tag}>").alias("doc"))
+        .select(F.when(broken("doc"), parsed()).otherwise(F.col("doc")).alias("doc"))
+    )
+    nothing = F.array(F.lit(None).cast(schema))
+    records = F.when(broken("doc"), nothing).otherwise(F.col(f"doc.{row_tag}"))
+    return docs.select(F.explode(records).alias("record")).select("record.*")
 
 
 def write_records_xml(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -110,3 +111,26 @@ def test_payloads(spark, rows):
     assert rows(rejects, "eva", "reason") == [
         (4, "malformed"), (5, "malformed"), (6, "status 500"), (7, "status missing"),
     ]
+
+
+@pytest.mark.parametrize("split_bytes", [None, 64])
+def test_wrapper_document_can_be_split(spark, tmp_path, rows, split_bytes):
+    (tmp_path / "a.xml").write_text(XML)
+    (tmp_path / "b.xml").write_text('<timetable station="X"/>')
+    (tmp_path / "c.xml").write_text('<timetable><s id="1"/><s id="2"/></timetable>')
+    whole = read_records_xml(spark, str(tmp_path), S.CHANGED_XML, "s")
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    if split_bytes:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        split = read_records_xml(spark, str(tmp_path), S.CHANGED_XML, "s", "timetable")
+        assert split_bytes is None or split.rdd.getNumPartitions() > 5
+        assert rows(split) == rows(whole)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+
+
+def test_broken_record_in_a_split_document(spark, tmp_path, rows):
+    (tmp_path / "a.xml").write_text('<timetable><s id="1"><ar/></s><s id="2"><ar></s><s id="3"><dp/></s></timetable>')
+    split = read_records_xml(spark, str(tmp_path), S.CHANGED_XML, "s", "timetable")
+    assert rows(split, "_id") == [(None,), ("1",), ("3",)]

@@ -80,10 +80,10 @@ def test_append_new(spark, tmp_path, rows):
 
 
 def test_create_if_absent(spark, tmp_path):
-    for history, read in ((False, read_whole), (True, read_history)):
-        path = f"{tmp_path}/{history}"
-        assert create_if_absent(spark, path, S.FACT_CHANGED, history)
-        assert not create_if_absent(spark, path, S.FACT_CHANGED, history)
+    for by_day, read in ((False, read_whole), (True, read_history), (True, read_appended)):
+        path = f"{tmp_path}/{read.__name__}"
+        assert create_if_absent(spark, path, S.FACT_CHANGED, by_day)
+        assert not create_if_absent(spark, path, S.FACT_CHANGED, by_day)
         empty = read(spark, path, S.FACT_CHANGED)
         assert empty.isEmpty() and empty.schema.names == S.FACT_CHANGED.names
 

@@ -10,10 +10,9 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import pack_time
 from ..operators import OPEN_END
 
 BATCH_CUT = datetime(2024, 1, 20)  # events before it are the first batch
@@ -39,65 +38,50 @@ def second_batch(ev: DataFrame) -> DataFrame:
     return ev.where(F.col("ts") >= F.lit(BATCH_CUT).cast("timestamp_ntz"))
 
 
-def _text(c: Column) -> Column:
-    return c.cast("string")
+_TRIP = "(user_id * 24 + event_id % 24)"  # a user's events fall on 24 stops and return to them at scattered times
+_STOP_ID = (
+    f"concat({_TRIP}, '-', "
+    f"date_format(date_add(DATE'2024-01-01', CAST({_TRIP} DIV 1000 % 365 AS INT)), 'yyMMdd'), '0000-1')"
+)
 
 
-def _plus_minutes(c: Column, minutes: Column) -> Column:
-    return c + F.make_dt_interval(mins=minutes)
-
-
-
-def _columns() -> tuple[Column, Column, Column, Column]:
-    return tuple(F.col(c) for c in ("event_id", "event_type", "value", "ts"))
-
-
-def stop_id() -> Column:
-    """The events of one user fall on 24 stops, so a stop returns at scattered times."""
-    trip = F.col("user_id") * 24 + F.col("event_id") % 24
-    day = F.date_add(F.lit(date(2024, 1, 1)), (F.call_function("div", trip, F.lit(1000)) % 365).cast("int"))
-    return F.concat(_text(trip), F.lit("-"), F.date_format(day, "yyMMdd"), F.lit("0000-1"))
+def _packed(minutes: str) -> str:
+    return f"date_format(ts + make_dt_interval(0, 0, {minutes}), 'yyMMddHHmm')"
 
 
 # planned stops ---------------------------------------------------------------------------
 
 
 def _planned(ev: DataFrame) -> DataFrame:
-    """``user_id``, ``event_type``, ``value`` and the stop's own fields; scalars first, then structs."""
-    _id, _type, _value, _ts = _columns()
-    booked = F.concat_ws(" ", _type, _text(F.col("user_id")))
-    line = F.when(_id % 8 == 0, None).when(_value < 20, booked).otherwise(_text(F.col("user_id")))
-    scalars = ev.select(
+    """The stop's own fields and the event's columns; scalars first, then structs."""
+    scalars = ev.selectExpr(
         "event_id",
         "user_id",
         "event_type",
         "value",
-        stop_id().alias("stop"),
-        booked.alias("_fb"),
-        line.alias("_l"),
-        _text(_id % 12 + 1).alias("_pp"),
-        _text(pack_time(_ts)).alias("arrives"),
-        _text(pack_time(_plus_minutes(_ts, F.lit(5)))).alias("departs"),
+        f"{_STOP_ID} AS _id",
+        "concat(event_type, ' ', user_id) AS _fb",
+        "CASE WHEN event_id % 8 = 0 THEN NULL WHEN value < 20 THEN concat(event_type, ' ', user_id) "
+        "ELSE CAST(user_id AS STRING) END AS _l",
+        "CAST(event_id % 12 + 1 AS STRING) AS _pp",
+        f"{_packed('0')} AS arrives",
+        f"{_packed('5')} AS departs",
     )
-
-    def side(time: str) -> Column:
-        return F.struct("_fb", "_l", "_pp", F.col(time).alias("_pt"))
-
-    return scalars.select(
+    return scalars.selectExpr(
         "event_id",
         "user_id",
         "event_type",
         "value",
-        F.col("stop").alias("_id"),
-        F.struct(_type.alias("_c")).alias("tl"),
-        F.when(_type != "signup", side("arrives")).alias("ar"),
-        F.when(_type != "error", side("departs")).alias("dp"),
+        "_id",
+        "struct(event_type AS _c) AS tl",
+        "CASE WHEN event_type <> 'signup' THEN struct(_fb, _l, _pp, arrives AS _pt) END AS ar",
+        "CASE WHEN event_type <> 'error' THEN struct(_fb, _l, _pp, departs AS _pt) END AS dp",
     )
 
 
 def planned_stops(ev: DataFrame) -> DataFrame:
     """One raw planned stop per event (schema ``PLANNED_XML``)."""
-    return _planned(ev).select(_text(F.col("user_id")).alias("_eva"), "_id", "tl", "ar", "dp")
+    return _planned(ev).selectExpr("CAST(user_id AS STRING) AS _eva", "_id", "tl", "ar", "dp")
 
 
 def repeated_plan(planned: DataFrame) -> DataFrame:
@@ -116,68 +100,57 @@ def repeated_plan(planned: DataFrame) -> DataFrame:
 
 
 def _changed(ev: DataFrame, prefix: str, as_text: bool) -> DataFrame:
-    _id, _type, _value, _ts = _columns()
-    kind, click = _id % 4, _type == "click"
-    shift = F.floor(_value).cast("int") - 30
-
-    def packed(minutes: Column) -> Column:
-        return _text(pack_time(_plus_minutes(_ts, minutes)))
-
     # Scalars once, then message lists, then the stop: no expression is repeated.
-    scalars = ev.select(
+    shift = "CAST(floor(value) AS INT) - 30"
+    scalars = ev.selectExpr(
+        "event_id % 4 AS kind",
         "event_id",
         "event_type",
         "value",
         "ts",
-        _text(F.col("user_id")).alias("eva"),
-        stop_id().alias("stop"),
-        _text(pack_time(_ts)).alias("now"),
-        packed(F.lit(1)).alias("now_1"),
-        packed(F.lit(60)).alias("until"),
-        packed(F.lit(61)).alias("until_1"),
-        packed(shift).alias("ct_ar"),
-        packed(shift + 2).alias("ct_dp"),
-        F.concat(F.lit("L"), _text(F.col("user_id") % 50)).alias("line"),
+        "CAST(user_id AS STRING) AS eva",
+        f"{_STOP_ID} AS stop",
+        f"{_packed('0')} AS now",
+        f"{_packed('1')} AS now_1",
+        f"{_packed('60')} AS until",
+        f"{_packed('61')} AS until_1",
+        f"{_packed(shift)} AS ct_ar",
+        f"{_packed(shift + ' + 2')} AS ct_dp",
+        "concat('L', user_id % 50) AS line",
+        "CASE event_type WHEN 'error' THEN 'c' WHEN 'signup' THEN 'a' END AS status",
     )
 
-    def message(k: int) -> Column:
-        tail = "_1" if k else ""
-        values = {
-            "id": F.concat(F.lit("r"), _text((_id + k) % 3)),
-            "t": F.substring(_type, 1, 1),
-            "ts": F.col(f"now{tail}"),
-            "cat": _type,
-            "from": F.col(f"now{tail}"),
-            "to": F.col(f"until{tail}"),
-        }
-        return F.struct(*(v.alias(prefix + n) for n, v in values.items()))
-
-    one, two = F.array(message(0)), F.array(message(0), message(1))
-    beside = F.when(click, two).when(_type != "view", one)
-    alone = F.when((kind == 3) | (_type == "purchase"), one)
-    lists = scalars.select(
-        "*", *((F.to_json(c) if as_text else c).alias(n) for n, c in (("beside", beside), ("alone", alone)))
+    def message(k: int, tail: str) -> str:
+        return (
+            f"struct(concat('r', (event_id + {k}) % 3) AS {prefix}id, substr(event_type, 1, 1) AS {prefix}t, "
+            f"now{tail} AS {prefix}ts, event_type AS {prefix}cat, now{tail} AS {prefix}from, until{tail} AS {prefix}to)"
+        )
+
+    one, two = f"array({message(0, '')})", f"array({message(0, '')}, {message(1, '_1')})"
+    text = "to_json" if as_text else ""
+    lists = scalars.selectExpr(
+        "*",
+        f"{text}(CASE WHEN event_type = 'click' THEN {two} WHEN event_type <> 'view' THEN {one} END) AS beside",
+        f"{text}(CASE WHEN kind = 3 OR event_type = 'purchase' THEN {one} END) AS alone",
     )
 
-    def side(time: str) -> Column:
-        values = {
-            "clt": F.when(_type == "error", F.col("now")),
-            "cp": F.when(click, _text(_id % 5)),
-            "ct": F.when(_type != "view", F.col(time)),
-            "l": F.col("line"),
-            "cs": F.when(_type == "error", "c").when(_type == "signup", "a"),
-        }
-        return F.struct(*(v.alias(prefix + n) for n, v in values.items()), F.col("beside").alias("m"))
-
-    shape = [
-        F.col("eva").alias(f"{prefix}eva"),
-        F.col("stop").alias(f"{prefix}id"),
-        F.when((kind <= 1) | ((kind == 3) & (_value > 50)), side("ct_ar")).alias("ar"),
-        F.when((kind == 0) | (kind == 2), side("ct_dp")).alias("dp"),
-        F.col("alone").alias("m"),
-    ]
-    stamp = [F.date_format(_ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("_collected_at")] if as_text else []
-    return lists.select(*shape, *stamp)
+    def side(time: str) -> str:
+        return (
+            f"struct(CASE WHEN event_type = 'error' THEN now END AS {prefix}clt, "
+            f"CASE WHEN event_type = 'click' THEN CAST(event_id % 5 AS STRING) END AS {prefix}cp, "
+            f"CASE WHEN event_type <> 'view' THEN {time} END AS {prefix}ct, "
+            f"line AS {prefix}l, status AS {prefix}cs, beside AS m)"
+        )
+
+    stamp = ["date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS _collected_at"] if as_text else []
+    return lists.selectExpr(
+        f"eva AS {prefix}eva",
+        f"stop AS {prefix}id",
+        f"CASE WHEN kind <= 1 OR (kind = 3 AND value > 50) THEN {side('ct_ar')} END AS ar",
+        f"CASE WHEN kind = 0 OR kind = 2 THEN {side('ct_dp')} END AS dp",
+        "alone AS m",
+        *stamp,
+    )
 
 
 def changed_stops_xml(ev: DataFrame) -> DataFrame:
@@ -218,17 +191,16 @@ def stations_xml(customers: DataFrame, renewed: bool = False) -> DataFrame:
 
     In the renewed list every seventh station has given way to one with a new number.
     """
-    key = F.col("c_custkey")
-    number = F.when(key % 7 == 0, key + 1_000_000_000).otherwise(key) if renewed else key
-    tail = F.when(key % 2 == 0, " Hbf").when(key % 3 == 0, " Hbf (tief)").otherwise("")
-    return customers.select(
-        _text(number).alias("_eva"),
-        F.substring(F.col("c_mktsegment"), 1, 4).alias("_ds100"),
-        F.concat(F.col("c_name"), tail).alias("_name"),
-        _text(key % 100).alias("_meta"),
-        F.when(F.col("c_acctbal") > 0, "true").otherwise("false").alias("_db"),
-        F.when(key % 11 != 0, _text(F.col("c_nationkey"))).alias("_creationts"),
-        F.lit(None).cast("string").alias("_updatets"),
+    number = "CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 1000000000 ELSE c_custkey END" if renewed else "c_custkey"
+    return customers.selectExpr(
+        f"CAST({number} AS STRING) AS _eva",
+        "substr(c_mktsegment, 1, 4) AS _ds100",
+        "concat(c_name, CASE WHEN c_custkey % 2 = 0 THEN ' Hbf' WHEN c_custkey % 3 = 0 THEN ' Hbf (tief)' ELSE '' END) "
+        "AS _name",
+        "CAST(c_custkey % 100 AS STRING) AS _meta",
+        "CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END AS _db",
+        "CASE WHEN c_custkey % 11 <> 0 THEN CAST(c_nationkey AS STRING) END AS _creationts",
+        "CAST(NULL AS STRING) AS _updatets",
     )
 
 

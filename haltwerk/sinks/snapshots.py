@@ -37,13 +37,18 @@ _NO_PART = "none"  # entry of a snapshot that is not laid out by day
 _COMMIT = T.StructType([_ID, T.StructField("batch", T.StringType()), _PART])
 
 
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows; the optimizer drops whatever is joined or united with it."""
+    return spark.range(1).limit(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, kind: str) -> DataFrame:
     try:
         return spark.read.schema(schema).format(kind).load(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return _empty(spark, schema)
 
 
 def _commits(spark: SparkSession, path: str) -> DataFrame:
@@ -84,8 +89,12 @@ def _after(snapshot: int | None) -> int:
 def _commit(
     spark: SparkSession, path: str, snapshot_id: int, batch: str | None = None, parts: Sequence[str] = (_NO_PART,)
 ) -> None:
-    record = spark.createDataFrame([(snapshot_id, batch, part) for part in parts], _COMMIT)
-    record.coalesce(1).write.mode("append").json(f"{path}/commits")  # one file: all or nothing
+    record = spark.range(0, 1, 1, 1).select(  # one partition, one file: all or nothing
+        F.lit(snapshot_id).cast("long").alias("snapshot_id"),
+        F.lit(batch).cast("string").alias("batch"),
+        F.explode(F.lit(list(parts))).alias("part"),
+    )
+    record.write.mode("append").json(f"{path}/commits")
 
 
 def _data(spark: SparkSession, path: str, schema: T.StructType, extra: Sequence[T.StructField] = ()) -> DataFrame:
@@ -123,7 +132,7 @@ def read_whole(spark: SparkSession, path: str, schema: T.StructType, snapshot: i
     """A whole table at ``snapshot`` (default: newest). Reads only that snapshot's folder."""
     n = current_snapshot(spark, path) if snapshot is None else snapshot
     if n is None:
-        return spark.createDataFrame([], schema)
+        return _empty(spark, schema)
     return spark.read.schema(schema).parquet(f"{path}/data/snapshot_id={n}")
 
 
@@ -175,7 +184,7 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType, snapshot
 
 def _appended(spark: SparkSession, path: str, schema: T.StructType, snapshot: int | None) -> DataFrame:
     if snapshot is None:
-        return spark.createDataFrame([], T.StructType([*schema.fields, _ID, _PART]))
+        return _empty(spark, T.StructType([*schema.fields, _ID, _PART]))
     return _data(spark, path, schema, [_PART]).where(F.col("snapshot_id") <= snapshot)
 
 
@@ -190,7 +199,7 @@ def _active_rows(
     full = T.StructType([*fields, _ID, _PART, schema[flag]])
     folders = [f"{path}/data/snapshot_id={n}/part={p}/{flag}=true" for p, n in newest.items() if p != _NO_PART]
     if not folders:
-        return spark.createDataFrame([], full)
+        return _empty(spark, full)
     return spark.read.schema(full).option("basePath", f"{path}/data").parquet(*folders)
 
 
@@ -208,7 +217,7 @@ def read_history(
     """A flag history table at ``snapshot`` (default: newest)."""
     log = _log(spark, path, upto=snapshot)
     if log.current is None:
-        return spark.createDataFrame([], schema)
+        return _empty(spark, schema)
     active = _active_rows(spark, path, schema, flag, log.newest)
     fields = T.StructType([f for f in schema.fields if f.name != flag])
     stored = _data(spark, path, fields, [_PART, schema[flag]])
@@ -266,6 +275,6 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType, by_da
     if current_snapshot(spark, path) is not None:
         return False
     if not by_day:  # a table laid out by day has no folder before its first day
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/data/snapshot_id=0")
+        _empty(spark, schema).write.mode("overwrite").parquet(f"{path}/data/snapshot_id=0")
     _commit(spark, path, 0)
     return True

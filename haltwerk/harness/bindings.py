@@ -8,16 +8,15 @@ Stop ids have the form ``<trip>-<yyMMddHHmm>-1``; several events describe one st
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import OPEN_END
 
-BATCH_CUT = datetime(2024, 1, 20)  # events before it are the first batch
-FULL_TS_1 = datetime(2024, 1, 20, 0, 0, 0)
-FULL_TS_2 = datetime(2024, 1, 31, 0, 0, 0)
+BATCH_CUT = "2024-01-20"  # events before it are the first batch
+FULL_TS_1, FULL_TS_2 = "2024-01-20 00:00:00", "2024-01-31 00:00:00"
 OLD_FROM, NEW_FROM = date(2024, 1, 1), date(2024, 9, 1)
 AS_OF = date(2024, 7, 1)
 
@@ -30,18 +29,26 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def stamp(text: str) -> Column:
+    return F.lit(text).cast("timestamp")
+
+
+def _cut() -> Column:
+    return F.lit(BATCH_CUT).cast("timestamp_ntz")
+
+
 def first_batch(ev: DataFrame) -> DataFrame:
-    return ev.where(F.col("ts") < F.lit(BATCH_CUT).cast("timestamp_ntz"))
+    return ev.where(F.col("ts") < _cut())
 
 
 def second_batch(ev: DataFrame) -> DataFrame:
-    return ev.where(F.col("ts") >= F.lit(BATCH_CUT).cast("timestamp_ntz"))
+    return ev.where(F.col("ts") >= _cut())
 
 
 _TRIP = "(user_id * 24 + event_id % 24)"  # a user's events fall on 24 stops and return to them at scattered times
 _STOP_ID = (
     f"concat({_TRIP}, '-', "
-    f"date_format(date_add(DATE'2024-01-01', CAST({_TRIP} DIV 1000 % 365 AS INT)), 'yyMMdd'), '0000-1')"
+    f"date_format(date_add(DATE'2024-01-01', CAST({_TRIP} % 7 AS INT)), 'yyMMdd'), '0000-1')"
 )
 
 

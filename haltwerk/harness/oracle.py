@@ -20,7 +20,7 @@ CTE: dict[str, str] = {}
 
 CTE["ids"] = """
     SELECT *, event_id % 4 AS kind, CAST(user_id * 24 + event_id % 24 AS VARCHAR) || '-' ||
-           strftime(DATE '2024-01-01' + CAST(((user_id * 24 + event_id % 24) // 1000) % 365 AS INTEGER), '%y%m%d') ||
+           strftime(DATE '2024-01-01' + CAST((user_id * 24 + event_id % 24) % 7 AS INTEGER), '%y%m%d') ||
            '0000-1' AS sid
     FROM events"""
 

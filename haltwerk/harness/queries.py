@@ -257,7 +257,7 @@ def latest_change(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def messages_array(spark: SparkSession, sf: str) -> DataFrame:
-    return _zone_free(stop_messages(B.changed_stops_xml(B.events(spark, sf)), F.lit(B.FULL_TS_2)))
+    return _zone_free(stop_messages(B.changed_stops_xml(B.events(spark, sf)), B.stamp(B.FULL_TS_2)))
 
 
 def messages_json(spark: SparkSession, sf: str) -> DataFrame:
@@ -390,8 +390,8 @@ def planned(spark: SparkSession, sf: str) -> DataFrame:
 def _full(spark: SparkSession, sf: str, load: Callable, schema) -> DataFrame:
     path, ev = work_dir(spark, "full"), B.events(spark, sf)
     create_if_absent(spark, path, schema, by_day=True)
-    for stamp, part in ((B.FULL_TS_1, B.first_batch(ev)), (B.FULL_TS_2, B.second_batch(ev))):
-        load(_xml(spark, B.changed_stops_xml(part), S.CHANGED_XML), path, stamp, f"full-{stamp}")
+    for text, part in ((B.FULL_TS_1, B.first_batch(ev)), (B.FULL_TS_2, B.second_batch(ev))):
+        load(_xml(spark, B.changed_stops_xml(part), S.CHANGED_XML), path, B.stamp(text), f"full-{text}")
     return _zone_free(read_history(spark, path, schema))
 
 
@@ -423,8 +423,8 @@ def raw_archive(spark: SparkSession, sf: str) -> DataFrame:
     """Both raw batches kept under their names; the first is archived twice."""
     path, ev = work_dir(spark, "archive"), B.events(spark, sf)
     first, second = B.changed_stops_json(B.first_batch(ev)), B.changed_stops_json(B.second_batch(ev))
-    for raw, stamp in ((first, B.FULL_TS_1), (second, B.FULL_TS_2), (first, B.FULL_TS_1)):
-        archive_raw(raw, path, stamp)
+    for raw, text in ((first, B.FULL_TS_1), (second, B.FULL_TS_2), (first, B.FULL_TS_1)):
+        archive_raw(raw, path, B.stamp(text))
     return spark.read.parquet(path).select("batch_id", "eva", "id", F.col("_collected_at").alias("collected_at"))
 
 

@@ -264,7 +264,8 @@ def _write_parts(rows: DataFrame, target: str, *columns: str) -> None:
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         # Right-sized files: small parts share a task, a big part is split into many.
         rows = rows.hint("rebalance", *columns)
-    rows.write.partitionBy(*columns).mode("overwrite").parquet(target)
+    # Static: leftovers of a lost attempt go, whatever the session's overwrite mode is.
+    rows.write.partitionBy(*columns).option("partitionOverwriteMode", "static").mode("overwrite").parquet(target)
 
 
 # bootstrap -----------------------------------------------------------------------------------

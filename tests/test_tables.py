@@ -65,7 +65,13 @@ def test_uncommitted_data_is_not_seen(spark, tmp_path, rows):
     leftover.write.partitionBy("part", "IsActive").parquet(f"{tmp_path}/data/snapshot_id=1")
     schema = leftover.drop("part").schema
     assert rows(read_history(spark, str(tmp_path), schema), "v") == [(1,)]
-    upsert(batch(spark, 3, A), tmp_path)  # the retry replaces the leftover
+    old = leftover.withColumn("part", F.lit("240712")).withColumn("IsActive", F.lit(False))
+    old.write.mode("append").partitionBy("part", "IsActive").parquet(f"{tmp_path}/data/snapshot_id=1")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        upsert(batch(spark, 3, A), tmp_path)  # the retry replaces all that was left
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert rows(read_history(spark, str(tmp_path), schema), "v", "IsActive") == [(1, False), (3, True)]
 
 

@@ -9,18 +9,33 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import bpe_digests
 from .common import table
 from .exact import exact_duplicates
+from .gru import identify_language
+from .imatch import fingerprint_edits
 from .mixing import mix_sources
 from .shards import shard_by_bytes
+from .warc import pages_to_warc
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_to_warc(table(spark, sf_dir, "pages"))
+
+
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -30,7 +45,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mixing, op7_sharding, op9_exact_dedup, op10_bpe)}
+    return {f.__name__: f for f in (op3_mixing, op4_warc, op5_imatch, op7_sharding, op8_language_id, op9_exact_dedup, op10_bpe)}
 
 
 OP3 = r"""

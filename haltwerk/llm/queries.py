@@ -5,17 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
 from .common import table
 from .exact import exact_duplicates
+from .extract import extract_main_text
 from .gru import identify_language
 from .imatch import fingerprint_edits
+from .lines import dedup_lines
 from .mixing import mix_sources
 from .shards import shard_by_bytes
 from .warc import pages_to_warc
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_removed, n_chars and the digest of the text that is left."""
+    left = dedup_lines(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", "n_chars", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
@@ -45,7 +58,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mixing, op4_warc, op5_imatch, op7_sharding, op8_language_id, op9_exact_dedup, op10_bpe)}
+    return {f.__name__: f for f in (op1_html, op2_lines, op3_mixing, op4_warc, op5_imatch, op7_sharding, op8_language_id, op9_exact_dedup, op10_bpe)}
 
 
 OP3 = r"""

@@ -13,6 +13,7 @@ from .exact import exact_duplicates
 from .extract import extract_main_text
 from .gru import identify_language
 from .imatch import fingerprint_edits
+from .jaccard import near_duplicates
 from .lines import dedup_lines
 from .mixing import mix_sources
 from .shards import shard_by_bytes
@@ -41,6 +42,10 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
@@ -58,7 +63,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html, op2_lines, op3_mixing, op4_warc, op5_imatch, op7_sharding, op8_language_id, op9_exact_dedup, op10_bpe)}
+    return {f.__name__: f for f in (op1_html, op2_lines, op3_mixing, op4_warc, op5_imatch, op6_ngram_jaccard, op7_sharding, op8_language_id, op9_exact_dedup, op10_bpe)}
 
 
 OP3 = r"""

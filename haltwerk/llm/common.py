@@ -40,3 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def row_key(*columns: str) -> Column:
     """Content key of a row: equal rows have equal keys, wherever they are read."""
     return F.xxhash64(*columns)
+
+
+def keep_rows(docs: DataFrame, gone: DataFrame, once: DataFrame | None = None) -> DataFrame:
+    """``docs`` (doc_id, text and any others) without the rows whose key is in ``gone``; of rows with a key in ``once`` one stays. Both have one column ``row``."""
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key("doc_id", "text").alias("row"))
+    if once is None or once.isEmpty():
+        return held.join(gone, "row", "left_anti").select("doc.*")
+    single = held.join(once, "row").dropDuplicates(["row"])
+    return held.join(gone.union(once), "row", "left_anti").unionByName(single).select("doc.*")

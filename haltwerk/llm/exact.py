@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, text_of
+from .common import keep_rows, row_key, staged, text_of
 
 #: A 64-bit fingerprint is cut into block (the shuffle key), quotient and remainder.
 BLOCK_BITS = 10
@@ -18,7 +18,9 @@ QUOTIENT_BITS = 22
 REMAINDER_BITS = 64 - BLOCK_BITS - QUOTIENT_BITS
 #: Fingerprints that one filter takes before it is handed on; bounds a task's memory.
 FILTER_ROWS = 2_000_000
-#: Copies of a repeated fingerprint in the join that routes rows; a hot one is read by as many tasks.
+#: Repeated fingerprints (8 bytes each) that are broadcast; more are joined by a shuffle.
+BROADCAST = 500_000
+#: Copies of a repeated fingerprint in that shuffle; a hot one is read by as many tasks.
 SALTS = 16
 
 _FILTER = "block int, quotients binary, remainders binary, counts binary"
@@ -85,20 +87,21 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     Rows whose fingerprint the merged filter counts once are alone. The others go, with their
     normalised bytes, to the join on the fingerprint, and are grouped by these bytes. Of each class the
     row with the most code points in the original text, then the smallest doc_id stays (NULL doc_id
-    last); of repeated rows with one doc_id and length exactly one is kept. NULL text counts as empty, and
+    last); of repeated rows exactly one is kept. NULL text counts as empty, and
     empty texts are one class. Extra columns are ignored; an empty table gives an empty result.
-    Returns doc_id, keep_id, group_size, kept, text_sha256, n_chars, fp.
+    Returns doc_id, keep_id, group_size, kept, text_sha256, row (its key).
     """
-    base = docs.select("doc_id", F.char_length(text_of()).cast("long").alias("n_chars"), normalised().alias("norm"))
+    base = docs.select("doc_id", row_key("doc_id", "text").alias("row"), F.char_length(text_of()).cast("long").alias("n_chars"), normalised().alias("norm"))
     base = base.withColumn("fp", F.xxhash64("norm"))
-    light = base.select("doc_id", "n_chars", "fp", F.sha2("norm", 256).alias("text_sha256"))
-    same = Window.partitionBy("doc_id", "n_chars", "fp").orderBy("text_sha256")
-    light = staged(light.withColumn("copy", F.row_number().over(same)), "exact-rows")
+    light = base.select("doc_id", "row", "n_chars", "fp", F.sha2("norm", 256).alias("text_sha256"))
+    light = staged(light.withColumn("copy", F.row_number().over(Window.partitionBy("row").orderBy("fp"))), "exact-rows")
 
     suspects = staged(repeated_fingerprints(light), "exact-repeated").select("fp")
-    routed = base.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(
-        suspects.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["fp", "salt"]
-    )
+    if suspects.count() <= BROADCAST:
+        routed = base.join(F.broadcast(suspects), "fp")
+    else:
+        salted = suspects.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        routed = base.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted.hint("shuffle_merge"), ["fp", "salt"])
     best = F.min(F.struct((-F.col("n_chars")).alias("shorter"), F.isnull("doc_id").alias("unnamed"), F.col("doc_id").alias("id")))
     groups = routed.groupBy("fp", "norm").agg(F.count("*").alias("group_size"), best.alias("best")).where("group_size > 1")
     groups = groups.select(F.sha2("norm", 256).alias("text_sha256"), "group_size", "best")
@@ -111,6 +114,12 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (single | stays).alias("kept"),
         "text_sha256",
-        "n_chars",
-        "fp",
+        "row",
     )
+
+
+def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text and any others) with the row of each class that stays."""
+    found = staged(exact_duplicates(docs).select("row", "group_size", "kept"), "exact-kept").where("group_size > 1")
+    rows = found.groupBy("row").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    return keep_rows(docs, rows.where("NOT kept").select("row"), rows.where("kept AND n > 1").select("row"))

@@ -75,9 +75,8 @@ def _backward(d: Direction, steps: np.ndarray, kept: list[tuple], dstates: np.nd
         dstate += da @ h.T
         dbytes[: 2 * hidden, t], dbytes[2 * hidden :, t] = da[: 2 * hidden], dn
         dh = dh * z + d.state.T @ da
-    onehot = np.zeros((steps.size, PAD + 1), np.float32)
-    onehot[np.arange(steps.size), steps.ravel()] = 1
-    dtable = dbytes.reshape(3 * hidden, -1) @ onehot
+    flat = steps.ravel()
+    dtable = np.stack([np.bincount(flat, weights=row, minlength=PAD + 1) for row in dbytes.reshape(3 * hidden, -1)]).astype(np.float32)
     dtable[:, PAD] = 0
     return [dtable[: 2 * hidden], dtable[2 * hidden :], dstate]
 
@@ -231,6 +230,26 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     return train([r[2] for r in rows], [r[0] for r in rows]) if rows else None
 
 
+def _read_languages(rows: DataFrame, model: Model | None) -> DataFrame:
+    """``rows``, whose last column is a text, with held_out kept and the text's lang_pred, score and labelled in place of it."""
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, letter = (Reader(model) if model else None), regex.compile(r"\p{L}")
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            known = [i for i, t in enumerate(texts) if reader and t and letter.search(t)]
+            found, score, labelled = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
+            if known:
+                p, y = reader.read([texts[i].encode() for i in known])
+                for i, best, a, b in zip(known, p.argmax(axis=1), p, y, strict=True):
+                    found[i], score[i], labelled[i] = model.languages[best], min(1.0, float(a[best])), min(1.0, float(b[best]))
+            columns = [*batch.columns[:-1], pa.array(found, pa.string()), pa.array(score, pa.float64()), pa.array(labelled, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score", "labelled"])
+
+    schema = rows.select(rows.columns[:-1]).schema.add("lang_pred", "string").add("score", "double").add("labelled", "double")
+    return rows.mapInArrow(predict, schema)
+
+
 def identify_language(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The language of every whole text of ``docs`` (doc_id, text, and lang for training).
 
@@ -240,20 +259,12 @@ def identify_language(docs: DataFrame, model: Model | None = None) -> DataFrame:
     columns are ignored. Returns doc_id, held_out, lang_pred, score, labelled (the share of positions labelled so).
     """
     model = model or fit(docs)  # some KB, sent with the tasks
+    return _read_languages(docs.select("doc_id", held_out().alias("held_out"), text_of().alias("text")), model)
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, letter = (Reader(model) if model else None), regex.compile(r"\p{L}")
-        for batch in batches:
-            texts = [t.as_py() for t in batch.column(2)]
-            known = [i for i, t in enumerate(texts) if reader and t and letter.search(t)]
-            found, score, labelled = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
-            if known:
-                p, y = reader.read([texts[i].encode() for i in known])
-                for i, best, a, b in zip(known, p.argmax(axis=1), p, y, strict=True):
-                    found[i], score[i], labelled[i] = model.languages[best], float(a[best]), float(b[best])
-            score = np.clip(score, 0, 1).tolist()
-            columns = [batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(score, pa.float64()), pa.array(labelled, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score", "labelled"])
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double, labelled double"
-    return docs.select("doc_id", held_out().alias("held_out"), text_of().alias("text")).mapInArrow(predict, schema)
+def accepted_languages(docs: DataFrame, model: Model | None = None, least: float = 0.3) -> DataFrame:
+    """``docs`` (doc_id, text, lang and any others) without texts of no language (``und``) or with a score below ``least``."""
+    model = model or fit(docs)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    read = _read_languages(docs.select(whole, text_of().alias("text")), model)
+    return read.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("doc.*")

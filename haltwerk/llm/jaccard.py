@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, text_of
+from .common import keep_rows, row_key, staged, text_of
 from .components import components
 from .shingles import BITS, shingle_set
 from .trie import links_in_trie
@@ -45,7 +45,7 @@ def set_key(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-_SETS = "chunk long, ids array<long>, sizes array<int>, keys array<long>, shingles binary"
+_SETS = "chunk long, ids array<long>, rows array<long>, sizes array<int>, keys array<long>, shingles binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,17 +56,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part = context.partitionId() if context else 0
 
     def row() -> pa.RecordBatch:
-        keys = [x[1] for x in held]
+        keys = [x[2] for x in held]
         # The place and the content of the chunk: made anew, it has the same number.
         chunk = xxhash.xxh64_intdigest(np.array([part, made, *keys], np.int64).tobytes(), seed=1) - (1 << 63)
-        columns = [[chunk], [[x[0] for x in held]], [[len(x[2]) for x in held]], [keys], [_packed(np.concatenate([x[2] for x in held]))]]
-        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "ids", "sizes", "keys", "shingles"])
+        columns = [[chunk], [[x[0] for x in held]], [[x[1] for x in held]], [[len(x[3]) for x in held]], [keys], [_packed(np.concatenate([x[3] for x in held]))]]
+        longs = pa.list_(pa.int64())
+        kinds = (pa.int64(), longs, longs, pa.list_(pa.int32()), longs, pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "ids", "rows", "sizes", "keys", "shingles"])
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+        for doc_id, key, text in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
             found = shingle_set(text.as_py().encode())
-            held.append((doc_id.as_py(), set_key(found), found))
+            held.append((doc_id.as_py(), key.as_py(), set_key(found), found))
             n += len(found)
             if n >= CHUNK_SHINGLES or len(held) >= CHUNK_ROWS:
                 yield row()
@@ -110,17 +111,17 @@ def _classes(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "classes": [x.tobytes() for x in np.split(classes, ends)]})
 
 
-_PREFIXES = "ids array<long>, sizes array<int>, keys array<long>, tokens array<long>, token_keys array<long>, set_keys array<long>, sets array<binary>"
+_PREFIXES = "ids array<long>, rows array<long>, sizes array<int>, keys array<long>, tokens array<long>, token_keys array<long>, set_keys array<long>, sets array<binary>"
 
 
 def _prefixes(percent: int):
     """Of each chunk: its rows, the prefix shingles that another document has too, and the sets that have such."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["ids", "sizes", "keys", "tokens", "token_keys", "set_keys", "sets"]
+        names = ["ids", "rows", "sizes", "keys", "tokens", "token_keys", "set_keys", "sets"]
         for batch in batches:
             for r in range(batch.num_rows):
-                ids, sizes, keys, data, known = (batch.column(i)[r].as_py() for i in range(5))
+                ids, rows, sizes, keys, data, known = (batch.column(i)[r].as_py() for i in range(6))
                 shingles = _unpacked(data)
                 classes = np.frombuffer(b"".join(x["classes"] for x in sorted(known or (), key=lambda x: x["bucket"])), np.uint8)
                 distinct, at = np.unique(shingles, return_inverse=True)
@@ -143,9 +144,9 @@ def _prefixes(percent: int):
                     set_keys.append(key)
                     sets.append(_packed(own) + rare.tobytes())
                 flat = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
-                columns = [[ids], [sizes], [keys], [flat(tokens)], [flat(token_keys)], [set_keys], [sets]]
+                columns = [[ids], [rows], [sizes], [keys], [flat(tokens)], [flat(token_keys)], [set_keys], [sets]]
                 longs = pa.list_(pa.int64())
-                kinds = (longs, pa.list_(pa.int32()), longs, longs, longs, longs, pa.list_(pa.binary()))
+                kinds = (longs, longs, pa.list_(pa.int32()), longs, longs, longs, longs, pa.list_(pa.binary()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return pick
@@ -246,19 +247,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80, tree_shingles: int = TRE
 
     Shingles are BITS-bit hashes. NULL and empty texts have an empty set and are linked with nothing. Repeated rows and NULL ids are rows like
     others; a class of NULL ids only has none. An empty table gives no rows; extra columns are ignored. The input must give the same rows in
-    the same order when a lost task reads it again, as files do. Returns doc_id, n_shingles, component_id (the least doc_id of the class), key (of the set).
+    the same order when a lost task reads it again, as files do. Returns doc_id, n_shingles, component_id (the least doc_id of the class), label (of the class), row (its key).
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("row"), text_of().alias("text"))
     size = (rows.agg(F.sum(F.octet_length("text").cast("long"))).head()[0] or 0) // BYTES_A_SHINGLE
     dealt = rows.mapInArrow(_sets, _SETS).repartition(max(12, 1 + size // COUNTED), "chunk")
     buckets = 1 + size // COUNTED
     cut = dealt.select("chunk", "shingles").mapInArrow(_to_count(buckets), "bucket int, chunk long, steps binary, counts binary")
     classes = cut.groupBy("bucket").applyInPandas(_classes, "chunk long, bucket int, classes binary")
     classes = classes.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "classes")).alias("known"))
-    with_classes = dealt.join(classes.hint("shuffle_merge"), "chunk", "left").select("ids", "sizes", "keys", "shingles", "known")
+    with_classes = dealt.join(classes.hint("shuffle_merge"), "chunk", "left").select("ids", "rows", "sizes", "keys", "shingles", "known")
     found = staged(with_classes.mapInArrow(_prefixes(percent), _PREFIXES), "prefixes")
 
-    each = found.select(F.explode(F.arrays_zip("ids", "sizes", "keys")).alias("x")).select(F.col("x.ids").alias("doc_id"), F.col("x.sizes").cast("long").alias("n_shingles"), F.col("x.keys").alias("key"))
+    each = found.select(F.explode(F.arrays_zip("ids", "rows", "sizes", "keys")).alias("x"))
+    each = each.select(F.col("x.ids").alias("doc_id"), F.col("x.rows").alias("row"), F.col("x.sizes").cast("long").alias("n_shingles"), F.col("x.keys").alias("key"))
     prefix = found.select(F.explode(F.arrays_zip("tokens", "token_keys")).alias("x")).select(F.col("x.tokens").alias("token"), F.col("x.token_keys").alias("key"))
     leaders = prefix.groupBy("token").agg(F.min("key").alias("leader"), F.max("key").alias("last")).where("leader < last").select("token", "leader")
     shared = prefix.join(leaders, "token").where("key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
@@ -270,4 +272,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, tree_shingles: int = TRE
     labelled = each.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     least = labelled.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     out = labelled.join(least, "label", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "key")
+    component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), "label", "row")
+
+
+def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` (doc_id, text and any others) with one row of each class: that with the least doc_id (NULL last). Rows without shingles stay."""
+    found = staged(near_duplicates(docs, **options).where("n_shingles > 0").select("doc_id", "label", "row"), "near-rows")
+    place = F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "row")
+    first = found.groupBy("label").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = found.join(first, "label").where(F.col("row") != F.col("first.row")).select("row").distinct()
+    return keep_rows(docs, gone, first.select(F.col("first.row").alias("row")))

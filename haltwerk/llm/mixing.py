@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, staged
+from .common import WORD, n_words, row_key, staged, text_of
 
 #: Words in a block; the schedule has one slot for each block the mix takes.
 BLOCK_WORDS = 8192
@@ -48,7 +48,7 @@ def _laid_out(docs: DataFrame, seed: str) -> DataFrame:
 
     Totals of ranges of the order give offsets, so a source with a third of all rows is summed by many tasks.
     """
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words().alias("size"))
+    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words().alias("size"), row_key("doc_id", "text").alias("row"))
     rows = rows.withColumn("o", F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     rows = rows.withColumn("range", F.substring("o", 1, 3))
     ranges = rows.groupBy("source", "range").agg(F.sum("size").alias("words"))
@@ -57,6 +57,7 @@ def _laid_out(docs: DataFrame, seed: str) -> DataFrame:
     inside = Window.partitionBy("source", "range").orderBy("o", "doc_id", "size")
     rows = rows.select(
         "doc_id",
+        "row",
         "source",
         "size",
         "range",
@@ -64,7 +65,7 @@ def _laid_out(docs: DataFrame, seed: str) -> DataFrame:
         (F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")).alias("begin"),
     )
     same = rows["source"].eqNullSafe(ranges["source"]) & (rows["range"] == ranges["range"])
-    return rows.join(ranges, same).select(rows["doc_id"], rows["source"], "size", rows["range"], "nth", (F.col("begin") + F.col("offset")).alias("begin"))
+    return rows.join(ranges, same).select(rows["doc_id"], "row", rows["source"], "size", rows["range"], "nth", (F.col("begin") + F.col("offset")).alias("begin"))
 
 
 def _slots(plan: DataFrame, block_words: int) -> DataFrame:
@@ -99,7 +100,7 @@ def _slots(plan: DataFrame, block_words: int) -> DataFrame:
 def mix_schedule(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, block_words: int = BLOCK_WORDS, seed: str = "mix") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, targets, pieces) of a mix of ``docs`` (doc_id, text, source).
 
-    rows: doc_id, source, size, range, nth, begin: a row and its place. targets: see ``source_targets``.
+    rows: doc_id, row (its key), source, size, range, nth, begin: a row and its place. targets: see ``source_targets``.
     pieces: slot, source, range, nth, pass, from, to: words [from, to) of the row, to be read in
     slot ``slot``. Blocks of ``block_words`` of a source's shuffled line are read in the order of its
     slots, the line again from its start when it ends; the last slot stops at the target.
@@ -149,7 +150,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     NULL or empty text: size 0, nothing taken. NULL source: a source of its own, last in order. Repeated rows and
     NULL ids are rows of their own. A table without words takes nothing; an empty table gives an empty result.
     Extra columns are ignored. Taken words of a source add up to its target, rounded down; a row is
-    taken at most ``most`` times, rounded up to whole passes in its first words. Returns doc_id, source, size, source_size,
+    taken at most ``most`` times. Returns doc_id, source, size, source_size,
     target, taken, range, nth.
     """
     rows, targets, pieces = mix_schedule(docs, weights, share, most, block_words, seed)
@@ -158,3 +159,21 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     out = rows.join(sums, same, "left").withColumn("taken", F.coalesce("words", F.lit(0)).cast("long"))
     targets = targets.select(F.col("source").alias("of"), "source_size", "target")
     return out.join(targets, F.col("source").eqNullSafe(F.col("of"))).select("doc_id", "source", "size", "source_size", "target", "taken", "range", "nth")
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of the mix with the columns of ``docs`` (doc_id, text, source and any others): a row for each time it is read.
+
+    A row that is read in part, where its source's target ends, has these words and the white space between; ``n_chars``, if
+    there is such a column, follows. Rows of which nothing is taken, such as empty texts, are not in the mix. Options are those of ``mix_schedule``.
+    """
+    rows, _, pieces = mix_schedule(docs, **options)
+    reads = pieces.groupBy(F.col("source").alias("s"), F.col("range").alias("r"), F.col("nth").alias("k"), "pass").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")) & (F.col("nth") == F.col("k"))
+    reads = rows.join(reads, same).select("row", "from", "to", (F.col("to") - F.col("from") == F.col("size")).alias("whole"))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key("doc_id", "text").alias("row")).dropDuplicates(["row"])
+    words = F.regexp_extract_all(text_of("doc.text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    part = F.array_join(F.slice(words, (F.col("from") + 1).cast("int"), (F.col("to") - F.col("from")).cast("int")), "")
+    read = held.join(reads, "row").withColumn("read", F.when(F.col("whole"), F.col("doc.text")).otherwise(part))
+    new = {"text": F.col("read"), "n_chars": F.char_length("read").cast("long")}
+    return read.select(*[new.get(c, F.col(f"doc.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])

@@ -163,7 +163,8 @@ def fingerprint_edits(docs: DataFrame, low: float = LOW, high: float = HIGH) ->
     order = F.xxhash64("text")
     own = rows.select(range_of("id").alias("range"), F.lit(0).alias("after"), "id", "doc_id", order.alias("h"), "text")
     heads = spark.createDataFrame([(int(x), (i - 1) % len(tops)) for i, x in enumerate(tops)], "id long, to int")
-    heads = rows.join(heads, "id").groupBy("id", "to").agg(F.min_by(F.struct("doc_id", "text"), order).alias("first"))
+    # 12 bytes for each RANGE_BYTES of text, as the ranges themselves.
+    heads = rows.join(F.broadcast(heads), "id").groupBy("id", "to").agg(F.min_by(F.struct("doc_id", "text"), order).alias("first"))
     heads = heads.select(F.col("to").alias("range"), F.lit(1).alias("after"), "id", "first.doc_id", F.lit(0).cast("long").alias("h"), "first.text")
     dealt = own.union(heads).repartition("range").sortWithinPartitions("range", "after", F.desc("id"), "h")
 

@@ -80,13 +80,17 @@ def blocks_of(page: str) -> list[Block]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             pieces.clear()
-            if text and not top[1]:
+            if text:
                 found.append((text, *top[2:]))
 
     def pop() -> None:
+        """Leave an element; one that is not seen inside a block does not end the block."""
         nonlocal top
+        around = stack[-2] if len(stack) > 1 else (None, False, False, False, False, False)
+        if top[0] in BLOCKS or top[2:] != around[2:]:
+            flush()
         counts[stack.pop()[0]] -= 1
-        top = stack[-1] if stack else (None, False, False, False, False, False)
+        top = around
 
     at, last = 0, page.rfind(">")
     while True:
@@ -109,9 +113,7 @@ def blocks_of(page: str) -> list[Block]:
             if counts.get(tag, 0):
                 if block or tag in UNSEEN:
                     while stack[-1][0] != tag:
-                        flush()
                         pop()
-                    flush()
                     pop()
                 else:  # an inline element ends inside its block only
                     k = len(stack) - 1
@@ -119,7 +121,6 @@ def blocks_of(page: str) -> list[Block]:
                         k -= 1
                     if k >= 0 and stack[k][0] == tag:
                         while len(stack) > k:
-                            flush()
                             pop()
             continue
         if tag in VOID:
@@ -128,7 +129,7 @@ def blocks_of(page: str) -> list[Block]:
             pop()
         unseen, aside, article, main, content = _marks(tag, m.group(3) or m.group(6), top[3] or top[4])
         if block or unseen or aside or article or main or content:
-            if not block:
+            if aside or article or main or content:
                 flush()
             top = (tag, top[1] or unseen, top[2] or aside, top[3] or article, top[4] or main, top[5] or content)
             stack.append(top)

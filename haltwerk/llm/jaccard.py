@@ -88,7 +88,7 @@ def _to_count(buckets: int):
                 counts = np.minimum(counts, 255).astype(np.uint8)
                 where = (found // np.uint64(width)).astype(np.int32)
                 used, starts = np.unique(where, return_index=True)
-                ends = [*starts[1:], len(found)]
+                ends = [*starts[1:], len(found)][: len(used)]
                 steps = []
                 for b, i, j in zip(used, starts, ends, strict=True):
                     step = np.diff(found[i:j], prepend=np.uint64(int(b) * width))

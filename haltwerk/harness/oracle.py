@@ -320,6 +320,12 @@ def oracle_sql() -> dict[str, str]:
     full_changes = _with("full_latest_1 full_latest_2", _upsert("full_latest_1", "full_latest_2", _CHANGE_KEY, _CHANGE_COLS))
     full_messages = _with("full_msg_1 full_msg_2", _upsert("full_msg_1", "full_msg_2", _MESSAGE_KEY, _MESSAGE_COLS))
     recent_changes = _with("history", f"SELECT {changes} FROM history")
+    # The later batch is there first: what comes after it is older and stays inactive where its key is known.
+    kept = ", ".join(c for c in _CHANGE_COLS if c != "IsActive")
+    same = " AND ".join(f"n.{k} = o.{k}" for k in _CHANGE_KEY)
+    late = f"""
+        SELECT {kept}, true AS IsActive FROM latest_2 UNION ALL
+        SELECT {kept}, NOT EXISTS (SELECT 1 FROM latest_2 n WHERE {same}) AS IsActive FROM latest_1 o"""
     recent_messages = _with(
         "latest_msg_1 latest_msg_2", _upsert("latest_msg_1", "latest_msg_2", _MESSAGE_KEY, _MESSAGE_COLS)
     )
@@ -327,7 +333,7 @@ def oracle_sql() -> dict[str, str]:
         "xml_roundtrip": _ORDERS,
         "xml_source_file": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
         "jsonl_source": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
-        "batch_profile": "SELECT count(*) > 0 AS has_files, count(*) > 0 AS has_bytes, count(*) AS n_records FROM events",
+        "batch_profile": "SELECT 6 AS n_files, count(*) > 0 AS has_bytes, count(*) AS n_records FROM events",
         "payload_yield": _YIELD,
         "payload_records": _with("ids plan_raw", _RECORDS),
         "payload_rejects": """
@@ -362,11 +368,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderkey, {_pack('o_orderdate')} AS packed, {_unpack(_pack('o_orderdate'))} AS decoded,
                    strftime(o_orderdate, '%Y%m%d_%H%M%S') AS batch_name
             FROM orders""",
-        "delay_minutes": _with("plan_first latest", f"""
-            SELECT p.EventId, CAST(CASE WHEN c.ChangedTime IS NULL THEN 0 ELSE date_sub('minute',
-                       {_unpack('p.Arrival_PlannedTime')}, {_unpack('c.ChangedTime')}) END AS BIGINT) AS delay
-            FROM plan_first p LEFT JOIN latest c
-              ON c.EventId = p.EventId AND c.EventType = 'Arrival' AND NOT c.IsUnplannedEvent"""),
+        "delay_minutes": _with("planned_long latest", f"""
+            SELECT p.EventId, p.EventType, CAST(CASE WHEN c.ChangedTime IS NULL THEN 0
+                       ELSE date_sub('minute', p.PlannedTime, {_unpack('c.ChangedTime')}) END AS BIGINT) AS delay
+            FROM planned_long p LEFT JOIN latest c
+              ON c.EventId = p.EventId AND c.EventType = p.EventType AND NOT c.IsUnplannedEvent"""),
         "unpivot_planned": _with("planned_long", "SELECT * FROM planned_long"),
         "added_baseline": _with("latest", _added("latest")),
         "delay_fact": _with("delay", "SELECT * FROM delay"),
@@ -385,9 +391,31 @@ def oracle_sql() -> dict[str, str]:
         "load_full_messages": full_messages,
         "load_recent_messages": recent_messages,
         "raw_archive": _with("stops", f"""
-            SELECT CASE WHEN {_BEFORE} THEN '20240120_000000' ELSE '20240131_000000' END AS batch_id,
+            SELECT unnest(CASE WHEN {_BEFORE} THEN ['first', 'same-1', 'clock-1'] ELSE ['second', 'same-2', 'clock-2'] END) AS batch_id,
                    CAST(user_id AS VARCHAR) AS eva, sid AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS collected_at
             FROM stops"""),
+        "xml_broken_records": """
+            SELECT CASE WHEN event_id % 5 <> 2 THEN CAST(event_id AS VARCHAR) END AS id, count(*) AS n FROM events GROUP BY ALL""",
+        "file_rejects": """
+            SELECT '2' AS eva, count(*) AS n FROM events WHERE event_type NOT IN ('error', 'signup') UNION ALL
+            SELECT 'rejected', count(*) FROM events WHERE event_type IN ('error', 'signup')""",
+        "find_event": _with("changes", f"SELECT {changes} FROM changes WHERE EventId = (SELECT min(EventId) FROM changes)"),
+        "message_rejects": _with("stops", """
+            SELECT EventType, count(*) AS n_rejected FROM (
+                SELECT 'Arrival' AS EventType FROM stops WHERE has_ar AND event_type <> 'view' AND user_id % 2 = 0 UNION ALL
+                SELECT 'Departure' FROM stops WHERE has_dp AND event_type <> 'view' AND user_id % 2 = 0 UNION ALL
+                SELECT 'Stop' FROM stops WHERE (kind = 3 OR event_type = 'purchase') AND user_id % 2 = 0) GROUP BY ALL"""),
+        "scd2_upsert_late": _with("latest_1 latest_2", late),
+        "load_late_changes": _with("latest_1 latest_2", late),
+        "scd2_interval_reopen": _with("old new", f"""
+            SELECT * FROM ({_interval('old')}) UNION ALL
+            SELECT n.* FROM new n
+            WHERE EXISTS (SELECT 1 FROM old o WHERE n.eva_number = o.eva_number AND n.creation_timestamp = o.creation_timestamp)
+              AND NOT EXISTS (SELECT 1 FROM old o WHERE n.eva_number = o.eva_number AND n.creation_timestamp = o.creation_timestamp
+                              AND o.ValidTo = DATE '9999-12-31')"""),
+        "delay_fact_day": _with("planned_long history", f"""
+            SELECT *, split_part(EventId, '-', 2)[1:6] AS ServiceDay FROM ({_delay('history')})
+            WHERE split_part(EventId, '-', 2)[1:6] IN ('240102', '240105')"""),
         "sql_views": _with("delay old_open latest_msg", """
             SELECT v.EventType, count(*) AS n_events, count(*) FILTER (WHERE v.IsCancelled) AS n_cancelled,
                    count(s.eva_number) AS n_main, CAST(sum(coalesce(m.n, 0)) AS BIGINT) AS n_messages

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import batch_name, delay_minutes, pack_time, packed_time
@@ -16,9 +17,11 @@ from ..operators import (
     batch_profile,
     clean_stations,
     deactivate,
+    find_event,
     first_planned,
     flatten_planned,
     merge_insert_only,
+    message_rejects,
     null_audit,
     open_main_stations,
     require_nonempty,
@@ -30,6 +33,7 @@ from ..operators import (
     worklist,
 )
 from ..plans import (
+    SERVICE_DAY,
     added_events,
     collected_at,
     delay_fact,
@@ -67,6 +71,7 @@ from ..sources import (
     read_records_xml,
     record_text,
     shred_payloads,
+    split_rejects,
     write_records_json,
     write_records_xml,
 )
@@ -111,8 +116,13 @@ def jsonl_source(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def profile(spark: SparkSession, sf: str) -> DataFrame:
-    counted = batch_profile(require_nonempty(_event_lines(spark, sf)))
-    return counted.select((F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > 0).alias("has_bytes"), "n_records")
+    """Five files with records and one without."""
+    ev = B.events(spark, sf)
+    path = work_dir(spark, "profile")
+    ev.repartition(5).write.json(path)
+    spark.range(0, 1, 1, 1).select(F.lit("").alias("value")).write.mode("append").text(path)
+    counted = batch_profile(require_nonempty(read_records_json(spark, path, ev.schema)))
+    return counted.select("n_files", (F.col("n_bytes") > 0).alias("has_bytes"), "n_records")
 
 
 def payload_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -305,12 +315,11 @@ def packed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def delays(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrivals and departures of planned events."""
     ev = B.events(spark, sf)
-    changes = _changes(ev).where((F.col("EventType") == "Arrival") & ~F.col("IsUnplannedEvent"))
-    joined = planned_rows(B.planned_stops(ev)).join(changes.select("EventId", "ChangedTime"), "EventId", "left")
-    return joined.select(
-        "EventId", delay_minutes(packed_time("Arrival_PlannedTime"), packed_time("ChangedTime")).alias("delay")
-    )
+    changes = _changes(ev).where(~F.col("IsUnplannedEvent")).select("EventId", "EventType", "ChangedTime")
+    joined = planned_events(planned_rows(B.planned_stops(ev))).join(changes, ["EventId", "EventType"], "left")
+    return joined.select("EventId", "EventType", delay_minutes("PlannedTime", packed_time("ChangedTime")).alias("delay"))
 
 
 # curated ---------------------------------------------------------------------------------------
@@ -329,15 +338,27 @@ def delay_table_history(spark: SparkSession, sf: str) -> DataFrame:
     return delay_fact(planned_rows(B.planned_stops(B.events(spark, sf))), _event_history(spark, sf))
 
 
-def delay_table_stored(spark: SparkSession, sf: str) -> DataFrame:
-    """Plan and changes loaded into their tables, then joined from there."""
+def _curated(spark: SparkSession, sf: str) -> str:
+    """Plan and changes loaded into their tables."""
     base, ev = work_dir(spark, "curated"), B.events(spark, sf)
     load_planned(B.planned_stops(ev), f"{base}/planned")
     for n, part in enumerate((B.first_batch(ev), B.second_batch(ev))):
         load_recent_changes(_jsonl(spark, B.changed_stops_json(part)), f"{base}/changes", f"recent-{n}")
-    return delay_fact(
-        read_appended(spark, f"{base}/planned", S.FACT_PLANNED), read_active(spark, f"{base}/changes", S.FACT_CHANGED)
-    )
+    return base
+
+
+def delay_table_stored(spark: SparkSession, sf: str) -> DataFrame:
+    base = _curated(spark, sf)
+    changed = read_active(spark, f"{base}/changes", S.FACT_CHANGED, S.CHANGED_KEY)
+    return delay_fact(read_appended(spark, f"{base}/planned", S.FACT_PLANNED), changed)
+
+
+def delay_table_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Two service days of the stored tables."""
+    base = _curated(spark, sf)
+    planned = read_appended(spark, f"{base}/planned", S.FACT_PLANNED, day=SERVICE_DAY)
+    changed = read_active(spark, f"{base}/changes", S.FACT_CHANGED, S.CHANGED_KEY, day=SERVICE_DAY)
+    return delay_fact(planned, changed, days=["240102", "240105"])
 
 
 def cancellation(spark: SparkSession, sf: str) -> DataFrame:
@@ -372,13 +393,14 @@ def stations(spark: SparkSession, sf: str) -> DataFrame:
     path, customers = work_dir(spark, "stations"), B.table(spark, sf, "customer")
     for renewed, day in ((False, B.OLD_FROM), (True, B.NEW_FROM)):
         raw = _xml(spark, B.stations_xml(customers, renewed), S.STATION_XML, "station", "stations")
-        load_stations(raw, path, day, min_main_stations=1)
+        for _ in range(2):  # the replay of a batch changes nothing
+            load_stations(raw, path, day, min_main_stations=1, batch=str(day))
     return read_whole(spark, path, S.DIM_STATIONS)
 
 
 def planned(spark: SparkSession, sf: str) -> DataFrame:
     path, ev = work_dir(spark, "planned"), B.events(spark, sf)
-    create_if_absent(spark, path, S.FACT_PLANNED, by_day=True)
+    create_if_absent(spark, path, S.FACT_PLANNED)
     again = B.planned_stops(ev)
     for side in ("ar", "dp"):
         again = again.withColumn(side, F.when(F.col(side).isNotNull(), F.col(side).withField("_pp", F.lit("99"))))
@@ -387,47 +409,127 @@ def planned(spark: SparkSession, sf: str) -> DataFrame:
     return read_appended(spark, path, S.FACT_PLANNED)
 
 
-def _full(spark: SparkSession, sf: str, load: Callable, schema) -> DataFrame:
+def _full(spark: SparkSession, sf: str, load: Callable, schema, keys) -> DataFrame:
     path, ev = work_dir(spark, "full"), B.events(spark, sf)
-    create_if_absent(spark, path, schema, by_day=True)
+    create_if_absent(spark, path, schema)
     for text, part in ((B.FULL_TS_1, B.first_batch(ev)), (B.FULL_TS_2, B.second_batch(ev))):
         load(_xml(spark, B.changed_stops_xml(part), S.CHANGED_XML), path, B.stamp(text), f"full-{text}")
-    return _zone_free(read_history(spark, path, schema))
+    return _zone_free(read_history(spark, path, schema, keys))
 
 
-def _recent(spark: SparkSession, sf: str, load: Callable, schema) -> DataFrame:
+def _recent(spark: SparkSession, sf: str, load: Callable, schema, keys) -> DataFrame:
     path, ev = work_dir(spark, "recent"), B.events(spark, sf)
-    create_if_absent(spark, path, schema, by_day=True)
+    create_if_absent(spark, path, schema)
     for n, part in enumerate((B.first_batch(ev), B.second_batch(ev))):
         load(_jsonl(spark, B.changed_stops_json(part)), path, f"recent-{n}")
-    return _zone_free(read_history(spark, path, schema))
+    return _zone_free(read_history(spark, path, schema, keys))
 
 
 def full_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return _full(spark, sf, load_full_changes, S.FACT_CHANGED)
+    return _full(spark, sf, load_full_changes, S.FACT_CHANGED, S.CHANGED_KEY)
 
 
 def full_messages(spark: SparkSession, sf: str) -> DataFrame:
-    return _full(spark, sf, load_full_messages, S.FACT_MESSAGES)
+    return _full(spark, sf, load_full_messages, S.FACT_MESSAGES, S.MESSAGE_KEY)
 
 
 def recent_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return _recent(spark, sf, load_recent_changes, S.FACT_CHANGED)
+    return _recent(spark, sf, load_recent_changes, S.FACT_CHANGED, S.CHANGED_KEY)
 
 
 def recent_messages(spark: SparkSession, sf: str) -> DataFrame:
-    return _recent(spark, sf, load_recent_messages, S.FACT_MESSAGES)
+    return _recent(spark, sf, load_recent_messages, S.FACT_MESSAGES, S.MESSAGE_KEY)
 
 
 def raw_archive(spark: SparkSession, sf: str) -> DataFrame:
-    """Both raw batches kept under their names; the first is archived twice."""
+    """Both raw batches kept under their names, the first twice, and both again as two batches of one second and as
+    two that share their wall-clock time when clocks go back."""
     path, ev = work_dir(spark, "archive"), B.events(spark, sf)
     first, second = B.changed_stops_json(B.first_batch(ev)), B.changed_stops_json(B.second_batch(ev))
-    for raw, text in ((first, B.FULL_TS_1), (second, B.FULL_TS_2), (first, B.FULL_TS_1)):
-        archive_raw(raw, path, B.stamp(text))
+    same = "2024-02-01 10:00:00"
+    for raw, name, text in (
+        (first, "first", B.FULL_TS_1),
+        (second, "second", B.FULL_TS_2),
+        (first, "first", B.FULL_TS_1),
+        (first, "same-1", same),
+        (second, "same-2", same),
+        (first, "clock-1", "2024-10-27 00:30:00"),
+        (second, "clock-2", "2024-10-27 01:30:00"),
+    ):
+        archive_raw(raw, path, name, B.stamp(text))
     return spark.read.parquet(path).select("batch_id", "eva", "id", F.col("_collected_at").alias("collected_at"))
 
 
+def broken_xml(spark: SparkSession, sf: str) -> DataFrame:
+    """Wrapper documents with self-closing, open, broken and commented records; ids that were read, NULL for broken ones."""
+    ev, path = B.events(spark, sf), work_dir(spark, "broken")
+    s_id = F.col("event_id").cast("string")
+    attributes = F.concat(F.lit(' _id="'), s_id, F.lit('"'))
+    kinds = F.element_at(
+        F.array(
+            F.concat(F.lit("<s"), attributes, F.lit("/>")),
+            F.concat(F.lit("<s"), attributes, F.lit("><tl/></s>")),
+            F.concat(F.lit("<s"), attributes, F.lit("><ar></s>")),
+            F.concat(F.lit("<!-- "), s_id, F.lit(" </s> --><s"), attributes, F.lit("><tl/></s>")),
+            F.concat(F.lit("<!-- gone --><s"), attributes, F.lit("/>")),
+        ),
+        (F.col("event_id") % 5 + 1).cast("int"),
+    )
+    lines = F.array_join(F.array_sort(F.collect_list(kinds)), "")
+    head = F.lit('<?xml version="1.0"?><!DOCTYPE timetable [<!ELEMENT s ANY>]><timetable>')
+    # One document for every 20 events.
+    documents = ev.groupBy((F.col("event_id") / 20).cast("long").alias("d")).agg(F.concat(head, lines, F.lit("</timetable>")).alias("value"))
+    documents.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    schema = T.StructType([T.StructField("__id", T.StringType())])
+    return read_records_xml(spark, path, schema, "s", root_tag="timetable").groupBy(F.col("__id").alias("id")).agg(F.count("*").alias("n"))
+
+
+def file_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Records with an id, and how many lines had none: broken lines and records without."""
+    ev, path = B.events(spark, sf), work_dir(spark, "rejects")
+    text = ev.select(
+        F.when(F.col("event_type") == "error", F.concat(F.lit('{"id": "'), F.col("event_id").cast("string")))
+        .when(F.col("event_type") == "signup", F.lit('{"eva": "1"}'))
+        .otherwise(F.concat(F.lit('{"id": "'), F.col("event_id").cast("string"), F.lit('", "eva": "2"}')))
+        .alias("value")
+    )
+    text.write.text(path)
+    records, rejects = split_rejects(read_records_json(spark, path, S.CHANGED_JSON))
+    return records.groupBy("eva").agg(F.count("*").alias("n")).unionByName(rejects.select(F.lit("rejected").alias("eva"), F.col("n_rejected").alias("n")))
+
+
+def one_event(spark: SparkSession, sf: str) -> DataFrame:
+    """All changes of the first event id."""
+    changes = stop_events(B.changed_stops_json(B.events(spark, sf)), collected_at(), "")
+    return _zone_free(find_event(changes, changes.agg(F.min("EventId")).head()[0]))
+
+
+def unread_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Message texts of errors cut in half."""
+    stops = B.changed_stops_json(B.events(spark, sf))
+    half = lambda c: F.when(F.col("eva").cast("long") % 2 == 0, F.concat(F.lit("["), F.col(c))).otherwise(F.col(c))
+    cut = stops.withColumns({"ar": F.col("ar").withField("m", half("ar.m")), "dp": F.col("dp").withField("m", half("dp.m")), "m": half("m")})
+    return message_rejects(cut)
+
+
+def upsert_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The earlier batch arrives after the later one and must not win."""
+    first, second = _two(spark, sf, _changes)
+    return _zone_free(scd2_flag_upsert(second, first, S.CHANGED_KEY, guard_late=True))
+
+
+def history_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the stored history."""
+    path, ev = work_dir(spark, "late"), B.events(spark, sf)
+    for part in (B.second_batch(ev), B.first_batch(ev)):
+        load_recent_changes(B.changed_stops_json(part), path)
+    return _zone_free(read_history(spark, path, S.FACT_CHANGED, S.CHANGED_KEY, guard_late=True))
+
+
+def interval_reopen(spark: SparkSession, sf: str) -> DataFrame:
+    return scd2_interval(_old(spark, sf), _clean(spark, sf, True), S.STATION_KEY, B.NEW_FROM, OPEN_END, reopen=True)
+
+
 def sql_views(spark: SparkSession, sf: str) -> DataFrame:
     """All tables loaded, registered as views and queried in SQL."""
     base, ev, customers = work_dir(spark, "views"), B.events(spark, sf), B.table(spark, sf, "customer")
@@ -484,11 +586,11 @@ def _streamed(spark: SparkSession, sf: str) -> str:
 
 
 def stream_events(spark: SparkSession, sf: str) -> DataFrame:
-    return _zone_free(read_history(spark, f"{_streamed(spark, sf)}/changes", S.FACT_CHANGED))
+    return _zone_free(read_history(spark, f"{_streamed(spark, sf)}/changes", S.FACT_CHANGED, S.CHANGED_KEY, guard_late=True))
 
 
 def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
-    return _zone_free(read_history(spark, f"{_streamed(spark, sf)}/messages", S.FACT_MESSAGES))
+    return _zone_free(read_history(spark, f"{_streamed(spark, sf)}/messages", S.FACT_MESSAGES, S.MESSAGE_KEY, guard_late=True))
 
 
 def queries() -> dict[str, Query]:
@@ -539,6 +641,14 @@ def queries() -> dict[str, Query]:
         "load_recent_messages": recent_messages,
         "raw_archive": raw_archive,
         "sql_views": sql_views,
+        "xml_broken_records": broken_xml,
+        "file_rejects": file_rejects,
+        "find_event": one_event,
+        "message_rejects": unread_messages,
+        "scd2_upsert_late": upsert_late,
+        "load_late_changes": history_late,
+        "scd2_interval_reopen": interval_reopen,
+        "delay_fact_day": delay_table_days,
         "stream_ingest": stream_ingest,
         "stream_scd2_events": stream_events,
         "stream_scd2_messages": stream_messages,

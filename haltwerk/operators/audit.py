@@ -14,15 +14,16 @@ def require_nonempty(df: DataFrame, what: str = "batch") -> DataFrame:
 
 
 def batch_profile(df: DataFrame) -> DataFrame:
-    """Files, bytes and records of a file-based DataFrame, in one row."""
-    per_file = df.groupBy(
-        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")
-    ).agg(F.count("*").alias("records"))
-    return per_file.agg(
-        F.count("*").alias("n_files"),
-        F.coalesce(F.sum("file_size"), F.lit(0)).alias("n_bytes"),
-        F.coalesce(F.sum("records"), F.lit(0)).alias("n_records"),
-    )
+    """Files, bytes and records of a file-based DataFrame, in one row.
+
+    The file list is the one that reading ``df`` has made, so empty files count; their sizes are
+    listed without reading them, and records are counted by the scan.
+    """
+    files = df.inputFiles()
+    sizes = df.sparkSession.read.format("binaryFile").load(files).select("length") if files else df.sparkSession.range(0).select(F.col("id").alias("length"))
+    n_bytes = sizes.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes"))
+    # One row on either side.
+    return n_bytes.join(df.agg(F.count("*").alias("n_records")), F.lit(True)).select(F.lit(len(files)).cast("long").alias("n_files"), "n_bytes", "n_records")
 
 
 def null_audit(df: DataFrame, column: str) -> DataFrame:

@@ -8,6 +8,7 @@ single struct members are picked, Parquet reads only those members.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +79,25 @@ def stop_events(
     return shred(stops.where(has_ar | has_dp), sides).unionByName(shred(bare, _labels(STOP)).distinct())
 
 
+_LISTS = {ARRIVAL: "ar.m", DEPARTURE: "dp.m", STOP: "m"}
+
+
+def _list_of(label: str) -> str:
+    return f"__{label}"
+
+
+def _with_lists(stops: DataFrame) -> DataFrame:
+    """A row for each message list of a stop, labelled, with the lists as columns of their own.
+
+    Stops without any list are dropped by the scan, before the explode.
+    """
+    some = reduce(Column.__or__, (F.col(c).isNotNull() for c in _LISTS.values()))
+    others = [c for c in stops.columns if c not in ("ar", "dp", "m")]
+    flat = stops.where(some).select(*others, *(F.col(c).alias(_list_of(label)) for label, c in _LISTS.items()))
+    labels = F.array(*(F.when(F.col(_list_of(label)).isNotNull(), F.lit(label)) for label in _LISTS))
+    return flat.withColumn(_LABEL, F.explode(labels)).where(F.col(_LABEL).isNotNull())
+
+
 def stop_messages(stops: DataFrame, snapshot: Column, prefix: str = "_", json_text: bool = False) -> DataFrame:
     """One row per message of the arrival, departure and stop lists.
 
@@ -85,7 +105,8 @@ def stop_messages(stops: DataFrame, snapshot: Column, prefix: str = "_", json_te
     counts as a list of one. Text that does not parse gives no rows (``message_rejects``
     counts it).
     """
-    lists = _by_label({ARRIVAL: F.col("ar.m"), DEPARTURE: F.col("dp.m"), STOP: F.col("m")})
+    present = _with_lists(stops)
+    lists = _by_label({label: F.col(_list_of(label)) for label in _LISTS})
     msg = F.from_json(lists, MESSAGES_JSON) if json_text else lists
     at_stop = F.col(_LABEL) == STOP
 
@@ -93,7 +114,7 @@ def stop_messages(stops: DataFrame, snapshot: Column, prefix: str = "_", json_te
         return F.col(f"__msg.{prefix}{name}")
 
     sent = _long(part("ts"))
-    rows = stops.withColumn(_LABEL, F.explode(_labels(ARRIVAL, DEPARTURE, STOP))).withColumn("__msg", F.explode(msg))
+    rows = present.withColumn("__msg", F.explode(msg))
     return rows.select(
         _long(F.col(f"{prefix}eva")).alias("eva_number"),
         F.col(f"{prefix}id").alias("EventId"),
@@ -111,11 +132,11 @@ def stop_messages(stops: DataFrame, snapshot: Column, prefix: str = "_", json_te
 
 def message_rejects(stops: DataFrame) -> DataFrame:
     """How many message texts per event type do not parse as JSON."""
-    text = _by_label({ARRIVAL: F.col("ar.m"), DEPARTURE: F.col("dp.m"), STOP: F.col("m")})
+    text = _by_label({label: F.col(_list_of(label)) for label in _LISTS})
     return (
-        stops.withColumn(_LABEL, F.explode(_labels(ARRIVAL, DEPARTURE, STOP)))
+        _with_lists(stops)
         .select(_LABEL, text.alias("text"))
-        .where(F.col("text").isNotNull() & F.from_json("text", MESSAGES_JSON).isNull())
+        .where(F.from_json("text", MESSAGES_JSON).isNull())
         .groupBy(_LABEL)
         .agg(F.count("*").alias("n_rejected"))
     )

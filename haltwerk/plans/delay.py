@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,11 +20,17 @@ _GROUPS = {
     for side in (ARRIVAL, DEPARTURE)
 }
 _EVENT = ["EventId", "EventType"]
+#: The day part of stored tables, where their readers show it.
+SERVICE_DAY = "ServiceDay"
+
+
+def _day_of(df: DataFrame) -> list[str]:
+    return [SERVICE_DAY] if SERVICE_DAY in df.columns else []
 
 
 def planned_events(planned: DataFrame) -> DataFrame:
     """Planned arrivals and departures as rows, those with a time only."""
-    rows = unpivot_groups(planned, _GROUPS, ["EVA_Number", "EventId", "TrainName", "TrainType"])
+    rows = unpivot_groups(planned, _GROUPS, ["EVA_Number", "EventId", "TrainName", "TrainType", *_day_of(planned)])
     return rows.withColumn("PlannedTime", packed_time("PlannedTime")).where(F.col("PlannedTime").isNotNull())
 
 
@@ -44,20 +52,30 @@ def added_events(changed: DataFrame) -> DataFrame:
         F.col("ChangedPlatform").alias("PlannedPlatform"),
         nothing.alias("IsReplaced"),
         nothing.alias("ReplacementType"),
+        *_day_of(changed),
     )
 
 
 def latest_overlay(changed: DataFrame) -> DataFrame:
     """Active changes of planned events."""
     return _active(changed, unplanned=False).select(
-        *_EVENT, "EventStatus", "CancellationTime", "ChangedPlatform", packed_time("ChangedTime").alias("ChangedTime")
+        *_EVENT, "EventStatus", "CancellationTime", "ChangedPlatform", packed_time("ChangedTime").alias("ChangedTime"), *_day_of(changed)
     )
 
 
-def delay_fact(planned: DataFrame, changed: DataFrame) -> DataFrame:
-    """Every planned or added event with its actual platform and time, delay and cancellation."""
+def delay_fact(planned: DataFrame, changed: DataFrame, days: Sequence[str] | None = None) -> DataFrame:
+    """Every planned or added event with its actual platform and time, delay and cancellation.
+
+    If both tables show their day part, it is joined on (it follows from the event id) and kept, so a
+    filter on it, or ``days``, limits what is read of both.
+    """
+    day = [c for c in _day_of(planned) if c in changed.columns]
+    if not day:
+        planned, changed = planned.drop(SERVICE_DAY), changed.drop(SERVICE_DAY)
+    if days is not None:
+        planned, changed = (t.where(F.col(SERVICE_DAY).isin(list(days))) for t in (planned, changed))
     baseline = planned_events(planned).unionByName(added_events(changed))
-    joined = baseline.join(latest_overlay(changed), _EVENT, "left")
+    joined = baseline.join(latest_overlay(changed), [*_EVENT, *day], "left")
     return joined.select(
         "EVA_Number",
         "EventId",
@@ -73,4 +91,5 @@ def delay_fact(planned: DataFrame, changed: DataFrame) -> DataFrame:
         "ReplacementType",
         delay_minutes("PlannedTime", "ChangedTime").alias("DelayMinutes"),
         cancelled_flag(F.col("EventStatus")).alias("IsCancelled"),
+        *day,
     )

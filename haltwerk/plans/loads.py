@@ -27,6 +27,7 @@ from ..operators import (
 )
 from ..schemas import CHANGED_KEY, DIM_STATIONS, MESSAGE_KEY, PLANNED_KEY, STATION_KEY
 from ..sinks import append_new, publish, read_whole, upsert_history
+from .views import refresh_views
 
 # Fixed value.
 MIN_MAIN_STATIONS = 130
@@ -68,29 +69,50 @@ def load_stations(
     batch: str | None = None,
 ) -> bool:
     """Merge a full station list into the dimension; a list with too few open main
-    stations afterwards is not committed."""
+    stations afterwards is not committed. The list is parsed once."""
     current = read_whole(raw.sparkSession, path, DIM_STATIONS)
-    merged = scd2_interval(current, clean_stations(raw, run_date), STATION_KEY, run_date, OPEN_END)
-    return publish(merged, path, open_main_stations(suffix=suffix), min_main_stations, batch)
+    cleaned = clean_stations(raw, run_date).persist()
+    try:
+        merged = scd2_interval(current, cleaned, STATION_KEY, run_date, OPEN_END)
+        done = publish(merged, path, open_main_stations(suffix=suffix), min_main_stations, batch)
+    finally:
+        cleaned.unpersist()
+    return refreshed(raw, path, done)
+
+
+def refreshed(source: DataFrame, path: str, done: bool) -> bool:
+    """Views over the table at ``path`` see the batch."""
+    if done:
+        refresh_views(source.sparkSession, path)
+    return done
 
 
 def load_planned(stops: DataFrame, path: str, batch: str | None = None) -> bool:
     """Add plan rows of events not seen before."""
-    return append_new(planned_rows(stops), path, PLANNED_KEY, batch)
+    return refreshed(stops, path, append_new(planned_rows(stops), path, PLANNED_KEY, batch))
 
 
 def load_full_changes(stops: DataFrame, path: str, batch_ts, batch: str | None = None) -> bool:
-    return upsert_history(full_change_rows(stops, batch_ts), path, CHANGED_KEY, batch=batch)
+    return refreshed(stops, path, upsert_history(full_change_rows(stops, batch_ts), path, batch=batch))
 
 
-def load_recent_changes(stops: DataFrame, path: str, batch: str | None = None, guard_late: bool = False) -> bool:
+def load_recent_changes(stops: DataFrame, path: str, batch: str | None = None) -> bool:
     rows = recent_change_rows(require_nonempty(stops, "recent changes"))
-    return upsert_history(rows, path, CHANGED_KEY, batch=batch, guard_late=guard_late)
+    return refreshed(stops, path, upsert_history(rows, path, batch=batch))
 
 
 def load_full_messages(stops: DataFrame, path: str, batch_ts, batch: str | None = None) -> bool:
-    return upsert_history(full_message_rows(stops, batch_ts), path, MESSAGE_KEY, batch=batch)
+    return refreshed(stops, path, upsert_history(full_message_rows(stops, batch_ts), path, batch=batch))
+
+
+def load_recent_messages(stops: DataFrame, path: str, batch: str | None = None) -> bool:
+    return refreshed(stops, path, upsert_history(recent_message_rows(stops), path, batch=batch))
 
 
-def load_recent_messages(stops: DataFrame, path: str, batch: str | None = None, guard_late: bool = False) -> bool:
-    return upsert_history(recent_message_rows(stops), path, MESSAGE_KEY, batch=batch, guard_late=guard_late)
+def load_full(stops: DataFrame, changes: str, messages: str, batch_ts, batch: str | None = None) -> tuple[bool, bool]:
+    """Changes and messages of one file of XML stop records, parsed once."""
+    stops = stops.persist()
+    try:
+        return load_full_changes(stops, changes, batch_ts, batch), load_full_messages(stops, messages, batch_ts, batch)
+    finally:
+        stops.unpersist()

@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import SparkSession
 
-from ..schemas import DIM_STATIONS, FACT_CHANGED, FACT_MESSAGES, FACT_PLANNED
+from ..schemas import CHANGED_KEY, DIM_STATIONS, FACT_CHANGED, FACT_MESSAGES, FACT_PLANNED, MESSAGE_KEY
 from ..sinks import read_active, read_appended, read_history, read_whole
-from .delay import delay_fact
+from .delay import SERVICE_DAY, delay_fact
+
+_registered: WeakKeyDictionary[SparkSession, tuple[tuple[str, str, str, str], bool]] = WeakKeyDictionary()
+
 
+def register_views(spark: SparkSession, stations: str, planned: str, changed: str, messages: str, guard_late: bool = False) -> None:
+    """Temporary views over the tables at these paths.
 
-def register_views(spark: SparkSession, stations: str, planned: str, changed: str, messages: str) -> None:
-    """Temporary views over the tables at these paths, at their newest snapshots."""
-    plan = read_appended(spark, planned, FACT_PLANNED)
+    A view lists the folders that are there when it is registered. The loads of this session register
+    them again after each batch; after a batch of another process call ``refresh_views``. The facts and
+    the delay table have the column ServiceDay: a filter on it limits what is read. ``guard_late`` as in ``read_history``.
+    """
+    _registered[spark] = ((stations, planned, changed, messages), guard_late)
+    plan = read_appended(spark, planned, FACT_PLANNED, day=SERVICE_DAY)
+    active = read_active(spark, changed, FACT_CHANGED, CHANGED_KEY, guard_late=guard_late, day=SERVICE_DAY)
     views = {
         "dim_stations": read_whole(spark, stations, DIM_STATIONS),
         "fact_plannedtimetable": plan,
-        "fact_changedtimetable": read_history(spark, changed, FACT_CHANGED),
-        "fact_messages": read_history(spark, messages, FACT_MESSAGES),
-        "v_traindelayfact": delay_fact(plan, read_active(spark, changed, FACT_CHANGED)),
+        "fact_changedtimetable": read_history(spark, changed, FACT_CHANGED, CHANGED_KEY, guard_late=guard_late, day=SERVICE_DAY),
+        "fact_messages": read_history(spark, messages, FACT_MESSAGES, MESSAGE_KEY, guard_late=guard_late, day=SERVICE_DAY),
+        "v_traindelayfact": delay_fact(plan, active),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+
+
+def refresh_views(spark: SparkSession, path: str | None = None) -> None:
+    """Register the session's views again, if it has any (over the table at ``path``)."""
+    known = _registered.get(spark)
+    if known and (path is None or path in known[0]):
+        register_views(spark, *known[0], guard_late=known[1])

@@ -1,40 +1,37 @@
-"""Tables as numbered snapshots in plain Parquet folders.
-
-``<path>/data/snapshot_id=<n>`` holds what batch ``n`` wrote; ``<path>/commits`` holds one
-small JSON file per committed snapshot. Data is written first, checked, and becomes
-visible only with its commit record, so a failed or lost job leaves the table as it was
-and a retry overwrites its own leftovers. Nothing that is being read is overwritten.
-One writer per table.
-
-Three ways to read a table at snapshot ``n``:
-
-- whole: each snapshot is a full copy (dimension);
-- appended: all snapshots up to ``n`` together, laid out by day part (insert-only fact);
-- flag history: inactive rows of all snapshots up to ``n``, and for every day part the
-  active rows of the last snapshot that rewrote this part. A batch reads and rewrites
-  only the active rows of the day parts it touches; history is never read or rewritten.
-
-The commit log is reduced in Spark to one entry per day part before it reaches the driver:
-two-digit years allow 36,525 days, so that is its bound.
+"""Tables in plain Parquet folders.
+
+A fact is appended to: a batch writes ``<path>/data/part=<day>/batch=<name>`` and nothing else, so
+its cost is its own rows, and batches of several writers under different names never touch
+each other. Every row carries the time its load began (``LoadOrder``). What is active is found on
+read: of the rows of one key the one loaded last, or, where late data has to be guarded against, the one with
+the newest snapshot time. A batch becomes visible when Spark's job commit moves its folders into place; before that,
+also after a lost attempt, its rows lie in a staging folder. Then a small file below ``<path>/done`` notes its name, and a
+replay is skipped. A retry under the same name replaces the batch's folders.
+
+A dimension is replaced as a whole: ``<path>/data/snapshot_id=<n>`` is written, checked, and becomes
+current with its commit record. One writer; a lost attempt's folder is overwritten by the next.
 """
 
 from __future__ import annotations
 
+import hashlib
+import time
+import uuid
 from collections.abc import Callable, Sequence
-from typing import NamedTuple
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import service_day
-from ..operators.merge import flag_changes, new_rows
+from ..operators.merge import new_rows
 
-_ID = T.StructField("snapshot_id", T.LongType())
-_PART = T.StructField("part", T.StringType())
-_NO_PART = "none"  # entry of a snapshot that is not laid out by day
-_COMMIT = T.StructType([_ID, T.StructField("batch", T.StringType()), _PART])
+_ORDER = "LoadOrder"
+_LAYOUT = [T.StructField(_ORDER, T.LongType()), T.StructField("part", T.StringType()), T.StructField("batch", T.StringType())]
+_COMMIT = T.StructType([T.StructField("snapshot_id", T.LongType())])
+_CREATED = "table created"
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -42,66 +39,37 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(1).limit(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, kind: str) -> DataFrame:
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType, kind: str, **options: str) -> DataFrame:
     try:
-        return spark.read.schema(schema).format(kind).load(path)
+        return spark.read.schema(schema).options(**options).format(kind).load(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return _empty(spark, schema)
 
 
-def _commits(spark: SparkSession, path: str) -> DataFrame:
-    return _read_or_empty(spark, f"{path}/commits", _COMMIT, "json")
-
+# batches that are done -------------------------------------------------------------------
 
-class _Log(NamedTuple):
-    newest: dict[str, int]  # day part -> last snapshot that wrote it
-    done: bool  # the batch asked for is committed
 
-    @property
-    def current(self) -> int | None:
-        return max(self.newest.values(), default=None)
-
-
-def _log(spark: SparkSession, path: str, batch: str | None = None, upto: int | None = None) -> _Log:
-    entries = _commits(spark, path)
-    if upto is not None:
-        entries = entries.where(F.col("snapshot_id") <= upto)
-    seen = F.max(F.col("batch") == F.lit(batch)) if batch is not None else F.lit(False)
-    rows = entries.groupBy("part").agg(F.max("snapshot_id").alias("newest"), seen.alias("seen")).collect()
-    return _Log({r["part"]: r["newest"] for r in rows}, any(r["seen"] for r in rows))
-
-
-def current_snapshot(spark: SparkSession, path: str) -> int | None:
-    """Number of the newest committed snapshot, or None."""
-    return _log(spark, path).current
+def _note(path: str, batch: str) -> str:
+    return f"{path}/done/{hashlib.sha256(batch.encode()).hexdigest()}"
 
 
 def batch_committed(spark: SparkSession, path: str, batch: str) -> bool:
-    return _log(spark, path, batch).done
-
-
-def _after(snapshot: int | None) -> int:
-    return 0 if snapshot is None else snapshot + 1
+    """Whether a batch of this name is done. Looks at its own note only, however many there are."""
+    return not _read_or_empty(spark, _note(path, batch), T.StructType([T.StructField("batch", T.StringType())]), "json").isEmpty()
 
 
-def _commit(
-    spark: SparkSession, path: str, snapshot_id: int, batch: str | None = None, parts: Sequence[str] = (_NO_PART,)
-) -> None:
-    record = spark.range(0, 1, 1, 1).select(  # one partition, one file: all or nothing
-        F.lit(snapshot_id).cast("long").alias("snapshot_id"),
-        F.lit(batch).cast("string").alias("batch"),
-        F.explode(F.lit(list(parts))).alias("part"),
-    )
-    record.write.mode("append").json(f"{path}/commits")
+def _mark_done(spark: SparkSession, path: str, batch: str) -> None:
+    spark.range(0, 1, 1, 1).select(F.lit(batch).alias("batch")).write.mode("overwrite").json(_note(path, batch))
 
 
-def _data(spark: SparkSession, path: str, schema: T.StructType, extra: Sequence[T.StructField] = ()) -> DataFrame:
-    return _read_or_empty(spark, f"{path}/data", T.StructType([*schema.fields, _ID, *extra]), "parquet")
+# whole snapshots -----------------------------------------------------------------------
 
 
-# whole snapshots -----------------------------------------------------------------------
+def current_snapshot(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest committed snapshot, or None."""
+    return _read_or_empty(spark, f"{path}/commits", _COMMIT, "json").agg(F.max("snapshot_id").alias("n")).first()["n"]
 
 
 def publish(
@@ -114,17 +82,24 @@ def publish(
     """Write ``df`` as the next whole snapshot; commit it only if it passes the check.
 
     ``check`` is an aggregate over the written rows (the input is not computed twice).
-    Returns whether the snapshot was committed; if not, the previous one stays current.
+    Returns whether the snapshot was committed; if not, the previous one stays current. A batch
+    that is done is skipped.
     """
     spark = df.sparkSession
-    n = _after(current_snapshot(spark, path))
+    if batch is not None and batch_committed(spark, path, batch):
+        return False
+    current = current_snapshot(spark, path)
+    n = 0 if current is None else current + 1
     target = f"{path}/data/snapshot_id={n}"
     df.write.mode("overwrite").parquet(target)
     if check is not None:
         value = spark.read.schema(df.schema).parquet(target).agg(check.alias("v")).first()["v"]
         if value is None or value < min_value:
             return False
-    _commit(spark, path, n, batch)
+    # One partition, one file: all or nothing.
+    spark.range(0, 1, 1, 1).select(F.lit(n).cast("long").alias("snapshot_id")).write.mode("append").json(f"{path}/commits")
+    if batch is not None:
+        _mark_done(spark, path, batch)
     return True
 
 
@@ -142,12 +117,30 @@ def guarded_publish(candidate: DataFrame, previous: DataFrame, check: Column, mi
     return candidate if value is not None and value >= min_value else previous
 
 
-# appended snapshots ----------------------------------------------------------------------
+# appended batches ------------------------------------------------------------------------
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType, days: Sequence[str] | None = None) -> DataFrame:
+    """All rows with their layout columns; with ``days`` only the folders of these days are listed."""
+    full = T.StructType([*schema.fields, *_LAYOUT])
+    if days is not None and not days:
+        return _empty(spark, full)
+    where = f"{path}/data" if days is None else f"{path}/data/part={{{','.join(days)}}}"
+    return _read_or_empty(spark, where, full, "parquet", basePath=f"{path}/data")
+
+
+def _write_batch(rows: DataFrame, path: str, batch: str, began: int) -> None:
+    rows = rows.withColumns({_ORDER: F.lit(began).cast("long"), "batch": F.lit(batch)})
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        # Right-sized files: small parts share a task, a big part is split into many.
+        rows = rows.hint("rebalance", "part")
+    # Dynamic: only the batch's own folders are replaced, whatever the session's overwrite mode is.
+    rows.write.partitionBy("part", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(f"{path}/data")
+    _mark_done(rows.sparkSession, path, batch)
 
 
-def _days_of(rows: DataFrame) -> list[str]:
-    """Day parts of one batch; bounded by the number of days."""
-    return [r["part"] for r in rows.select("part").distinct().collect()]
+def _now() -> int:
+    return time.time_ns() // 1000
 
 
 def append_new(
@@ -159,123 +152,114 @@ def append_new(
 ) -> bool:
     """Insert-only merge into a stored table: only unknown rows are written.
 
-    Known keys are looked up in the day parts of the batch only.
+    Known keys are looked up in the day parts of the batch only; their number is bounded by that of days.
+    One writer for each day at a time: two that add the same unknown key both write it.
     """
-    spark = source.sparkSession
-    log = _log(spark, path, batch)
-    if log.done:
+    spark, began = source.sparkSession, _now()
+    if batch is not None and batch_committed(spark, path, batch):
         return False
+    batch = batch or uuid.uuid4().hex
     rows = source.withColumn("part", part("EventId")).persist()
     try:
-        touched = _days_of(rows)
-        known = _appended(spark, path, source.schema, log.current).where(F.col("part").isin(touched))
-        n = _after(log.current)
-        _write_parts(new_rows(known, rows, keys), f"{path}/data/snapshot_id={n}", "part")
-        _commit(spark, path, n, batch)
+        touched = [r["part"] for r in rows.select("part").distinct().collect()]
+        known = _stored(spark, path, source.schema, touched).where(F.col("batch") != batch)
+        _write_batch(new_rows(known, rows, keys), path, batch, began)
     finally:
         rows.unpersist()
     return True
 
 
-def read_appended(spark: SparkSession, path: str, schema: T.StructType, snapshot: int | None = None) -> DataFrame:
-    current = _log(spark, path, upto=snapshot).current
-    return _appended(spark, path, schema, current).select(*schema.names)
-
+def upsert_history(
+    source: DataFrame,
+    path: str,
+    flag: str = "IsActive",
+    batch: str | None = None,
+    part: Callable[[str], Column] = service_day,
+) -> bool:
+    """Add a batch (one row per key) to a history. Writes the batch's rows, reads and rewrites nothing.
 
-def _appended(spark: SparkSession, path: str, schema: T.StructType, snapshot: int | None) -> DataFrame:
-    if snapshot is None:
-        return _empty(spark, T.StructType([*schema.fields, _ID, _PART]))
-    return _data(spark, path, schema, [_PART]).where(F.col("snapshot_id") <= snapshot)
+    A batch name that is done is skipped, so a replay changes nothing. ``part`` must depend on the key only and take
+    a bounded number of values.
+    """
+    spark, began = source.sparkSession, _now()
+    if batch is not None and batch_committed(spark, path, batch):
+        return False
+    _write_batch(source.drop(flag).withColumn("part", part("EventId")), path, batch or uuid.uuid4().hex, began)
+    return True
 
 
-# flag history ------------------------------------------------------------------------------
+def _shown(rows: DataFrame, schema: T.StructType, day: str | None) -> DataFrame:
+    return rows.select(*schema.names, *([F.col("part").alias(day)] if day else []))
 
 
-def _active_rows(
-    spark: SparkSession, path: str, schema: T.StructType, flag: str, newest: dict[str, int]
+def read_appended(
+    spark: SparkSession, path: str, schema: T.StructType, days: Sequence[str] | None = None, day: str | None = None
 ) -> DataFrame:
-    """Active rows of the given day parts, with their part; lists only their folders."""
-    fields = [f for f in schema.fields if f.name != flag]
-    full = T.StructType([*fields, _ID, _PART, schema[flag]])
-    folders = [f"{path}/data/snapshot_id={n}/part={p}/{flag}=true" for p, n in newest.items() if p != _NO_PART]
-    if not folders:
-        return _empty(spark, full)
-    return spark.read.schema(full).option("basePath", f"{path}/data").parquet(*folders)
+    """An insert-only table; ``days`` limits it, ``day`` names a column that shows the day part."""
+    return _shown(_stored(spark, path, schema, days), schema, day)
 
 
-def read_active(
-    spark: SparkSession, path: str, schema: T.StructType, flag: str = "IsActive", snapshot: int | None = None
-) -> DataFrame:
-    """The active rows of a flag history; inactive folders are not even listed."""
-    newest = _log(spark, path, upto=snapshot).newest
-    return _active_rows(spark, path, schema, flag, newest).select(*schema.names)
+def _ranked(rows: DataFrame, keys: Sequence[str], guard_late: bool, snapshot: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with a whole key and their rank, rows with a NULL in their key). NULL equals nothing, so the latter are all active."""
+    newest = [F.col(_ORDER).desc(), F.col("batch").desc()]
+    if guard_late:
+        newest = [F.col(snapshot).desc_nulls_last(), *newest]
+    whole = reduce(Column.__and__, (F.col(k).isNotNull() for k in keys))
+    # The day follows from the key; in the window it lets a filter on days through to the scan.
+    place = F.row_number().over(Window.partitionBy("part", *keys).orderBy(*newest))
+    return rows.where(whole).withColumn("__rank", place), rows.where(~whole)
 
 
-def read_history(
-    spark: SparkSession, path: str, schema: T.StructType, flag: str = "IsActive", snapshot: int | None = None
-) -> DataFrame:
-    """A flag history table at ``snapshot`` (default: newest)."""
-    log = _log(spark, path, upto=snapshot)
-    if log.current is None:
-        return _empty(spark, schema)
-    active = _active_rows(spark, path, schema, flag, log.newest)
-    fields = T.StructType([f for f in schema.fields if f.name != flag])
-    stored = _data(spark, path, fields, [_PART, schema[flag]])
-    inactive = stored.where(~F.col(flag) & (F.col("snapshot_id") <= log.current))
-    return active.unionByName(inactive).select(*schema.names)
+def _history(spark: SparkSession, path: str, schema: T.StructType, flag: str, days: Sequence[str] | None) -> DataFrame:
+    return _stored(spark, path, T.StructType([f for f in schema.fields if f.name != flag]), days)
 
 
-def upsert_history(
-    source: DataFrame,
+def read_active(
+    spark: SparkSession,
     path: str,
+    schema: T.StructType,
     keys: Sequence[str],
     flag: str = "IsActive",
-    batch: str | None = None,
     guard_late: bool = False,
-    part: Callable[[str], Column] = service_day,
-) -> bool:
-    """Flag upsert of a batch (one row per key) into a stored history, as one commit.
+    snapshot: str = "SnapshotTimestamp",
+    days: Sequence[str] | None = None,
+    day: str | None = None,
+) -> DataFrame:
+    """The active rows of a history: the first of each key, kept before the shuffle in every task."""
+    ranked, loose = _ranked(_history(spark, path, schema, flag, days), keys, guard_late, snapshot)
+    active = ranked.where(F.col("__rank") == 1).drop("__rank").unionByName(loose)
+    return _shown(active.withColumn(flag, F.lit(True)), schema, day)
 
-    Cost follows the batch and the day parts it touches, not the table. A batch name that
-    was committed before is skipped, so a replay changes nothing. ``part`` must depend on
-    the key only and take a bounded number of values.
-    """
-    spark = source.sparkSession
-    log = _log(spark, path, batch)
-    if log.done:
-        return False
-    rows = source.withColumn("part", part("EventId")).persist()
-    try:
-        touched = _days_of(rows)
-        known = {p: log.newest[p] for p in touched if p in log.newest}
-        changes = rows
-        if known:
-            active = _active_rows(spark, path, source.schema, flag, known).select(*rows.columns)
-            changes = flag_changes(active, rows, keys, flag, guard_late)
-        n = _after(log.current)
-        _write_parts(changes, f"{path}/data/snapshot_id={n}", "part", flag)
-        _commit(spark, path, n, batch, touched or [_NO_PART])
-    finally:
-        rows.unpersist()
-    return True
 
+def read_history(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    flag: str = "IsActive",
+    guard_late: bool = False,
+    snapshot: str = "SnapshotTimestamp",
+    days: Sequence[str] | None = None,
+    day: str | None = None,
+) -> DataFrame:
+    """All versions, each with its flag.
 
-def _write_parts(rows: DataFrame, target: str, *columns: str) -> None:
-    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        # Right-sized files: small parts share a task, a big part is split into many.
-        rows = rows.hint("rebalance", *columns)
-    # Static: leftovers of a lost attempt go, whatever the session's overwrite mode is.
-    rows.write.partitionBy(*columns).option("partitionOverwriteMode", "static").mode("overwrite").parquet(target)
+    The row of a key that was loaded last is active; with ``guard_late`` the one with the newest
+    snapshot time (a row without one gives way), of equal ones the one loaded last.
+    """
+    ranked, loose = _ranked(_history(spark, path, schema, flag, days), keys, guard_late, snapshot)
+    rows = ranked.withColumn(flag, F.col("__rank") == 1).drop("__rank").unionByName(loose.withColumn(flag, F.lit(True)))
+    return _shown(rows, schema, day)
 
 
 # bootstrap -----------------------------------------------------------------------------------
 
 
-def create_if_absent(spark: SparkSession, path: str, schema: T.StructType, by_day: bool = False) -> bool:
-    """An empty table, unless the path already holds one."""
-    if current_snapshot(spark, path) is not None:
+def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+    """Note that there is a table here, unless the path already holds one. No folder of data is written, so
+    every reader of either kind of table gives no rows."""
+    there = current_snapshot(spark, path) is not None or batch_committed(spark, path, _CREATED)
+    if there or not _stored(spark, path, schema).isEmpty():
         return False
-    if not by_day:  # a table laid out by day has no folder before its first day
-        _empty(spark, schema).write.mode("overwrite").parquet(f"{path}/data/snapshot_id=0")
-    _commit(spark, path, 0)
+    _mark_done(spark, path, _CREATED)
     return True

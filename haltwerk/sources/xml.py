@@ -19,32 +19,45 @@ def read_records_xml(
     split it, so parallelism comes from the number of files. With ``root_tag``, the
     wrapper's element, files are read as text cut at the closing tags, which Spark does
     split: one huge wrapper document is then read by many tasks. Use it for UTF-8 files
-    whose records are not all self-closing. A record that cannot be parsed gives one row
-    of NULLs either way.
+    whose records are not all self-closing, without CDATA sections and without comments that hold two closing
+    tags. A record that cannot be parsed gives one row of NULLs and costs no other record; prologs,
+    document types and comments give none.
     """
     if root_tag is None:
         return spark.read.schema(schema).format("xml").option("rowTag", row_tag).load(path)
 
     document = T.StructType([T.StructField(row_tag, T.ArrayType(schema)), T.StructField(_CORRUPT, T.StringType())])
 
-    def parsed(*closing: str) -> Column:
-        parts = [F.lit("<r>"), F.col("body"), *(F.lit(c) for c in closing), F.lit("</r>")]
-        return F.from_xml(F.concat(*parts), document.simpleString())
-
-    def broken(doc: str) -> Column:
-        return F.col(f"{doc}.{_CORRUPT}").isNotNull()
-
-    # A piece holds any number of self-closing records and then one open record; only the
-    # last piece of a file has no open one.
-    wrapper = rf"<\?xml[^>]*\?>|</?{root_tag}(\s[^>]*)?>"
-    pieces = spark.read.option("lineSep", f"</{row_tag}>").text(path)
-    docs = (
-        pieces.select(F.regexp_replace("value", wrapper, "").alias("body"))
-        .select("body", parsed(f"</{row_tag}>").alias("doc"))
-        .select(F.when(broken("doc"), parsed()).otherwise(F.col("doc")).alias("doc"))
-    )
+    def parsed(body: Column, *closing: str) -> Column:
+        return F.from_xml(F.concat(F.lit("<r>"), body, *(F.lit(c) for c in closing), F.lit("</r>")), document.simpleString())
+
+    def broken(doc: Column) -> Column:
+        return doc[_CORRUPT].isNotNull()
+
+    close = f"</{row_tag}>"
     nothing = F.array(F.lit(None).cast(schema))
-    records = F.when(broken("doc"), nothing).otherwise(F.col(f"doc.{row_tag}"))
+
+    def one(text: Column) -> Column:
+        """The record of a text that starts with one: closed by itself, by what follows it, or broken."""
+        alone, closed = parsed(text), parsed(text, close)
+        return F.when(~broken(alone), alone[row_tag]).when(~broken(closed), closed[row_tag]).otherwise(nothing)
+
+    # A piece holds any number of self-closing records and then one open record; only the last piece of a file has
+    # no open one. A comment that holds the closing tag is cut over two pieces: its halves go, too.
+    prolog = rf"<\?xml[^>]*\?>|<!DOCTYPE[^>\[]*(\[[^\]]*\])?[^>]*>|</?{root_tag}(\s[^>]*)?>"
+    body = F.col("value")
+    for pattern in (r"(?s)<!--.*?-->", r"(?s)^.*?-->", r"(?s)<!--.*$", prolog):
+        body = F.regexp_replace(body, pattern, "")
+    pieces = spark.read.option("lineSep", close).text(path).select(body.alias("body"))
+    docs = pieces.where(F.col("body").contains(f"<{row_tag}"))
+    docs = docs.select("body", parsed(F.col("body"), close).alias("open"))
+    # What does not parse either way is cut before each record, and every record stands for itself.
+    each = F.filter(F.split("body", rf"(?=<{row_tag}[\s/>])"), lambda x: x.startswith(f"<{row_tag}"))
+    records = (
+        F.when(~broken(F.col("open")), F.col("open")[row_tag])
+        .when(~broken(parsed(F.col("body"))), parsed(F.col("body"))[row_tag])
+        .otherwise(F.flatten(F.transform(each, one)))
+    )
     return docs.select(F.explode(records).alias("record")).select("record.*")
 
 

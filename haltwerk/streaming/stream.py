@@ -36,14 +36,14 @@ def scd2_stream(
     messages_path: str,
     checkpoint: str,
     name: str | None = None,
-    guard_late: bool = True,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Flag upsert of both facts per micro-batch.
 
     Each batch is committed to each table under the stream's ``name`` (default: the
     checkpoint) and its number; a batch that is replayed after a failure skips the table
-    that already has it. Give a new checkpoint a new name.
+    that already has it. Give a new checkpoint a new name. Files may arrive late, so read these
+    histories with ``guard_late``.
     """
     name = name or checkpoint
 
@@ -53,8 +53,8 @@ def scd2_stream(
         label = f"{name}#{number}"
         batch.persist()
         try:
-            load_recent_changes(batch, changes_path, label, guard_late)
-            load_recent_messages(batch, messages_path, label, guard_late)
+            load_recent_changes(batch, changes_path, label)
+            load_recent_messages(batch, messages_path, label)
         finally:
             batch.unpersist()
 

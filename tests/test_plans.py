@@ -12,8 +12,8 @@ import __spark_entry__ as entry
 from haltwerk import schemas as S
 from haltwerk.harness import bindings as B
 from haltwerk.operators import latest_snapshot, merge_insert_only, stop_events, stop_messages, worklist
-from haltwerk.plans import collected_at, delay_fact, recent_change_rows
-from haltwerk.sinks import read_active, read_history, upsert_history
+from haltwerk.plans import SERVICE_DAY, collected_at, delay_fact, planned_rows, recent_change_rows
+from haltwerk.sinks import append_new, read_active, read_appended, read_history, upsert_history
 
 SF = "/root/testdata/sf0.001"
 PURE = (  # queries whose plan is not preceded by writes
@@ -64,14 +64,23 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert "SortMergeJoin" not in text and "LeftSemi, BuildRight" in text
 
 
-def test_active_read_skips_history_folders(spark, tmp_path, stops):
-    path = str(tmp_path / "h")
+def test_messages_are_filtered_by_the_scan(spark, stops):
+    text = plan(stop_messages(stops, collected_at(), "", json_text=True))
+    pushed = text.split("PushedFilters:")[1].split("]")[0]
+    assert "IsNotNull(ar.m)" in pushed and "IsNotNull(dp.m)" in pushed and "IsNotNull(m)" in pushed
+
+
+def test_a_filter_on_the_day_reaches_both_tables(spark, tmp_path, stops):
     for n in range(2):
-        upsert_history(recent_change_rows(stops), path, S.CHANGED_KEY, batch=f"b{n}")
-    files = read_active(spark, path, S.FACT_CHANGED).inputFiles()
-    assert files and all("snapshot_id=1" in f and "IsActive=true" in f for f in files)
-    fact = delay_fact(spark.createDataFrame([], S.FACT_PLANNED), read_active(spark, path, S.FACT_CHANGED))
-    assert "IsActive=false" not in plan(fact)
+        upsert_history(recent_change_rows(stops), str(tmp_path / "c"), batch=f"b{n}")
+    plans = planned_rows(B.planned_stops(B.events(spark, SF)))
+    append_new(plans, str(tmp_path / "p"), S.PLANNED_KEY)
+    planned = read_appended(spark, str(tmp_path / "p"), S.FACT_PLANNED, day=SERVICE_DAY)
+    changed = read_active(spark, str(tmp_path / "c"), S.FACT_CHANGED, S.CHANGED_KEY, day=SERVICE_DAY)
+    for fact in (delay_fact(planned, changed, days=["240102"]), delay_fact(planned, changed).where("ServiceDay = '240102'")):
+        scans = plan(fact).split("FileScan")[1:]
+        assert len(scans) >= 3 and all("240102" in x.split("PartitionFilters:")[1].split("PushedFilters")[0] for x in scans)
+    assert "WindowGroupLimit" in plan(changed)
 
 
 def test_worklist_is_no_cross_join(spark):
@@ -94,8 +103,7 @@ def test_random_batches_match_a_model(spark, tmp_path, seed, guard_late):
             key = (f"{rnd.randrange(6)}-24071{rnd.randrange(3)}0541-1", rnd.choice(["Arrival", "Stop"]), rnd.random() < 0.3)
             data.append((*key, datetime(2024, 7, 11, rnd.randrange(24)), v, True))
         upsert_history(
-            latest_snapshot(spark.createDataFrame(data, schema), S.CHANGED_KEY), path, S.CHANGED_KEY,
-            batch=f"b{n}", guard_late=guard_late,
+            latest_snapshot(spark.createDataFrame(data, schema), S.CHANGED_KEY), path, batch=f"b{n}"
         )
         newest = {}
         for row in data:
@@ -109,5 +117,5 @@ def test_random_batches_match_a_model(spark, tmp_path, seed, guard_late):
                 for i in active:
                     history[i] = (*history[i][:5], False)
             history.append((*row[:5], not late))
-    stored = read_history(spark, path, spark.createDataFrame([], schema).schema)
+    stored = read_history(spark, path, spark.createDataFrame([], schema).schema, S.CHANGED_KEY, guard_late=guard_late)
     assert sorted(tuple(r) for r in stored.collect()) == sorted(history)

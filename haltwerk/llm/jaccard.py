@@ -83,7 +83,7 @@ def _to_count(buckets: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, data in zip(batch.column(0), batch.column(1), strict=True):
+            for chunk, data in zip(batch["chunk"], batch["shingles"], strict=True):
                 found, counts = np.unique(_unpacked(data.as_py()), return_counts=True)
                 counts = np.minimum(counts, 255).astype(np.uint8)
                 where = (found // np.uint64(width)).astype(np.int32)
@@ -251,11 +251,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, tree_shingles: int = TRE
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("row"), text_of().alias("text"))
     size = (rows.agg(F.sum(F.octet_length("text").cast("long"))).head()[0] or 0) // BYTES_A_SHINGLE
-    dealt = rows.mapInArrow(_sets, _SETS).repartition(max(12, 1 + size // COUNTED), "chunk")
+    parts = max(12, 1 + size // COUNTED)
+    dealt = rows.mapInArrow(_sets, _SETS).repartition(parts, "chunk")
     buckets = 1 + size // COUNTED
-    cut = dealt.select("chunk", "shingles").mapInArrow(_to_count(buckets), "bucket int, chunk long, steps binary, counts binary")
+    # The sets are dealt once for both uses, if both read all columns and both sides of the join have as many partitions.
+    cut = dealt.mapInArrow(_to_count(buckets), "bucket int, chunk long, steps binary, counts binary")
     classes = cut.groupBy("bucket").applyInPandas(_classes, "chunk long, bucket int, classes binary")
-    classes = classes.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "classes")).alias("known"))
+    classes = classes.repartition(parts, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "classes")).alias("known"))
     with_classes = dealt.join(classes.hint("shuffle_merge"), "chunk", "left").select("ids", "rows", "sizes", "keys", "shingles", "known")
     found = staged(with_classes.mapInArrow(_prefixes(percent), _PREFIXES), "prefixes")
 

@@ -17,11 +17,6 @@ def _struct(*texts: str, **typed: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields])
 
 
-def _table(columns: str, **typed: T.DataType) -> T.StructType:
-    """Columns in order; strings unless a type is given."""
-    return T.StructType([T.StructField(name, typed.get(name, _TEXT)) for name in columns.split()])
-
-
 # raw records
 
 STATION_XML = _struct("_eva", "_ds100", "_name", "_meta", "_db", "_creationts", "_updatets")
@@ -39,43 +34,70 @@ MESSAGES_JSON = T.ArrayType(_struct("id", "t", "ts", "cat", "from", "to"))
 _CHANGED_SIDE_JSON = _struct("clt", "cp", "ct", "l", "cs", "m")
 CHANGED_JSON = _struct("id", "eva", "_collected_at", "m", ar=_CHANGED_SIDE_JSON, dp=_CHANGED_SIDE_JSON)
 
-# tables
-
-DIM_STATIONS = _table(
-    "eva_number ds100_code station_name meta_stations is_db_station creation_timestamp ValidFrom ValidTo",
-    eva_number=_LONG,
-    is_db_station=_BOOL,
-    ValidFrom=_DATE,
-    ValidTo=_DATE,
+# Tables. Names and order of their columns.
+
+DIM_STATIONS = T.StructType(
+    [
+        T.StructField("eva_number", _LONG),
+        T.StructField("ds100_code", _TEXT),
+        T.StructField("station_name", _TEXT),
+        T.StructField("meta_stations", _TEXT),
+        T.StructField("is_db_station", _BOOL),
+        T.StructField("creation_timestamp", _TEXT),
+        T.StructField("ValidFrom", _DATE),
+        T.StructField("ValidTo", _DATE),
+    ]
 )
 
-_SIDE = "{0}_IsReplaced {0}_ReplacementType {0}_ReplacementName {0}_PlannedPlatform {0}_PlannedTime"
-FACT_PLANNED = _table(
-    f"EVA_Number EventId TrainType TrainName {_SIDE.format('Arrival')} {_SIDE.format('Departure')}",
-    Arrival_PlannedTime=_LONG,
-    Departure_PlannedTime=_LONG,
+FACT_PLANNED = T.StructType(
+    [
+        T.StructField("EVA_Number", _TEXT),
+        T.StructField("EventId", _TEXT),
+        T.StructField("TrainType", _TEXT),
+        T.StructField("TrainName", _TEXT),
+        T.StructField("Arrival_IsReplaced", _TEXT),
+        T.StructField("Arrival_ReplacementType", _TEXT),
+        T.StructField("Arrival_ReplacementName", _TEXT),
+        T.StructField("Arrival_PlannedPlatform", _TEXT),
+        T.StructField("Arrival_PlannedTime", _LONG),
+        T.StructField("Departure_IsReplaced", _TEXT),
+        T.StructField("Departure_ReplacementType", _TEXT),
+        T.StructField("Departure_ReplacementName", _TEXT),
+        T.StructField("Departure_PlannedPlatform", _TEXT),
+        T.StructField("Departure_PlannedTime", _LONG),
+    ]
 )
 
-FACT_CHANGED = _table(
-    "eva_number EventId SnapshotTimestamp EventType CancellationTime ChangedPlatform ChangedTime TrainName "
-    "EventStatus IsUnplannedEvent IsActive",
-    eva_number=_LONG,
-    SnapshotTimestamp=_TIME,
-    CancellationTime=_LONG,
-    ChangedTime=_LONG,
-    IsUnplannedEvent=_BOOL,
-    IsActive=_BOOL,
+FACT_CHANGED = T.StructType(
+    [
+        T.StructField("eva_number", _LONG),
+        T.StructField("EventId", _TEXT),
+        T.StructField("SnapshotTimestamp", _TIME),
+        T.StructField("EventType", _TEXT),
+        T.StructField("CancellationTime", _LONG),
+        T.StructField("ChangedPlatform", _TEXT),
+        T.StructField("ChangedTime", _LONG),
+        T.StructField("TrainName", _TEXT),
+        T.StructField("EventStatus", _TEXT),
+        T.StructField("IsUnplannedEvent", _BOOL),
+        T.StructField("IsActive", _BOOL),
+    ]
 )
 
-FACT_MESSAGES = _table(
-    "eva_number EventId EventType SnapshotTimestamp MessageId MessageType MessageTime MessageCategory "
-    "MessageValidFrom MessageValidTo IsActive",
-    eva_number=_LONG,
-    SnapshotTimestamp=_TIME,
-    MessageTime=_LONG,
-    MessageValidFrom=_LONG,
-    MessageValidTo=_LONG,
-    IsActive=_BOOL,
+FACT_MESSAGES = T.StructType(
+    [
+        T.StructField("eva_number", _LONG),
+        T.StructField("EventId", _TEXT),
+        T.StructField("EventType", _TEXT),
+        T.StructField("SnapshotTimestamp", _TIME),
+        T.StructField("MessageId", _TEXT),
+        T.StructField("MessageType", _TEXT),
+        T.StructField("MessageTime", _LONG),
+        T.StructField("MessageCategory", _TEXT),
+        T.StructField("MessageValidFrom", _LONG),
+        T.StructField("MessageValidTo", _LONG),
+        T.StructField("IsActive", _BOOL),
+    ]
 )
 
 PLANNED_KEY = ["EventId"]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +28,14 @@ def local_session(app: str = "haltwerk", cores: str = "*", shuffle_partitions: i
     )
 
 
+@cache
+def _local_folder() -> str:
+    """One temporary folder for this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="haltwerk-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -35,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="haltwerk-")
+        return _local_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 

@@ -19,6 +19,8 @@ HIDDEN = 6
 STRETCH = 128
 #: Stretches that are read side by side; bounds a worker's memory.
 SIDE = 2048
+#: Bytes of texts that are cut into stretches at a time.
+TOGETHER = 16 << 20
 #: The training sample's bound: documents of each language, excerpts of each document, characters of each excerpt.
 SAMPLE_DOCS, EXCERPTS, EXCERPT_CHARS = 256, 6, 160
 PAD = 256
@@ -198,6 +200,10 @@ class Reader:
 
     def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(len(texts), L) mean probabilities, and the share of positions that each language labels."""
+        if len(texts) > 1 and sum(map(len, texts)) > TOGETHER:
+            half = len(texts) // 2
+            parts = [self.read(texts[:half]), self.read(texts[half:])]
+            return np.concatenate([p for p, _ in parts]), np.concatenate([y for _, y in parts])
         cells, owner = _stretches(texts, STRETCH)
         sums, labels = np.zeros((2, len(texts), len(self._model.languages)))
         for i in range(0, len(cells), SIDE):
@@ -216,15 +222,19 @@ def held_out(column: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """The network fitted on a bounded sample of ``docs`` (doc_id, text, lang); None without labelled rows.
 
-    Of each language the ``sample_docs`` rows with the smallest hash of their id that are not held out, of
+    Of each language up to ``sample_docs`` rows, by the hash of their id, that are not held out, of
     each EXCERPTS excerpts spread over its text: what reaches the driver is bounded by these and the number of languages.
     """
-    ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "lang")
-    place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.withColumn("k", F.row_number().over(place)).where(F.col("k") <= sample_docs).select(F.col("doc_id").alias("picked")).distinct()
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    # Twice the wanted share of each language by hash, of which the first are taken: few rows of a large language reach the window.
+    sizes = labelled.groupBy("lang").agg((F.lit(2.0 * sample_docs) / F.count("*")).alias("share"))
+    drawn = labelled.join(sizes, "lang").where(F.shiftrightunsigned("h", 11) < F.col("share") * F.lit(2.0**53))
+    place = Window.partitionBy("lang").orderBy("h", "doc_id")
+    ids = drawn.withColumn("k", F.row_number().over(place)).where(F.col("k") <= sample_docs).select(F.col("doc_id").alias("picked")).distinct()
     n = F.char_length("text")
     at = lambda i: F.substring(F.col("text"), (n * F.lit(i) / F.lit(EXCERPTS)).cast("int") + 1, F.lit(EXCERPT_CHARS))
-    chosen = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).join(ids, F.col("doc_id") == F.col("picked"))
+    # At most ``sample_docs`` ids for each language.
+    chosen = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).join(F.broadcast(ids), F.col("doc_id") == F.col("picked"))
     chosen = chosen.select("doc_id", "lang", F.array_distinct(F.array(*[at(i) for i in range(EXCERPTS)])).alias("excerpts"))
     rows = sorted(((r.lang, r.doc_id, e) for r in chosen.collect() for e in r.excerpts if e), key=lambda r: (r[0], r[1], r[2]))
     return train([r[2] for r in rows], [r[0] for r in rows]) if rows else None
@@ -262,8 +272,11 @@ def identify_language(docs: DataFrame, model: Model | None = None) -> DataFrame:
     return _read_languages(docs.select("doc_id", held_out().alias("held_out"), text_of().alias("text")), model)
 
 
-def accepted_languages(docs: DataFrame, model: Model | None = None, least: float = 0.3) -> DataFrame:
-    """``docs`` (doc_id, text, lang and any others) without texts of no language (``und``) or with a score below ``least``."""
+def accepted_languages(docs: DataFrame, model: Model | None = None, least: float = 0.0) -> DataFrame:
+    """``docs`` (doc_id, text, lang and any others) without texts of no language (``und``) or with a score below ``least``.
+
+    Short texts of a language can have a low score, so by default none goes for its score.
+    """
     model = model or fit(docs)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     read = _read_languages(docs.select(whole, text_of().alias("text")), model)

@@ -16,7 +16,7 @@ from haltwerk.session import work_dir
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts of no language, and those read with hardly any certainty, go."""
+    """Texts of no language go."""
     return accepted_languages(docs)
 
 
@@ -42,7 +42,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("exact_duplicates", exact_duplicates), ("near_duplicates", near_duplicates), ("mix", mix), ("tokens", tokens)]
 
-#: A trained network and a joint of hashed sets are not SQL; the tests hold the stages against brute force.
+#: A trained network and a join of hashed sets are not SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

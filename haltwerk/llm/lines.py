@@ -31,50 +31,48 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _fingerprints(lines: DataFrame, min_words: int) -> DataFrame:
-    """(row, n): the line that is least in some window of its document.
+def _windows(lines: DataFrame, min_words: int) -> DataFrame:
+    """(d, row, n, to, h, print, key): the windows of each document, from line ``n`` to line ``to``.
 
-    A window is a shortest run of lines with ``min_words`` words, one starting at each line. The least line is the longest, of
-    equal ones the one with the least hash, then the last: that depends on the window's content alone, so equal runs that hold a
-    window choose the same line. Every run of ``min_words`` words holds a whole window.
+    A window is a shortest run of lines with ``min_words`` words: one starts at each line, and one ends at each line, which is left out
+    where it is one of the first kind. Every line of a run of ``min_words`` words is in a window that lies in the run. The fingerprint of
+    a window is its longest line, of equal ones the one with the least hash, then the last (``h`` its hash, ``print`` its number). Fingerprint
+    and ``key`` depend on the window's content alone.
     """
-    reach = Window.partitionBy("row").orderBy("before").rangeBetween(0, min_words - 1)
-    windows = lines.select(
-        "row",
-        F.min(F.struct((-F.col("words")).alias("longest"), "h", (-F.col("n")).alias("last"))).over(reach).alias("least"),
-        (F.max(F.col("before") + F.col("words")).over(reach) - F.col("before")).alias("held"),
-    )
-    return windows.where(F.col("held") >= min_words).select("row", (-F.col("least.last")).alias("n")).distinct()
+    least = F.min(F.struct((-F.col("words")).alias("longest"), "h", (-F.col("n")).alias("last")))
+    ahead = Window.partitionBy("row").orderBy("before").rangeBetween(0, min_words - 1)
+    back = Window.partitionBy("row").orderBy("after").rangeBetween(1 - min_words, 0)
+    ends = lines.withColumn("after", F.col("before") + F.col("words"))
+    held = F.max("after").over(ahead) - F.col("before")
+    starting = ends.select("d", "row", "n", F.max("n").over(ahead).alias("to"), least.over(ahead).alias("least"), F.collect_list("h").over(ahead).alias("all"), held.alias("held"))
+    held = F.col("after") - F.min("before").over(back)
+    ending = ends.select("d", "row", F.min("n").over(back).alias("n"), F.col("n").alias("to"), least.over(back).alias("least"), F.collect_list("h").over(back).alias("all"), held.alias("held"), "words")
+    ending = ending.where(F.col("held") - F.col("words") >= min_words).drop("words")
+    windows = starting.where(F.col("held") >= min_words).unionByName(ending)
+    key = F.struct(F.col("least.h").alias("line"), F.xxhash64("all").alias("whole")).alias("key")
+    return windows.select("d", "row", "n", "to", F.col("least.h").alias("h"), (-F.col("least.last")).alias("print"), key)
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(row, at): the lines of ``docs`` (doc_id, text) that belong to a later repeated run.
+    """(row, at): the lines of ``docs`` (doc_id, text) that are in a run of at least ``min_words`` words which stands earlier too.
 
-    Every fingerprint is joined with the first place, by (doc_id, NULL last, row, line), where its line hash is a fingerprint. From there the
-    match is extended both ways as far as lines agree, within the windows that can have chosen it; neighbouring fingerprints on one diagonal
-    (equal earlier document and distance) extend each other. Runs of at least ``min_words`` words are repeated.
+    Equal windows have equal fingerprints at different places, so windows whose fingerprint stands at one place only are out. The others are
+    grouped by content; each is compared with the first place of its own content, by (doc_id, NULL last, row, line), and its lines go unless
+    it stands there.
     """
     lines = staged(_lines(docs), "lines")
-    chosen = _fingerprints(lines, min_words)
-    points = staged(lines.join(chosen, ["row", "n"]).select("d", "row", "n", "h", "before", "words"), "line-prints")
+    windows = staged(_windows(lines, min_words), "line-windows")
+    point = F.struct("row", "print")
+    again = windows.groupBy("h").agg(F.min(point).alias("one"), F.max(point).alias("other")).where("one < other").select("h")
+    windows = windows.join(again, "h", "left_semi")
     place = F.struct(F.isnull("d").alias("unnamed"), "d", "row", "n")
-    first = points.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").select("h", "first")
-    matched = points.join(first, "h").where((F.col("row") != F.col("first.row")) | (F.col("n") != F.col("first.n")))
-    matched = matched.select("row", F.col("first.row").alias("of"), (F.col("n") - F.col("first.n")).alias("apart"), "n", "before", "words")
-    # Lines that a window with the fingerprint can reach, and as many words again, on either side.
-    near = lines.select(F.col("row").alias("r"), F.col("n").alias("at_n"), "at", F.col("h").alias("line"), F.col("before").alias("b"), F.col("words").alias("w"))
-    block = lambda x: F.floor(x / F.lit(2 * min_words))
-    near = near.withColumn("block", block(F.col("b")))
-    reached = matched.withColumn("block", F.explode(F.sequence(block(F.greatest(F.col("before") - 2 * min_words, F.lit(0))), block(F.col("before") + F.col("words") + 2 * min_words))))
-    around = reached.join(near, (reached["row"] == near["r"]) & (reached["block"] == near["block"]))
-    around = around.select("row", "of", "apart", "at_n", "at", "line", "w").distinct()
-    earlier = lines.select(F.col("row").alias("of"), F.col("n").alias("of_n"), F.col("h").alias("line"))
-    equal = around.withColumn("of_n", F.col("at_n") - F.col("apart")).join(earlier, ["of", "of_n", "line"])
-    # A run on one diagonal: consecutive lines.
-    diagonal = Window.partitionBy("row", "of", "apart")
-    runs = equal.withColumn("run", F.col("at_n") - F.row_number().over(diagonal.orderBy("at_n")))
-    runs = runs.withColumn("held", F.sum("w").over(Window.partitionBy("row", "of", "apart", "run")))
-    return runs.where(F.col("held") >= min_words).select("row", "at").distinct()
+    first = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("key", "first.row", "first.n")
+    first = first.select("key", F.col("row").alias("of"), F.col("n").alias("of_n"))
+    later = windows.join(first, "key").where((F.col("row") != F.col("of")) | (F.col("n") != F.col("of_n")))
+    # A line is in a later window if one that starts at it or before it reaches it.
+    marks = lines.select("row", "n", "at", F.lit(None).cast("int").alias("to")).union(later.select("row", "n", F.lit(None).cast("int"), "to"))
+    reach = F.max("to").over(Window.partitionBy("row").orderBy("n"))
+    return marks.withColumn("reach", reach).where("at IS NOT NULL AND reach >= n").select("row", "at")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

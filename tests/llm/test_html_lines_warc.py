@@ -143,6 +143,22 @@ def test_repeated_runs_against_all_windows(docs, texts, least):
             assert all(_stands_earlier(texts, d, i, least) for i in cut)
 
 
+def test_run_whose_longest_line_stands_alone_earlier(spark):
+    """Document 1 has the longest line with other neighbours; 2 and 3 share the passage around it, 4 its last lines after a long one."""
+    passage = "a b c\nthe longest line of them all\nd e f"
+    rows = [(1, "x y z\nthe longest line of them all\nu v w"), (2, f"two\n{passage}\nend of two"), (3, f"three\n{passage}\nend of three")]
+    rows += [(5, "one two three four five six seven eight nine ten\nshort"), (4, "one two three four five six seven eight nine ten\nshort\nother")]
+    left = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), 10).collect()}
+    assert left == dict(rows) | {3: "three\nend of three", 5: ""}
+
+
+@pytest.mark.parametrize("least", [50, 6])
+def test_all_lines_that_stand_earlier_go(docs, texts, least):
+    got = {r.doc_id: r.text for r in lines.dedup_lines(docs, least).collect()}
+    for d, gone in _repeated(texts, least).items():
+        assert not Counter(x for x, *_ in _lines(got[d])) - Counter(x for x, i, _ in _lines(texts[d]) if i not in gone)
+
+
 def test_lines_of_odd_rows(odd, none, spark):
     got = lines.dedup_lines(odd, 5)
     assert got.columns == ["doc_id", "text", "n_lines", "n_removed", "n_chars"] and got.count() == odd.count()

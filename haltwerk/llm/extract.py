@@ -15,6 +15,8 @@ from .html_text import MAIN, OPEN, blocks_of
 
 #: Words that make a repeated substring long.
 MIN_WORDS = 4
+#: A long substring is boilerplate of a host if this share of its distinct contents has it, and SHARE_LEAST of them at least; more than half are always enough.
+SHARE, SHARE_LEAST = 0.1, 10
 
 
 def _host() -> Column:
@@ -28,76 +30,85 @@ def _keyed(pages: DataFrame) -> DataFrame:
 
 
 def suffixes(pages: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Suffixes of the block streams of ``pages`` (host, page, html): host, page, pos, open, key.
+    """Suffixes of the block streams of ``pages`` (host, page, html): host, page, content, pos, open, key.
 
-    A page's stream is the hashes of its blocks. A suffix is cut as soon as it has ``min_words`` words (``key`` holds the
+    A page's stream is the hashes of its blocks, ``content`` the hash of the whole stream. A suffix is cut as soon as it has ``min_words`` words (``key`` holds the
     blocks' hashes); what is shorter to the page's end cannot start a long substring and is left out.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, page_keys, positions, opens, keys = [], [], [], [], []
+            hosts, page_keys, contents, positions, opens, keys = [], [], [], [], [], []
             for host, page, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 blocks = blocks_of(text)
-                tokens = np.array([xxhash.xxh64_intdigest(b.text) for b in blocks], np.uint64).view(np.int64).tolist()
+                stream = np.array([xxhash.xxh64_intdigest(b.text) for b in blocks], np.uint64).view(np.int64)
+                content, tokens = int(np.uint64(xxhash.xxh64_intdigest(stream.tobytes())).view(np.int64)), stream.tolist()
                 ends = np.cumsum([b.text.count(" ") + 1 for b in blocks])
                 stops = np.searchsorted(ends, np.r_[0, ends[:-1]] + min_words) + 1 if len(blocks) else []
                 for pos, stop in enumerate(stops):
                     if stop <= len(blocks):
                         hosts.append(host)
                         page_keys.append(page)
+                        contents.append(content)
                         positions.append(pos)
                         opens.append(any(b.role == OPEN for b in blocks[pos:stop]))
                         keys.append(tokens[pos:stop])
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64()))
-            columns = [pa.array(c, k) for c, k in zip((hosts, page_keys, positions, opens, keys), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=["host", "page", "pos", "open", "key"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64()))
+            columns = [pa.array(c, k) for c, k in zip((hosts, page_keys, contents, positions, opens, keys), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "page", "content", "pos", "open", "key"])
 
-    return pages.select("host", "page", "html").mapInArrow(cut, "host long, page long, pos int, open boolean, key array<long>")
+    return pages.select("host", "page", "html").mapInArrow(cut, "host long, page long, content long, pos int, open boolean, key array<long>")
 
 
 def repeated_substrings(cut: DataFrame) -> DataFrame:
-    """(host, key) of the long substrings that stand on more than one page of a host.
+    """(host, key) of the long substrings that stand in at least two, and a share of the distinct contents of a host (SHARE, SHARE_LEAST).
 
-    The suffixes of all hosts are sorted as one array: dealt by ranges of (host, suffix, page), so a substring that a third
+    The suffixes of all hosts are sorted as one array: dealt by ranges of (host, suffix, content, page), so a substring that a third
     of all pages share is sorted by several tasks, and sorted inside each range. Neighbours that agree over their whole cut length are one
-    stretch of the array; a stretch leaves its first and last page. A stretch that a range's border cuts leaves two, which meet in one group.
+    stretch of the array; a stretch leaves its first and last content and how many are between. A stretch that a range's border cuts leaves
+    several, which meet in one group; only their ends can be the same. Copies of a page are one content. A page that is too short to hold a
+    long substring does not count.
     """
-    order = ("host", "key", "page")
-    array = cut.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+    order = ("host", "key", "content", "page")
+    array = cut.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).select("host", "key", "content")
 
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, border = None, True  # what a border may cut leaves with any count
         for batch in batches:
             out = []
-            for host, key, page in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for host, key, content in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if held and held[0] == host and held[1] == key:
-                    held[3] = page
+                    if held[3] != content:
+                        held[3], held[4] = content, held[4] + 1
                 else:
-                    if held:
+                    if held and (border or held[4] > 1):
                         out.append(held)
-                    held = [host, key, page, page]
+                    border = held is None
+                    held = [host, key, content, content, 1]
             yield _stretch_rows(out)
         if held:
             yield _stretch_rows([held])
 
-    found = array.mapInArrow(stretches, "host long, key array<long>, first long, last long")
-    found = found.groupBy("host", "key").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    return found.where("first < last").select("host", "key")
+    found = array.mapInArrow(stretches, "host long, key array<long>, first long, last long, n long")
+    ends = F.size(F.array_union(F.collect_set("first"), F.collect_set("last")))
+    found = found.groupBy("host", "key").agg((F.sum(F.greatest(F.col("n") - 2, F.lit(0))) + ends).alias("held")).where("held > 1")
+    hosts = cut.where("pos = 0").groupBy("host").agg(F.count_distinct("content").alias("contents"))
+    enough = F.least(F.floor(F.col("contents") / 2) + 1, F.greatest(F.lit(SHARE_LEAST), F.ceil(F.col("contents") * F.lit(SHARE))))
+    return found.join(hosts, "host").where(F.col("held") >= enough).select("host", "key")
 
 
 def _stretch_rows(rows: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64())
-    columns = zip(*rows, strict=True) if rows else [()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "key", "first", "last"])
+    kinds = (pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64())
+    columns = zip(*rows, strict=True) if rows else [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "key", "first", "last", "n"])
 
 
 def extract_main_text(pages: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The main text of every row of ``pages`` (page_id, url, html).
 
     Blocks of an article stay, however often they are repeated elsewhere; blocks that the markup marks as something else go. On
-    pages whose markup marks no article, blocks that a long substring repeated on other pages of the host covers go and the
-    unique runs stay; if nothing would stay, the page is a copy and all stays. NULL or empty html: empty text. Repeated rows are one
+    pages whose markup marks no article, blocks that a long substring repeated on a share of the host's distinct contents covers go and
+    the other runs stay, so copies of one article do not erase each other; if nothing would stay, all stays. NULL or empty html: empty text. Repeated rows are one
     page of the array and each get their result. Pages without a host are one host. Extra columns are ignored; an empty table
     gives no rows. Returns page_id, url, text (blocks joined by two line feeds), n_chars (code points), n_repeated (blocks removed as repeated).
     """

@@ -73,6 +73,31 @@ def test_boilerplate_of_pages_without_structure(spark, none, odd_pages):
     assert {r.text for r in odd if r.page_id in (1, 2)} == {""}
 
 
+def test_copies_of_an_article_do_not_erase_each_other(spark):
+    """An unmarked article on a page, its exact copy, a near copy and a page that quotes it, among 20 pages of a host with one menu."""
+    page = lambda x: f"<body><div>Home and about us</div>{x}<div>Copyright by us all rights</div></body>"
+    body = "<p>the first paragraph of the article</p><p>its second paragraph is here</p>"
+    rows = [(1, "http://h.com/1", page(body)), (2, "http://h.com/copy", page(body)), (3, "http://h.com/3", page(body + "<p>one line more than it</p>"))]
+    rows += [(4, "http://h.com/4", page("<p>they wrote of it so</p><p>its second paragraph is here</p>"))]
+    rows += [(i, f"http://h.com/{i}", page(f"<p>page number {i} has this text</p>")) for i in range(5, 21)]
+    got = {r.page_id: (r.text, r.n_repeated) for r in extract.extract_main_text(_pages(spark, rows)).collect()}
+    article = "the first paragraph of the article\n\nits second paragraph is here"
+    assert got[1] == got[2] == (article, 2)
+    assert got[3] == (f"{article}\n\none line more than it", 2)
+    assert got[4] == ("they wrote of it so\n\nits second paragraph is here", 2)
+    assert all(got[i] == (f"page number {i} has this text", 2) for i in range(5, 21))
+
+
+def test_contents_are_counted_once_across_range_borders(spark):
+    """Copies of one content in many small ranges are one content; two others have the substring too."""
+    rows = [(i, 7, "<p>same words on every page</p><p>of the first content here</p>") for i in range(300)]
+    rows += [(300 + i, 7, f"<p>same words on every page</p><p>content number {i} is here</p>") for i in range(2)]
+    rows += [(400 + i, 7, f"<p>page number {i} here now</p>") for i in range(3)]
+    cut = extract.suffixes(spark.createDataFrame(rows, "page long, host long, html string")).repartition(20)
+    assert extract.repeated_substrings(cut).count() == 0
+    assert extract.repeated_substrings(cut.where("page < 402")).count() == 1
+
+
 def test_stretches_across_range_borders(spark):
     """One suffix on every page of a host, in many small ranges."""
     rows = [(i, 7, f"<p>same words on every page</p><p>page number {i} here now</p>") for i in range(300)]

@@ -19,6 +19,11 @@ NOT_ARTICLE = set(
     "popup modal overlay share sharing social related recommended comment comments commentlist disqus reply replies respond discussion widget "
     "toolbar pagination pager skip login signup search copyright legal disclaimer form".split()
 )
+#: Of these, words that also name parts of an article: inside one they count only in class tokens made of such words alone.
+STRUCTURAL = set(
+    "header footer side aside banner notice notices alert legal copyright disclaimer form search share sharing social related menu overlay login signup skip "
+    "subscription comment discussion reply respond ad".split()
+)
 ARTICLE = set("article content post entry story".split())
 BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -46,19 +51,27 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, bool, bool, bool]:
-    """(unseen, not article, article element, main element, marked as content) that the element starts; ``inside``: it is in an article."""
+    """(unseen, not article, article element, main element, marked as content) that the element starts; ``inside``: it is in an article.
+
+    The classes of an article or main element do not make it something else, only its role and what is around it.
+    """
     unseen, aside = tag in UNSEEN, tag in ASIDE or (tag == "header" and not inside)
     article, main, content = tag == "article", tag == "main", False
     if attributes and ("=" in attributes or "hidden" in attributes):
         a = _attributes(attributes)
-        words = {w for k in ("class", "id") for w in _PARTS.split(a.get(k, "").lower())} - {""}
+        tokens = [set(_PARTS.split(t)) - {""} for k in ("class", "id") for t in a.get(k, "").lower().split()]
+        words = set().union(*tokens)
         role = a.get("role", "").lower()
         style = a.get("style", "").replace(" ", "").lower()
         unseen |= "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in style
         if tag not in ("html", "body"):
-            aside |= role in ROLES or bool(words & NOT_ARTICLE)
             article |= role == "article"
             main |= role == "main"
+            aside |= role in ROLES
+            if inside:
+                aside |= any(t and (t <= NOT_ARTICLE or t & NOT_ARTICLE - STRUCTURAL) for t in tokens) and not (article or main)
+            elif not (article or main):
+                aside |= bool(words & NOT_ARTICLE)
             content = bool(words & ARTICLE)
     return unseen, aside, article and not aside, main, content and not aside
 

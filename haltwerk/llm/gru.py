@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import row_key, text_of
 
 #: Units of each direction.
 HIDDEN = 6
@@ -222,20 +222,23 @@ def held_out(column: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """The network fitted on a bounded sample of ``docs`` (doc_id, text, lang); None without labelled rows.
 
-    Of each language up to ``sample_docs`` rows, by the hash of their id, that are not held out, of
+    Of each language up to ``sample_docs`` rows, by the hash of their id, one for each id, that are not held out, of
     each EXCERPTS excerpts spread over its text: what reaches the driver is bounded by these and the number of languages.
     """
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
+    keyed = docs.where(usable).select("doc_id", "lang", "text", row_key("doc_id", "lang", "text").alias("picked"))
+    # One row for each id and language, however many have the id.
+    labelled = keyed.groupBy("doc_id", "lang").agg(F.min("picked").alias("picked")).withColumn("h", F.xxhash64("doc_id"))
     # Twice the wanted share of each language by hash, of which the first are taken: few rows of a large language reach the window.
     sizes = labelled.groupBy("lang").agg((F.lit(2.0 * sample_docs) / F.count("*")).alias("share"))
     drawn = labelled.join(sizes, "lang").where(F.shiftrightunsigned("h", 11) < F.col("share") * F.lit(2.0**53))
     place = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = drawn.withColumn("k", F.row_number().over(place)).where(F.col("k") <= sample_docs).select(F.col("doc_id").alias("picked")).distinct()
+    keys = drawn.withColumn("k", F.row_number().over(place)).where(F.col("k") <= sample_docs).select("picked").distinct()
     n = F.char_length("text")
     at = lambda i: F.substring(F.col("text"), (n * F.lit(i) / F.lit(EXCERPTS)).cast("int") + 1, F.lit(EXCERPT_CHARS))
-    # At most ``sample_docs`` ids for each language.
-    chosen = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).join(F.broadcast(ids), F.col("doc_id") == F.col("picked"))
-    chosen = chosen.select("doc_id", "lang", F.array_distinct(F.array(*[at(i) for i in range(EXCERPTS)])).alias("excerpts"))
+    # At most ``sample_docs`` keys for each language; of equal rows one.
+    chosen = keyed.join(F.broadcast(keys), "picked")
+    chosen = chosen.select("picked", "doc_id", "lang", F.array_distinct(F.array(*[at(i) for i in range(EXCERPTS)])).alias("excerpts")).dropDuplicates(["picked"])
     rows = sorted(((r.lang, r.doc_id, e) for r in chosen.collect() for e in r.excerpts if e), key=lambda r: (r[0], r[1], r[2]))
     return train([r[2] for r in rows], [r[0] for r in rows]) if rows else None
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
+from .codes import ENTRIES, PARTS, ROUNDS, SCALE, code_vectors
 from .common import table
 from .exact import exact_duplicates
 from .extract import extract_main_text
@@ -16,6 +17,7 @@ from .imatch import fingerprint_edits
 from .jaccard import near_duplicates
 from .lines import dedup_lines
 from .mixing import mix_sources
+from .piece import piece_digests
 from .shards import shard_by_bytes
 from .warc import pages_to_warc
 
@@ -62,8 +64,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_vectors(table(spark, sf_dir, "embeddings")).drop("label")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html, op2_lines, op3_mixing, op4_warc, op5_imatch, op6_ngram_jaccard, op7_sharding, op8_language_id, op9_exact_dedup, op10_bpe)}
+    named = (
+        op1_html, op2_lines, op3_mixing, op4_warc, op5_imatch, op6_ngram_jaccard, op7_sharding, op8_language_id, op9_exact_dedup, op10_bpe,
+        op11_sentencepiece, op12_vector_codes,
+    )
+    return {f.__name__: f for f in named}
 
 
 OP3 = r"""
@@ -98,5 +112,38 @@ SELECT doc_id, keep_id, group_size, k = 1 AS kept, sha256(norm) AS text_sha256 F
 """
 
 
+def _op12() -> str:
+    """Rounds of Lloyd, one after another: each assigns all parts and replaces the entries that are used."""
+    away = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = [
+        f"""kept AS MATERIALIZED (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS place,
+        list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+    SELECT vec_id, label, place, p, v[(p * len(v)) // {PARTS} + 1:((p + 1) * len(v)) // {PARTS}] AS x FROM kept, range({PARTS}) r(p)),
+book0 AS MATERIALIZED (SELECT p, place - 1 AS e, x AS c FROM parts WHERE place <= {ENTRIES})"""
+    ]
+    for k in range(ROUNDS + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+    SELECT place, any_value(vec_id) AS vec_id, any_value(label) AS label, parts.p, any_value(x) AS x, min((away, e)) AS best
+    FROM (SELECT parts.*, e, {away} AS away FROM parts JOIN book{k} b ON b.p = parts.p) parts GROUP BY place, parts.p)""")
+        if k < ROUNDS:
+            steps.append(f"""sums{k} AS (
+    SELECT p, e, i, CAST(sum(y) AS BIGINT) AS s, count(*) AS n
+    FROM (SELECT p, best[2] AS e, unnest(x) AS y, unnest(range(len(x))) AS i FROM near{k}) GROUP BY p, e, i),
+book{k + 1} AS MATERIALIZED (
+    SELECT b.p, b.e, coalesce(u.c, b.c) AS c
+    FROM book{k} b LEFT JOIN (SELECT p, e, list((s - ((s % n + n) % n)) // n ORDER BY i) AS c FROM sums{k} GROUP BY p, e) u ON u.p = b.p AND u.e = b.e)""")
+    return "WITH " + ",\n".join(steps) + f""",
+coded AS (
+    SELECT any_value(vec_id) AS vec_id, any_value(label) AS label, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, CAST(sum(best[1]) AS BIGINT) AS error
+    FROM near{ROUNDS} GROUP BY place)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{ROUNDS}) AS codebooks_sha256
+FROM coded"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3, "op9_exact_dedup": OP9}
+    return {"op3_mixing": OP3, "op9_exact_dedup": OP9, "op12_vector_codes": _op12()}

@@ -17,6 +17,7 @@ from .imatch import fingerprint_edits
 from .jaccard import near_duplicates
 from .lines import dedup_lines
 from .mixing import mix_sources
+from .phrases import collocations
 from .piece import piece_digests
 from .shards import shard_by_bytes
 from .warc import pages_to_warc
@@ -72,10 +73,14 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_vectors(table(spark, sf_dir, "embeddings")).drop("label")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_html, op2_lines, op3_mixing, op4_warc, op5_imatch, op6_ngram_jaccard, op7_sharding, op8_language_id, op9_exact_dedup, op10_bpe,
-        op11_sentencepiece, op12_vector_codes,
+        op11_sentencepiece, op12_vector_codes, op13_collocations,
     )
     return {f.__name__: f for f in named}
 
@@ -112,6 +117,30 @@ SELECT doc_id, keep_id, group_size, k = 1 AS kept, sha256(norm) AS text_sha256 F
 """
 
 
+OP13 = r"""
+WITH texts AS (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09.,;:!?\x0A-\x0D]+') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+grams AS (SELECT lang, array_to_string(w[i:i + n - 1], ' ') AS phrase, n AS size FROM places, range(1, 4) g(n) WHERE i + n - 1 <= len(w)),
+f AS MATERIALIZED (SELECT lang, phrase, any_value(size) AS size, count(*) AS f FROM grams GROUP BY lang, phrase),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size >= 2 AND f >= 10),
+inside AS (
+    SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a FROM candidates WHERE size = 3),
+covers AS (SELECT lang, phrase, max(a) AS longer FROM inside GROUP BY lang, phrase),
+stay AS (SELECT c.* FROM candidates c LEFT JOIN covers v ON v.lang = c.lang AND v.phrase = c.phrase WHERE v.longer IS NULL OR 100 * v.longer < 50 * c.a),
+cuts AS (
+    SELECT s.lang, s.phrase, s.a, k, x.f AS l, y.f AS r, (1000000 * s.a::HUGEINT * s.a::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM stay) s
+    JOIN f x ON x.lang = s.lang AND x.phrase = array_to_string(w[1:k], ' ') JOIN f y ON y.lang = s.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+lowest AS (SELECT lang, phrase, any_value(a) AS a, arg_min(l, (score, k)) AS l, arg_min(r, (score, k)) AS r, CAST(min(score) AS BIGINT) AS score FROM cuts GROUP BY lang, phrase),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
 def _op12() -> str:
     """Rounds of Lloyd, one after another: each assigns all parts and replaces the entries that are used."""
     away = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
@@ -146,4 +175,4 @@ FROM coded"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3, "op9_exact_dedup": OP9, "op12_vector_codes": _op12()}
+    return {"op3_mixing": OP3, "op9_exact_dedup": OP9, "op12_vector_codes": _op12(), "op13_collocations": OP13}

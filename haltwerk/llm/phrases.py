@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,31 +17,37 @@ UNKNOWN = "und"
 #: A chunk ends at one of so many places, on average.
 EVERY = 16
 #: Words of chunks that a task counts at a time.
-TOGETHER = 2_000_000
+TOGETHER = 1_000_000
 #: Text bytes for each bucket of counts; bounds what is merged at once.
 BUCKET_BYTES = 4 << 20
+MOST_TASKS = 100_000
 #: Shares of a frequent part's lookups, and of a language's candidates before the last ranking.
 SALTS = 16
-#: Stands for the end of a piece among the words of a chunk.
-STOP = b"\n"
-_SPACES, _STOPS, _ONE = re.compile(rb"[\x20\x09]+"), re.compile(rb"[\x20\x09]*[.,;:!?\x0A-\x0D][\x20\x09.,;:!?\x0A-\x0D]*"), np.uint64(1)
+#: Stands for the end of a piece among the words of a chunk; no word holds it.
+STOP = b","
+# Fixed value: what ends a piece.
+_ENDS = b".,;:!?\n\x0b\x0c\r"
+_TO_STOP = bytes.maketrans(_ENDS, STOP * len(_ENDS))
+_ONE = np.uint64(1)
 
 
-def words_of(text: str) -> bytes:
-    """The words in lower case (A-Z), parted by single spaces, with STOP between pieces."""
-    return _SPACES.sub(b" ", _STOPS.sub(b" \n ", text.encode().lower())).strip(b" ")
+def words_of(text: str) -> list[bytes]:
+    """The words in lower case (A-Z), with STOP between pieces."""
+    spaced = text.encode().lower().translate(_TO_STOP).replace(STOP, b" , ")
+    while b",  ," in spaced:
+        spaced = spaced.replace(b",  ,", STOP)
+    return spaced.split()
 
 
-def cut(words: bytes, overlap: int, every: int) -> list[bytes]:
+def cut(tokens: list[bytes], overlap: int, every: int) -> list[bytes]:
     """Chunks of a text's words: one starts wherever the hash of the next ``overlap`` words says so, and reaches to the end of the next such window.
 
     Neighbours share just that window, so each phrase of up to overlap + 1 words starts before the last ``overlap`` words of one chunk only.
     The text is closed with STOPs, so that the last chunk is like any other.
     """
-    tokens = words.split(b" ")
-    if not words:
+    if not tokens:
         return []
-    tokens += [STOP] * overlap
+    tokens = tokens + [STOP] * overlap
     hashed = np.fromiter(map(zlib.crc32, tokens), np.uint64, len(tokens))
     window = np.zeros(len(tokens) - overlap + 1, np.uint64)
     for k in range(overlap):
@@ -62,19 +66,30 @@ def cut(words: bytes, overlap: int, every: int) -> list[bytes]:
 def _chunks(overlap: int, every: int):
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found, langs = [], []
+
+            def rows() -> pa.RecordBatch:
+                out = pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(*np.array(langs, np.int64).T))), pa.array(found, pa.binary()).cast(pa.string())], names=["lang", "chunk"])
+                found.clear()
+                langs.clear()
+                return out
+
             for i in range(len(batch)):
-                found = cut(words_of(batch.column(1)[i].as_py()), overlap, every)
-                for at in range(0, len(found), 1 << 16):
-                    part = found[at : at + (1 << 16)]
-                    langs = pa.repeat(batch.column(0)[i], len(part))
-                    yield pa.RecordBatch.from_arrays([langs, pa.array(part, pa.binary()).cast(pa.string())], names=["lang", "chunk"])
+                parts = cut(words_of(batch.column(1)[i].as_py()), overlap, every)
+                for at in range(0, len(parts), 1 << 15):
+                    found += parts[at : at + (1 << 15)]
+                    langs.append((i, min(1 << 15, len(parts) - at)))
+                    if len(found) >= 1 << 15:
+                        yield rows()
+            if found:
+                yield rows()
 
     return chunks
 
 
 def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(distinct keys ascending, sum of the weights of each, one place of each, index of each place's key)."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     held = keys[order]
     first = np.r_[True, held[1:] != held[:-1]] if len(held) else np.zeros(0, bool)
     at = np.nonzero(first)[0]
@@ -121,21 +136,33 @@ def _tables(held: list[pa.RecordBatch], longest: int, overlap: int, buckets: int
 
 
 def _packed(bucket: np.ndarray, lang: np.ndarray, langs: pa.Array, text: pa.Array, count: np.ndarray) -> Iterator[tuple]:
-    order = np.lexsort((lang, bucket))  # stable: inside, phrases stay in order
-    bucket, lang, count, text = bucket[order], lang[order], count[order], text.take(pa.array(order))
-    edges = np.r_[np.nonzero(np.diff(bucket, prepend=-1))[0], len(bucket)].tolist()
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
+    # One number for bucket, language and place; inside a bucket and language, phrases stay in order.
+    order = np.sort((bucket * len(langs) + lang) * len(bucket) + np.arange(len(bucket))) % max(len(bucket), 1)
+    bucket, lang, count, text = bucket[order], lang[order], count[order].astype("<i8"), text.take(pa.array(order))
+    edges = np.r_[np.nonzero(np.diff(bucket, prepend=-1))[0], len(bucket)]
+    lists = pa.LargeListArray.from_arrays(pa.array(edges), text.cast(pa.large_string()))
+    joined = pc.binary_join(lists, pa.scalar("\n", pa.large_string()))
+    for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
         run = np.r_[np.nonzero(np.diff(lang[a:b], prepend=-1))[0], b - a]
         yield (
             int(bucket[a]),
             langs.take(pa.array(lang[a + run[:-1]])).to_pylist(),
             np.diff(run).tolist(),
-            zlib.compress("\n".join(text.slice(a, b - a).to_pylist()).encode(), 1),
-            zlib.compress(count[a:b].astype("<i8").tobytes(), 1),
+            *_squeezed(joined[i].as_buffer()),
+            *_squeezed(pa.py_buffer(count[a:b])),
         )
 
 
-_BLOCK = pa.schema([("bucket", pa.int64()), ("langs", pa.list_(pa.string())), ("runs", pa.list_(pa.int64())), ("phrases", pa.binary()), ("counts", pa.binary())])
+def _squeezed(raw: pa.Buffer) -> tuple[int, bytes]:
+    return raw.size, pa.compress(raw, "zstd", asbytes=True)
+
+
+def _whole(size: int, packed: bytes) -> pa.Buffer:
+    return pa.decompress(packed, size, "zstd")
+
+
+_BLOCK = pa.schema([("bucket", pa.int64()), ("langs", pa.list_(pa.string())), ("runs", pa.list_(pa.int64())), ("phrases_size", pa.int64()), ("phrases", pa.binary()), ("counts_size", pa.int64()), ("counts", pa.binary())])
+_BLOCK_TYPES = "bucket long, langs array<string>, runs array<long>, phrases_size long, phrases binary, counts_size long, counts binary"
 
 
 def _counted(longest: int, overlap: int, buckets: int):
@@ -175,12 +202,14 @@ def _merged(least: int):
 
     def merge(blocks: pa.Table) -> pa.Table:
         langs, phrases, counts = [], [], []
-        for block in blocks.select(["langs", "runs", "phrases", "counts"]).to_pylist():
-            langs += chain.from_iterable([[lang] * run for lang, run in zip(block["langs"], block["runs"], strict=True)])
-            phrases.append(pc.split_pattern(pa.array([zlib.decompress(block["phrases"]).decode()]), "\n").flatten())
-            counts.append(np.frombuffer(zlib.decompress(block["counts"]), "<i8"))
-        rows = pa.table({"lang": pa.array(langs, pa.string()).dictionary_encode(), "phrase": pa.chunked_array(phrases), "f": np.concatenate(counts)})
-        total = rows.group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+        for block in blocks.drop_columns(["bucket"]).to_pylist():
+            langs += [pa.repeat(pa.scalar(lang, pa.string()), run) for lang, run in zip(block["langs"], block["runs"], strict=True)]
+            joined = _whole(block["phrases_size"], block["phrases"])
+            text = pa.LargeStringArray.from_buffers(1, pa.py_buffer(np.array([0, joined.size], np.int64)), joined)
+            phrases.append(pc.split_pattern(text, "\n").flatten().cast(pa.string()))
+            counts.append(np.frombuffer(_whole(block["counts_size"], block["counts"]), "<i8"))
+        rows = pa.table({"lang": pa.chunked_array(langs).combine_chunks().dictionary_encode(), "phrase": pa.chunked_array(phrases), "f": np.concatenate(counts)})
+        total = rows.group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")])
         f = total.column("f_sum").combine_chunks()
         size = pc.add(pc.count_substring(total.column("phrase"), " "), 1).combine_chunks()
         out = pa.table({"lang": total.column("lang").cast(pa.string()), "phrase": total.column("phrase"), "size": size.cast(pa.int64()), "f": f})
@@ -202,8 +231,10 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 10, every: int
     size = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = size // BUCKET_BYTES + 1
     chunks = texts.mapInArrow(_chunks(overlap, every), "lang string, chunk string").groupBy("lang", "chunk").agg(F.count("*").alias("n"))
-    blocks = chunks.mapInArrow(_counted(longest, overlap, buckets), "bucket long, langs array<string>, runs array<long>, phrases binary, counts binary")
-    return blocks.groupBy("bucket").applyInArrow(_merged(least), "lang string, phrase string, size long, f long")
+    blocks = chunks.mapInArrow(_counted(longest, overlap, buckets), _BLOCK_TYPES)
+    # More data, more tasks; a task merges its buckets one after another.
+    tasks = min(buckets, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), buckets // 16), MOST_TASKS)
+    return blocks.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_merged(least), "lang string, phrase string, size long, f long")
 
 
 def _part(first: Column | int, n: Column | int) -> Column:

@@ -395,7 +395,7 @@ def oracle_sql() -> dict[str, str]:
                    CAST(user_id AS VARCHAR) AS eva, sid AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS collected_at
             FROM stops"""),
         "xml_broken_records": """
-            SELECT CASE WHEN event_id % 5 <> 2 THEN CAST(event_id AS VARCHAR) END AS id, count(*) AS n FROM events GROUP BY ALL""",
+            SELECT CASE WHEN event_id % 7 <> 2 THEN CAST(event_id AS VARCHAR) END AS id, count(*) AS n FROM events GROUP BY ALL""",
         "file_rejects": """
             SELECT '2' AS eva, count(*) AS n FROM events WHERE event_type NOT IN ('error', 'signup') UNION ALL
             SELECT 'rejected', count(*) FROM events WHERE event_type IN ('error', 'signup')""",

@@ -461,7 +461,8 @@ def raw_archive(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def broken_xml(spark: SparkSession, sf: str) -> DataFrame:
-    """Wrapper documents with self-closing, open, broken and commented records; ids that were read, NULL for broken ones."""
+    """Wrapper documents with self-closing, open, broken and commented records, and with comments and CDATA sections that
+    hold whole records; ids that were read, NULL for broken ones."""
     ev, path = B.events(spark, sf), work_dir(spark, "broken")
     s_id = F.col("event_id").cast("string")
     attributes = F.concat(F.lit(' _id="'), s_id, F.lit('"'))
@@ -472,8 +473,10 @@ def broken_xml(spark: SparkSession, sf: str) -> DataFrame:
             F.concat(F.lit("<s"), attributes, F.lit("><ar></s>")),
             F.concat(F.lit("<!-- "), s_id, F.lit(" </s> --><s"), attributes, F.lit("><tl/></s>")),
             F.concat(F.lit("<!-- gone --><s"), attributes, F.lit("/>")),
+            F.concat(F.lit('<!-- <s _id="x"><tl/></s><s _id="y"></s> --><s'), attributes, F.lit("><!-- </s> --><tl/></s>")),
+            F.concat(F.lit("<s"), attributes, F.lit('><tl><![CDATA[</s><!-- <s _id="z"></s>]]></tl></s>')),
         ),
-        (F.col("event_id") % 5 + 1).cast("int"),
+        (F.col("event_id") % 7 + 1).cast("int"),
     )
     lines = F.array_join(F.array_sort(F.collect_list(kinds)), "")
     head = F.lit('<?xml version="1.0"?><!DOCTYPE timetable [<!ELEMENT s ANY>]><timetable>')
@@ -531,14 +534,12 @@ def interval_reopen(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sql_views(spark: SparkSession, sf: str) -> DataFrame:
-    """All tables loaded, registered as views and queried in SQL."""
+    """Views registered over empty tables, which loads and two batches of the stream then fill; queried in SQL."""
     base, ev, customers = work_dir(spark, "views"), B.events(spark, sf), B.table(spark, sf, "customer")
+    register_views(spark, f"{base}/stations", f"{base}/planned", f"{base}/changes", f"{base}/messages")
     load_stations(B.stations_xml(customers), f"{base}/stations", B.OLD_FROM, min_main_stations=1)
     load_planned(B.planned_stops(ev), f"{base}/planned")
-    stops = B.changed_stops_json(ev)
-    load_recent_changes(stops, f"{base}/changed")
-    load_recent_messages(stops, f"{base}/messages")
-    register_views(spark, f"{base}/stations", f"{base}/planned", f"{base}/changed", f"{base}/messages")
+    _streamed(spark, sf, base)
     return spark.sql(
         """
         SELECT v.EventType, count(*) AS n_events, count_if(v.IsCancelled) AS n_cancelled,
@@ -571,9 +572,9 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _streamed(spark: SparkSession, sf: str) -> str:
+def _streamed(spark: SparkSession, sf: str, base: str | None = None) -> str:
     """Two arrivals of files, each followed by one run of the stream."""
-    base, ev = work_dir(spark, "stream"), B.events(spark, sf)
+    base, ev = base or work_dir(spark, "stream"), B.events(spark, sf)
     for part in (B.first_batch(ev), B.second_batch(ev)):
         B.changed_stops_json(part).write.mode("append").json(f"{base}/landing")
         scd2_stream(

@@ -16,7 +16,7 @@ from .loads import (
     recent_change_rows,
     recent_message_rows,
 )
-from .views import refresh_views, register_views
+from .views import register_views
 
 __all__ = [
     "MIN_MAIN_STATIONS", "ON_TIME_MINUTES", "SERVICE_DAY",
@@ -24,5 +24,5 @@ __all__ = [
     "kpi_cancellation", "kpi_ontime", "kpi_ontime_by_station", "latest_overlay", "load_full", "load_full_changes",
     "load_full_messages", "load_planned", "load_recent_changes", "load_recent_messages", "load_stations",
     "planned_events", "planned_rows", "recent_change_rows", "recent_message_rows",
-    "refresh_views", "register_views",
+    "register_views",
 ]

@@ -27,7 +27,6 @@ from ..operators import (
 )
 from ..schemas import CHANGED_KEY, DIM_STATIONS, MESSAGE_KEY, PLANNED_KEY, STATION_KEY
 from ..sinks import append_new, publish, read_whole, upsert_history
-from .views import refresh_views
 
 # Fixed value.
 MIN_MAIN_STATIONS = 130
@@ -74,39 +73,31 @@ def load_stations(
     cleaned = clean_stations(raw, run_date).persist()
     try:
         merged = scd2_interval(current, cleaned, STATION_KEY, run_date, OPEN_END)
-        done = publish(merged, path, open_main_stations(suffix=suffix), min_main_stations, batch)
+        return publish(merged, path, open_main_stations(suffix=suffix), min_main_stations, batch)
     finally:
         cleaned.unpersist()
-    return refreshed(raw, path, done)
-
-
-def refreshed(source: DataFrame, path: str, done: bool) -> bool:
-    """Views over the table at ``path`` see the batch."""
-    if done:
-        refresh_views(source.sparkSession, path)
-    return done
 
 
 def load_planned(stops: DataFrame, path: str, batch: str | None = None) -> bool:
     """Add plan rows of events not seen before."""
-    return refreshed(stops, path, append_new(planned_rows(stops), path, PLANNED_KEY, batch))
+    return append_new(planned_rows(stops), path, PLANNED_KEY, batch)
 
 
 def load_full_changes(stops: DataFrame, path: str, batch_ts, batch: str | None = None) -> bool:
-    return refreshed(stops, path, upsert_history(full_change_rows(stops, batch_ts), path, batch=batch))
+    return upsert_history(full_change_rows(stops, batch_ts), path, batch=batch)
 
 
 def load_recent_changes(stops: DataFrame, path: str, batch: str | None = None) -> bool:
     rows = recent_change_rows(require_nonempty(stops, "recent changes"))
-    return refreshed(stops, path, upsert_history(rows, path, batch=batch))
+    return upsert_history(rows, path, batch=batch)
 
 
 def load_full_messages(stops: DataFrame, path: str, batch_ts, batch: str | None = None) -> bool:
-    return refreshed(stops, path, upsert_history(full_message_rows(stops, batch_ts), path, batch=batch))
+    return upsert_history(full_message_rows(stops, batch_ts), path, batch=batch)
 
 
 def load_recent_messages(stops: DataFrame, path: str, batch: str | None = None) -> bool:
-    return refreshed(stops, path, upsert_history(recent_message_rows(stops), path, batch=batch))
+    return upsert_history(recent_message_rows(stops), path, batch=batch)
 
 
 def load_full(stops: DataFrame, changes: str, messages: str, batch_ts, batch: str | None = None) -> tuple[bool, bool]:

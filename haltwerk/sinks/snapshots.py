@@ -32,6 +32,9 @@ _ORDER = "LoadOrder"
 _LAYOUT = [T.StructField(_ORDER, T.LongType()), T.StructField("part", T.StringType()), T.StructField("batch", T.StringType())]
 _COMMIT = T.StructType([T.StructField("snapshot_id", T.LongType())])
 _CREATED = "table created"
+#: Number of the empty snapshot, and part and batch of the empty batch, that hold the columns of a table without rows.
+_SEED = -1
+_SEED_PART = "none"
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -69,7 +72,8 @@ def _mark_done(spark: SparkSession, path: str, batch: str) -> None:
 
 def current_snapshot(spark: SparkSession, path: str) -> int | None:
     """Number of the newest committed snapshot, or None."""
-    return _read_or_empty(spark, f"{path}/commits", _COMMIT, "json").agg(F.max("snapshot_id").alias("n")).first()["n"]
+    n = _read_or_empty(spark, f"{path}/commits", _COMMIT, "json").agg(F.max("snapshot_id").alias("n")).first()["n"]
+    return None if n == _SEED else n
 
 
 def publish(
@@ -111,6 +115,16 @@ def read_whole(spark: SparkSession, path: str, schema: T.StructType, snapshot: i
     return spark.read.schema(schema).parquet(f"{path}/data/snapshot_id={n}")
 
 
+def whole_sql(spark: SparkSession, path: str, schema: T.StructType) -> str:
+    """Text of a query of the newest snapshot; it finds it, and the files, each time it runs. The table gets an empty snapshot first."""
+    seed = spark.range(0, 1, 1, 1).select(F.lit(_SEED).cast("long").alias("snapshot_id"))
+    _empty(spark, schema).write.mode("ignore").parquet(f"{path}/data/snapshot_id={_SEED}")
+    if _read_or_empty(spark, f"{path}/commits", _COMMIT, "json").isEmpty():
+        seed.write.mode("append").json(f"{path}/commits")
+    newest = f"SELECT max(snapshot_id) FROM json.{_quoted(f'{path}/commits')}"
+    return f"SELECT {', '.join(map(_quoted, schema.names))} FROM parquet.{_quoted(f'{path}/data')} WHERE snapshot_id = ({newest})"
+
+
 def guarded_publish(candidate: DataFrame, previous: DataFrame, check: Column, min_value: int) -> DataFrame:
     """The candidate if it passes the check, else the previous table (nothing is written)."""
     value = candidate.agg(check.alias("v")).first()["v"]
@@ -199,6 +213,47 @@ def read_appended(
     return _shown(_stored(spark, path, schema, days), schema, day)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _stored_sql(spark: SparkSession, path: str, schema: T.StructType) -> str:
+    """A stored table as SQL names it. An empty batch makes sure that it has its columns, and that parts and batches are read as text."""
+    held = T.StructType([*schema.fields, _LAYOUT[0]])
+    _empty(spark, held).write.mode("ignore").parquet(f"{path}/data/part={_SEED_PART}/batch={_SEED_PART}")
+    return f"parquet.{_quoted(f'{path}/data')}"
+
+
+def appended_sql(spark: SparkSession, path: str, schema: T.StructType, day: str) -> str:
+    """Text of a query like ``read_appended``; it lists the table each time it runs."""
+    return f"SELECT {', '.join(map(_quoted, schema.names))}, part AS {_quoted(day)} FROM {_stored_sql(spark, path, schema)}"
+
+
+def history_sql(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    day: str,
+    flag: str = "IsActive",
+    guard_late: bool = False,
+    snapshot: str = "SnapshotTimestamp",
+) -> str:
+    """Text of a query like ``read_history``; it lists the table each time it runs."""
+    table = _stored_sql(spark, path, T.StructType([f for f in schema.fields if f.name != flag]))
+    newest = [f"{_quoted(snapshot)} DESC NULLS LAST"] * guard_late + [f"{_ORDER} DESC", "batch DESC"]
+    place = f"row_number() OVER (PARTITION BY part, {', '.join(map(_quoted, keys))} ORDER BY {', '.join(newest)})"
+    whole = " AND ".join(f"{_quoted(k)} IS NOT NULL" for k in keys)
+
+    def rows(source: str, active: str) -> str:
+        shown = ", ".join(f"{active} AS {_quoted(n)}" if n == flag else _quoted(n) for n in schema.names)
+        return f"SELECT {shown}, part AS {_quoted(day)} FROM {source}"
+
+    # The day gets its name above the window, so that a filter on it goes through.
+    ranked = f"(SELECT *, {place} AS __rank FROM {table} WHERE {whole})"
+    return f"{rows(ranked, '__rank = 1')} UNION ALL {rows(f'{table} WHERE NOT ({whole})', 'true')}"
+
+
 def _ranked(rows: DataFrame, keys: Sequence[str], guard_late: bool, snapshot: str) -> tuple[DataFrame, DataFrame]:
     """(rows with a whole key and their rank, rows with a NULL in their key). NULL equals nothing, so the latter are all active."""
     newest = [F.col(_ORDER).desc(), F.col("batch").desc()]

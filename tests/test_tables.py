@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 from json import dumps
+from random import Random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from haltwerk import schemas as S
 from haltwerk.operators import batch_profile, find_event, open_main_stations, require_nonempty
-from haltwerk.plans import delay_fact, kpi_ontime, load_full, load_recent_changes, load_stations, refresh_views, register_views
+from haltwerk.plans import delay_fact, kpi_ontime, load_full, load_recent_changes, load_stations, recent_change_rows, register_views
 from haltwerk.sinks import (
     append_new,
     create_if_absent,
@@ -252,19 +253,46 @@ def test_stream_late_file_does_not_win(spark, tmp_path, rows):
     assert got == [(2407110541, False), (2407110600, True)]
 
 
-def test_views_follow_their_tables(spark, tmp_path):
-    paths = [f"{tmp_path}/{n}" for n in ("stations", "planned", "changed", "messages")]
+def test_views_follow_their_tables(spark, tmp_path, rows):
+    paths = [f"{tmp_path}/{n}" for n in ("stations", "planned", "changes", "messages")]
     register_views(spark, *paths)
     count = lambda: spark.sql("SELECT count(*) AS n FROM fact_changedtimetable").first()["n"]
-    assert count() == 0
+    assert count() == 0 and spark.sql("SELECT count(*) AS n FROM v_traindelayfact").first()["n"] == 0
     for n, key in enumerate((A, B), 1):
         lines = spark.sparkContext.parallelize([dumps(json_stop(key, 6))])
         load_recent_changes(spark.read.schema(S.CHANGED_JSON).json(lines), paths[2])
         assert count() == n
     upsert(read_history(spark, paths[2], S.FACT_CHANGED, S.CHANGED_KEY).limit(1), paths[2])  # not by a load
-    refresh_views(spark)
     assert count() == 3
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "a.jsonl").write_text(dumps(json_stop(A, 7)))
+    run_stream(spark, tmp_path)  # its batches have a session of their own
+    assert count() == 4
     assert spark.sql("SELECT count(*) AS n FROM fact_changedtimetable WHERE ServiceDay = '240712'").first()["n"] >= 1
+    history = read_history(spark, paths[2], S.FACT_CHANGED, S.CHANGED_KEY, day="ServiceDay")
+    assert rows(spark.table("fact_changedtimetable")) == rows(history)
+    register_views(spark, *paths, guard_late=True)  # again, over tables with rows
+    history = read_history(spark, paths[2], S.FACT_CHANGED, S.CHANGED_KEY, guard_late=True, day="ServiceDay")
+    assert rows(spark.table("fact_changedtimetable")) == rows(history)
+    assert load_stations(raw_stations(spark, 200), paths[0], date(2024, 1, 1))
+    assert not load_stations(raw_stations(spark, 2), paths[0], date(2024, 2, 1))
+    assert spark.table("dim_stations").count() == read_whole(spark, paths[0], S.DIM_STATIONS).count() == 200
+
+
+def test_a_view_on_one_day_reads_one_day(spark, tmp_path):
+    paths = [f"{tmp_path}/{n}" for n in ("stations", "planned", "changes", "messages")]
+    register_views(spark, *paths)
+    upsert(batch_of_changes(spark, A, B), paths[2])
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    plan = spark.sql("SELECT * FROM v_traindelayfact WHERE ServiceDay = '240711'")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("240711" in line.split("PartitionFilters")[1] for line in scans)
+
+
+def batch_of_changes(spark, *keys):
+    lines = spark.sparkContext.parallelize([dumps(json_stop(k, 6)) for k in keys])
+    return recent_change_rows(spark.read.schema(S.CHANGED_JSON).json(lines))
 
 
 def test_full_load_feeds_both_facts(spark, tmp_path, rows):
@@ -358,6 +386,9 @@ def test_split_xml_loses_no_record(spark, tmp_path, text, ids):
         '<s id="1"/><s id="2"/>',
         '<!-- x --><s id="1"><ar/><!-- y --></s>',
         '<s id="1"/><s id="2"/><s id="3"><ar></s>',
+        '<s id="1"><ar/></s><!-- <s id="x"></s><s id="y"></s> --><s id="2"><ar/></s>',
+        '<s id="1"><ar><![CDATA[</s><s id="9"><timetable><!-- </s> -->]]></ar></s><?go </s> ?><s id="2"><ar/></s>',
+        '<s id="1"><ar/></s ><s id="2"><ar/></s>',
     ],
 )
 @pytest.mark.parametrize("head", ["", '<?xml version="1.0"?><!DOCTYPE timetable>'])
@@ -367,3 +398,48 @@ def test_split_xml_equals_the_reader(spark, tmp_path, head, body):
     schema = spark.createDataFrame([], ID).schema
     split = read_records_xml(spark, f"{tmp_path}/f.xml", schema, "s", root_tag="timetable").collect()
     assert split == read_records_xml(spark, f"{tmp_path}/f.xml", schema, "s").collect()
+
+
+def _some_xml(rng):
+    """Records with comments, CDATA sections and instructions that hold tags and each other's marks."""
+    inside = ["</s>", "<s id='z'>", " x ", " words" * 6]
+
+    def held(start, end, others):
+        return start + "".join(rng.choice(inside + others) for _ in range(rng.randint(0, 12))) + end
+
+    def any_of():
+        return rng.choice([held("<!--", "-->", ["<![CDATA[", "]]>", "<?", "?>"]), held("<?go ", "?>", ["<!--", "-->", "<![CDATA["]), "\n"])
+
+    def cdata():
+        return held("<![CDATA[", "]]>", ["<!--", "-->", "<?", "?>"])
+
+    kinds = [
+        lambda i: f'<s id="{i}"/>',
+        lambda i: f'<s id="{i}"><t>v{i}</t></s>',
+        lambda i: f'<s id="{i}">{any_of()}<t>v{i}{cdata()}</t></s>{any_of()}',
+    ]
+    return "<timetable>" + "".join(rng.choice(kinds)(i) for i in range(40)) + "</timetable>"
+
+
+@pytest.mark.parametrize("split_bytes", [64, 300, 1 << 27])
+def test_constructs_over_splits(spark, tmp_path, rows, monkeypatch, split_bytes):
+    """Two files in splits that end inside constructs, also with every join dealt by a shuffle."""
+    import haltwerk.sources.xml as xml
+
+    rng = Random(split_bytes)
+    for name in "ab":
+        (tmp_path / f"{name}.xml").write_text(_some_xml(rng))
+    (tmp_path / "c.xml").write_text('<timetable><s id="clean"><t/></s></timetable>')
+    schema = spark.createDataFrame([], "_id string, t string").schema
+    want = rows(read_records_xml(spark, str(tmp_path), schema, "s"))
+    conf = {"spark.sql.files.maxPartitionBytes": split_bytes, "spark.sql.files.openCostInBytes": 1}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert rows(read_records_xml(spark, str(tmp_path), schema, "s", root_tag="timetable")) == want
+        monkeypatch.setattr(xml, "_FEW", 0)
+        assert rows(read_records_xml(spark, str(tmp_path), schema, "s", root_tag="timetable")) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

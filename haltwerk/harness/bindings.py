@@ -217,3 +217,17 @@ def with_closed(dim: DataFrame) -> DataFrame:
         "ValidTo",
         F.when(F.col("eva_number") % 5 == 1, F.lit(date(2024, 6, 1))).otherwise(F.lit(OPEN_END)),
     )
+
+
+def station_versions(customers: DataFrame) -> DataFrame:
+    """Two versions of every station: renamed on 2024-01-16; every fifth was closed from the 10th on until then, every third has not come back."""
+    first = customers.selectExpr(
+        "c_custkey AS eva_number",
+        "c_name AS station_name",
+        "DATE'2024-01-01' AS ValidFrom",
+        "CASE WHEN c_custkey % 5 = 1 THEN DATE'2024-01-10' ELSE DATE'2024-01-16' END AS ValidTo",
+    )
+    second = customers.where("c_custkey % 3 <> 2").selectExpr(
+        "c_custkey AS eva_number", "concat(c_name, ' Hbf') AS station_name", "DATE'2024-01-16' AS ValidFrom", "DATE'9999-12-31' AS ValidTo"
+    )
+    return first.unionByName(second)

@@ -323,6 +323,11 @@ def oracle_sql() -> dict[str, str]:
     # The later batch is there first: what comes after it is older and stays inactive where its key is known.
     kept = ", ".join(c for c in _CHANGE_COLS if c != "IsActive")
     same = " AND ".join(f"n.{k} = o.{k}" for k in _CHANGE_KEY)
+    rejected = _with("stops", """
+            SELECT EventType, count(*) AS n_rejected FROM (
+                SELECT 'Arrival' AS EventType FROM stops WHERE has_ar AND event_type <> 'view' AND user_id % 2 = 0 UNION ALL
+                SELECT 'Departure' FROM stops WHERE has_dp AND event_type <> 'view' AND user_id % 2 = 0 UNION ALL
+                SELECT 'Stop' FROM stops WHERE (kind = 3 OR event_type = 'purchase') AND user_id % 2 = 0) GROUP BY ALL""")
     late = f"""
         SELECT {kept}, true AS IsActive FROM latest_2 UNION ALL
         SELECT {kept}, NOT EXISTS (SELECT 1 FROM latest_2 n WHERE {same}) AS IsActive FROM latest_1 o"""
@@ -333,7 +338,9 @@ def oracle_sql() -> dict[str, str]:
         "xml_roundtrip": _ORDERS,
         "xml_source_file": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
         "jsonl_source": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
-        "batch_profile": "SELECT 6 AS n_files, count(*) > 0 AS has_bytes, count(*) AS n_records FROM events",
+        "batch_profile": """
+            SELECT 6 AS n_files, CAST(sum(strlen('{"event_id":' || event_id || ',"event_type":"' || event_type || '"}') + 1) + 1 AS BIGINT) AS n_bytes,
+                   count(*) AS n_records FROM events""",
         "payload_yield": _YIELD,
         "payload_records": _with("ids plan_raw", _RECORDS),
         "payload_rejects": """
@@ -378,12 +385,32 @@ def oracle_sql() -> dict[str, str]:
         "delay_fact": _with("delay", "SELECT * FROM delay"),
         "delay_fact_history": _with("planned_long history", _delay("history")),
         "delay_fact_stored": _with("planned_long history", _delay("history")),
+        "delay_fact_bucketed": _with("planned_long history", _delay("history")),
         "kpi_cancellation": _with("delay", _KPI_CANCEL),
         "kpi_ontime_type": _with("delay", _kpi_ontime("TrainType")),
         "kpi_ontime_station": _with("delay old", f"""
             SELECT k.*, s.station_name FROM ({_kpi_ontime('EVA_Number')}) k
             LEFT JOIN (SELECT * FROM old WHERE ValidFrom <= DATE '2024-03-01' AND ValidTo > DATE '2024-03-01') s
               ON CAST(s.eva_number AS VARCHAR) = k.EVA_Number"""),
+        "kpi_ontime_station_asof": _with("delay", """
+            SELECT EVA_Number, station_name, count(*) AS n_events, count(*) FILTER (WHERE DelayMinutes <= 5) AS n_on_time,
+                   avg(CASE WHEN DelayMinutes <= 5 THEN 1.0 ELSE 0.0 END::DOUBLE) AS on_time_share
+            FROM delay LEFT JOIN (
+                SELECT c_custkey, c_name AS station_name, DATE '2024-01-01' AS a,
+                       CASE WHEN c_custkey % 5 = 1 THEN DATE '2024-01-10' ELSE DATE '2024-01-16' END AS b FROM customer UNION ALL
+                SELECT c_custkey, c_name || ' Hbf', DATE '2024-01-16', DATE '9999-12-31' FROM customer WHERE c_custkey % 3 <> 2)
+              ON CAST(c_custkey AS VARCHAR) = EVA_Number AND CAST(PlannedTime AS DATE) >= a AND CAST(PlannedTime AS DATE) < b
+            WHERE NOT IsCancelled AND DelayMinutes IS NOT NULL GROUP BY ALL"""),
+        "kpi_overview": _with("delay", """
+            SELECT CASE GROUPING(TrainType, EVA_Number, Day) WHEN 3 THEN 'type' WHEN 5 THEN 'station' WHEN 6 THEN 'day' ELSE 'all' END AS level,
+                   TrainType, EVA_Number, Day, count(*) AS n_events, count(*) FILTER (WHERE IsCancelled) AS n_cancelled,
+                   count(*) FILTER (WHERE IsCancelled) / count(*) AS cancellation_rate,
+                   count(*) FILTER (WHERE NOT IsCancelled AND DelayMinutes IS NOT NULL) AS n_timed,
+                   count(*) FILTER (WHERE NOT IsCancelled AND DelayMinutes <= 5) AS n_on_time,
+                   count(*) FILTER (WHERE NOT IsCancelled AND DelayMinutes <= 5) /
+                       nullif(count(*) FILTER (WHERE NOT IsCancelled AND DelayMinutes IS NOT NULL), 0) AS on_time_share
+            FROM (SELECT *, CAST(PlannedTime AS DATE) AS Day FROM delay)
+            GROUP BY GROUPING SETS ((TrainType), (EVA_Number), (Day), ())"""),
         "load_stations": _with("old_open new", _interval("old_open")),
         "load_planned": _with("first_1 first_99", _LOAD_PLANNED),
         "load_full_changes": full_changes,
@@ -400,11 +427,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT '2' AS eva, count(*) AS n FROM events WHERE event_type NOT IN ('error', 'signup') UNION ALL
             SELECT 'rejected', count(*) FROM events WHERE event_type IN ('error', 'signup')""",
         "find_event": _with("changes", f"SELECT {changes} FROM changes WHERE EventId = (SELECT min(EventId) FROM changes)"),
-        "message_rejects": _with("stops", """
-            SELECT EventType, count(*) AS n_rejected FROM (
-                SELECT 'Arrival' AS EventType FROM stops WHERE has_ar AND event_type <> 'view' AND user_id % 2 = 0 UNION ALL
-                SELECT 'Departure' FROM stops WHERE has_dp AND event_type <> 'view' AND user_id % 2 = 0 UNION ALL
-                SELECT 'Stop' FROM stops WHERE (kind = 3 OR event_type = 'purchase') AND user_id % 2 = 0) GROUP BY ALL"""),
+        "message_rejects": rejected,
         "scd2_upsert_late": _with("latest_1 latest_2", late),
         "load_late_changes": _with("latest_1 latest_2", late),
         "scd2_interval_reopen": _with("old new", f"""
@@ -424,6 +447,16 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN (SELECT EventId, EventType, count(*) AS n FROM latest_msg GROUP BY ALL) m
               ON m.EventId = v.EventId AND m.EventType = v.EventType
             GROUP BY v.EventType"""),
+        "payload_counted": f"""
+            SELECT unnest(['requests', 'failed', 'malformed', 'records', 'stored']) AS what,
+                   unnest([sum(requests), sum(failed), sum(malformed), sum(records), sum(records)])::BIGINT AS n FROM ({_YIELD})""",
+        "messages_counted": rejected,
+        "stream_late_files": _with("latest_1 latest_2", late),
+        "stream_retired": """
+            SELECT step, place, count(*) FILTER (WHERE list_contains(parts, event_id % 3)) AS n_records
+            FROM events, (VALUES (1, 'archive', [0]), (1, 'landing', [1, 2]), (1, 'read', [0, 1]),
+                                 (2, 'archive', [0, 1]), (2, 'landing', [2]), (2, 'read', [0, 1, 2])) s(step, place, parts)
+            GROUP BY step, place""",
         "stream_ingest": _with("stops", """
             SELECT CAST(user_id AS VARCHAR) AS eva, sid AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS collected_at,
                    CASE WHEN has_ar THEN CAST(ct AS VARCHAR) END AS ar_ct,

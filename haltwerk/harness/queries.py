@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,8 @@ from ..plans import (
     kpi_cancellation,
     kpi_ontime,
     kpi_ontime_by_station,
+    kpi_ontime_by_station_asof,
+    kpi_overview,
     load_full_changes,
     load_full_messages,
     load_planned,
@@ -62,6 +64,7 @@ from ..sinks import (
     read_appended,
     read_history,
     read_whole,
+    store_bucketed,
 )
 from ..sources import (
     archive_raw,
@@ -75,7 +78,7 @@ from ..sources import (
     write_records_json,
     write_records_xml,
 )
-from ..streaming import ingest_stream, scd2_stream
+from ..streaming import ingest_state, ingest_stream, late_safe_stream, scd2_stream
 from . import bindings as B
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,13 +119,13 @@ def jsonl_source(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def profile(spark: SparkSession, sf: str) -> DataFrame:
-    """Five files with records and one without."""
+    """Five files with records and one empty line in a sixth, all of known size."""
     ev = B.events(spark, sf)
     path = work_dir(spark, "profile")
-    ev.repartition(5).write.json(path)
+    line = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"event_type":"'), F.col("event_type"), F.lit('"}'))
+    ev.select(line.alias("value")).repartition(5).write.text(path)
     spark.range(0, 1, 1, 1).select(F.lit("").alias("value")).write.mode("append").text(path)
-    counted = batch_profile(require_nonempty(read_records_json(spark, path, ev.schema)))
-    return counted.select("n_files", (F.col("n_bytes") > 0).alias("has_bytes"), "n_records")
+    return batch_profile(require_nonempty(read_records_json(spark, path, ev.schema)), path)
 
 
 def payload_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,6 +149,15 @@ def payload_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return rejects.select("eva", "reason")
 
 
+def payload_counted(spark: SparkSession, sf: str) -> DataFrame:
+    """Records written, and what the same pass has counted."""
+    path, seen = work_dir(spark, "counted"), Observation()
+    records, _ = shred_payloads(B.payloads(B.events(spark, sf)), "s", _PAYLOAD_STOP, seen=seen)
+    records.select("request_key", F.col("_id").alias("id")).write.parquet(path)
+    stored = spark.read.parquet(path).agg(F.lit("stored").alias("what"), F.count("*").alias("n"))
+    return stored.unionByName(spark.createDataFrame(list(seen.get.items()), "what string, n long"))
+
+
 # stations --------------------------------------------------------------------------------------
 
 
@@ -361,6 +373,16 @@ def delay_table_days(spark: SparkSession, sf: str) -> DataFrame:
     return delay_fact(planned, changed, days=["240102", "240105"])
 
 
+def delay_table_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Both stored tables dealt to the same buckets, then joined."""
+    base = _curated(spark, sf)
+    name = f"haltwerk_{base.rsplit('-', 1)[1]}"
+    planned = read_appended(spark, f"{base}/planned", S.FACT_PLANNED)
+    changed = read_active(spark, f"{base}/changes", S.FACT_CHANGED, S.CHANGED_KEY)
+    sides = [store_bucketed(df, f"{name}_{n}", f"{base}/bucketed-{n}", 8) for n, df in enumerate((planned, changed))]
+    return delay_fact(*sides, apart=True)
+
+
 def cancellation(spark: SparkSession, sf: str) -> DataFrame:
     return kpi_cancellation(delay_table(spark, sf), ["TrainType"])
 
@@ -373,6 +395,14 @@ def ontime_station(spark: SparkSession, sf: str) -> DataFrame:
     return kpi_ontime_by_station(delay_table(spark, sf), _old(spark, sf), date(2024, 3, 1))
 
 
+def ontime_station_asof(spark: SparkSession, sf: str) -> DataFrame:
+    return kpi_ontime_by_station_asof(delay_table(spark, sf), B.station_versions(B.table(spark, sf, "customer")))
+
+
+def overview(spark: SparkSession, sf: str) -> DataFrame:
+    return kpi_overview(delay_table(spark, sf))
+
+
 # loads -----------------------------------------------------------------------------------------
 
 
@@ -507,12 +537,22 @@ def one_event(spark: SparkSession, sf: str) -> DataFrame:
     return _zone_free(find_event(changes, changes.agg(F.min("EventId")).head()[0]))
 
 
-def unread_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """Message texts of errors cut in half."""
-    stops = B.changed_stops_json(B.events(spark, sf))
+def _half_cut(stops: DataFrame) -> DataFrame:
     half = lambda c: F.when(F.col("eva").cast("long") % 2 == 0, F.concat(F.lit("["), F.col(c))).otherwise(F.col(c))
-    cut = stops.withColumns({"ar": F.col("ar").withField("m", half("ar.m")), "dp": F.col("dp").withField("m", half("dp.m")), "m": half("m")})
-    return message_rejects(cut)
+    return stops.withColumns({"ar": F.col("ar").withField("m", half("ar.m")), "dp": F.col("dp").withField("m", half("dp.m")), "m": half("m")})
+
+
+def unread_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every second station's message texts broken."""
+    return message_rejects(_half_cut(B.changed_stops_json(B.events(spark, sf))))
+
+
+def counted_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The same texts counted by the pass that writes the messages."""
+    seen = Observation()
+    messages = stop_messages(_half_cut(B.changed_stops_json(B.events(spark, sf))), collected_at(), "", json_text=True, seen=seen)
+    messages.write.parquet(work_dir(spark, "messages"))
+    return spark.createDataFrame([x for x in seen.get.items() if x[1]], "EventType string, n_rejected long")
 
 
 def upsert_late(spark: SparkSession, sf: str) -> DataFrame:
@@ -594,6 +634,45 @@ def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
     return _zone_free(read_history(spark, f"{_streamed(spark, sf)}/messages", S.FACT_MESSAGES, S.MESSAGE_KEY, guard_late=True))
 
 
+def stream_late_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The earlier batch arrives in a later file; its flags are right without a guard at the reader."""
+    base, ev = work_dir(spark, "late-stream"), B.events(spark, sf)
+    for part in (B.second_batch(ev), B.first_batch(ev)):
+        B.changed_stops_json(part).write.mode("append").json(f"{base}/landing")
+        for query in late_safe_stream(ingest_stream(spark, f"{base}/landing"), f"{base}/changes", f"{base}/messages", f"{base}/checkpoint"):
+            query.awaitTermination()
+    return _zone_free(read_history(spark, f"{base}/changes", S.FACT_CHANGED, S.CHANGED_KEY))
+
+
+def stream_retired(spark: SparkSession, sf: str) -> DataFrame:
+    """Three arrivals. After two runs the first has gone, and the third, which came after them, stays; a run later the second goes. Nothing is lost."""
+    base, ev = work_dir(spark, "retired"), B.events(spark, sf)
+
+    def arrive(n: int) -> None:
+        B.changed_stops_json(ev.where(F.col("event_id") % 3 == n)).write.mode("append").json(f"{base}/landing")
+
+    def run() -> None:
+        ingest = ingest_stream(spark, f"{base}/landing", archive=f"{base}/archive").writeStream.format("parquet")
+        ingest.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+
+    def state(step: int) -> DataFrame:
+        read = spark.read.schema(S.CHANGED_JSON).parquet(f"{base}/out").agg(F.lit("read").alias("place"), F.count("*").alias("n_records"))
+        places = ingest_state(spark, f"{base}/landing", f"{base}/archive").select("place", "n_records")
+        # Files go on: what stands now is kept before the next run.
+        path = work_dir(spark, "retired-state")
+        places.unionByName(read).withColumn("step", F.lit(step)).write.parquet(path)
+        return spark.read.parquet(path)
+
+    arrive(0)
+    run()
+    arrive(1)
+    run()
+    arrive(2)
+    before = state(1)
+    run()
+    return before.unionByName(state(2))
+
+
 def queries() -> dict[str, Query]:
     return {
         "xml_roundtrip": xml_roundtrip,
@@ -631,9 +710,12 @@ def queries() -> dict[str, Query]:
         "delay_fact": delay_table,
         "delay_fact_history": delay_table_history,
         "delay_fact_stored": delay_table_stored,
+        "delay_fact_bucketed": delay_table_bucketed,
         "kpi_cancellation": cancellation,
         "kpi_ontime_type": ontime_type,
         "kpi_ontime_station": ontime_station,
+        "kpi_ontime_station_asof": ontime_station_asof,
+        "kpi_overview": overview,
         "load_stations": stations,
         "load_planned": planned,
         "load_full_changes": full_changes,
@@ -650,6 +732,10 @@ def queries() -> dict[str, Query]:
         "load_late_changes": history_late,
         "scd2_interval_reopen": interval_reopen,
         "delay_fact_day": delay_table_days,
+        "payload_counted": payload_counted,
+        "messages_counted": counted_messages,
+        "stream_late_files": stream_late_files,
+        "stream_retired": stream_retired,
         "stream_ingest": stream_ingest,
         "stream_scd2_events": stream_events,
         "stream_scd2_messages": stream_messages,

@@ -13,17 +13,15 @@ def require_nonempty(df: DataFrame, what: str = "batch") -> DataFrame:
     return df
 
 
-def batch_profile(df: DataFrame) -> DataFrame:
-    """Files, bytes and records of a file-based DataFrame, in one row.
+def batch_profile(df: DataFrame, path: str, recursive: bool = False) -> DataFrame:
+    """Files, bytes and records of ``df``, which was read from ``path`` (a folder, file or pattern), in one row.
 
-    The file list is the one that reading ``df`` has made, so empty files count; their sizes are
-    listed without reading them, and records are counted by the scan.
+    The files are a table that Spark lists, empty ones included; names and sizes are read, no content. Records are counted by the scan.
     """
-    files = df.inputFiles()
-    sizes = df.sparkSession.read.format("binaryFile").load(files).select("length") if files else df.sparkSession.range(0).select(F.col("id").alias("length"))
-    n_bytes = sizes.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes"))
+    files = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path).select("length")
+    sizes = files.agg(F.count("*").alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes"))
     # One row on either side.
-    return n_bytes.join(df.agg(F.count("*").alias("n_records")), F.lit(True)).select(F.lit(len(files)).cast("long").alias("n_files"), "n_bytes", "n_records")
+    return sizes.join(df.agg(F.count("*").alias("n_records")), F.lit(True)).select("n_files", "n_bytes", "n_records")
 
 
 def null_audit(df: DataFrame, column: str) -> DataFrame:

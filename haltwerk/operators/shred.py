@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import ARRIVAL, DEPARTURE, STOP, unplanned_flag
@@ -98,12 +98,14 @@ def _with_lists(stops: DataFrame) -> DataFrame:
     return flat.withColumn(_LABEL, F.explode(labels)).where(F.col(_LABEL).isNotNull())
 
 
-def stop_messages(stops: DataFrame, snapshot: Column, prefix: str = "_", json_text: bool = False) -> DataFrame:
+def stop_messages(
+    stops: DataFrame, snapshot: Column, prefix: str = "_", json_text: bool = False, seen: Observation | None = None
+) -> DataFrame:
     """One row per message of the arrival, departure and stop lists.
 
     With ``json_text`` the lists arrive as JSON text: an array, or a single object that
-    counts as a list of one. Text that does not parse gives no rows (``message_rejects``
-    counts it).
+    counts as a list of one. Text that does not parse gives no rows; ``message_rejects`` counts it, or ``seen``
+    does, under the event types, while the messages are written.
     """
     present = _with_lists(stops)
     lists = _by_label({label: F.col(_list_of(label)) for label in _LISTS})
@@ -114,6 +116,9 @@ def stop_messages(stops: DataFrame, snapshot: Column, prefix: str = "_", json_te
         return F.col(f"__msg.{prefix}{name}")
 
     sent = _long(part("ts"))
+    if seen:
+        unread = (F.count_if((F.col(_LABEL) == label) & F.col("__list").isNull()).alias(label) for label in _LISTS)
+        present, msg = present.withColumn("__list", msg).observe(seen, *unread), F.col("__list")
     rows = present.withColumn("__msg", F.explode(msg))
     return rows.select(
         _long(F.col(f"{prefix}eva")).alias("eva_number"),

@@ -63,20 +63,27 @@ def latest_overlay(changed: DataFrame) -> DataFrame:
     )
 
 
-def delay_fact(planned: DataFrame, changed: DataFrame, days: Sequence[str] | None = None) -> DataFrame:
+def delay_fact(planned: DataFrame, changed: DataFrame, days: Sequence[str] | None = None, apart: bool = False) -> DataFrame:
     """Every planned or added event with its actual platform and time, delay and cancellation.
 
     If both tables show their day part, it is joined on (it follows from the event id) and kept, so a
-    filter on it, or ``days``, limits what is read of both.
+    filter on it, or ``days``, limits what is read of both. With ``apart`` planned and added events meet the changes each on
+    their own, which reads the changes once more, but lets two tables of ``store_bucketed`` join without a shuffle.
     """
     day = [c for c in _day_of(planned) if c in changed.columns]
     if not day:
         planned, changed = planned.drop(SERVICE_DAY), changed.drop(SERVICE_DAY)
     if days is not None:
         planned, changed = (t.where(F.col(SERVICE_DAY).isin(list(days))) for t in (planned, changed))
-    baseline = planned_events(planned).unionByName(added_events(changed))
-    joined = baseline.join(latest_overlay(changed), [*_EVENT, *day], "left")
-    return joined.select(
+    baselines = [planned_events(planned), added_events(changed)]
+    if not apart:
+        baselines = [baselines[0].unionByName(baselines[1])]
+    facts = [_overlaid(b, latest_overlay(changed), day) for b in baselines]
+    return facts[0].unionByName(facts[1]) if apart else facts[0]
+
+
+def _overlaid(baseline: DataFrame, overlay: DataFrame, day: list[str]) -> DataFrame:
+    return baseline.join(overlay, [*_EVENT, *day], "left").select(
         "EVA_Number",
         "EventId",
         "TrainName",

@@ -143,8 +143,10 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType, days: Sequence
     return _read_or_empty(spark, where, full, "parquet", basePath=f"{path}/data")
 
 
-def _write_batch(rows: DataFrame, path: str, batch: str, began: int) -> None:
-    rows = rows.withColumns({_ORDER: F.lit(began).cast("long"), "batch": F.lit(batch)})
+def _write_batch(rows: DataFrame, path: str, batch: str, began: int, late: str | None = None) -> None:
+    order = F.lit(began) if late is None else F.when(F.col(late), F.lit(0)).otherwise(F.lit(began))
+    rows = rows.withColumns({_ORDER: order.cast("long"), "batch": F.lit(batch)})
+    rows = rows.drop(late) if late else rows
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         # Right-sized files: small parts share a task, a big part is split into many.
         rows = rows.hint("rebalance", "part")
@@ -189,16 +191,18 @@ def upsert_history(
     flag: str = "IsActive",
     batch: str | None = None,
     part: Callable[[str], Column] = service_day,
+    late: str | None = None,
 ) -> bool:
     """Add a batch (one row per key) to a history. Writes the batch's rows, reads and rewrites nothing.
 
     A batch name that is done is skipped, so a replay changes nothing. ``part`` must depend on the key only and take
-    a bounded number of values.
+    a bounded number of values. Rows for which the column ``late`` holds are kept as if loaded before all others: they are never active
+    beside a row of their key that is not late. The column is not stored.
     """
     spark, began = source.sparkSession, _now()
     if batch is not None and batch_committed(spark, path, batch):
         return False
-    _write_batch(source.drop(flag).withColumn("part", part("EventId")), path, batch or uuid.uuid4().hex, began)
+    _write_batch(source.drop(flag).withColumn("part", part("EventId")), path, batch or uuid.uuid4().hex, began, late)
     return True
 
 

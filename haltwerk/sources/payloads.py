@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,21 +28,28 @@ def _readable() -> Column:
 
 
 def shred_payloads(
-    payloads: DataFrame, row_tag: str, record: T.StructType, request_key: str = "eva", key_field: str | None = None
+    payloads: DataFrame,
+    row_tag: str,
+    record: T.StructType,
+    request_key: str = "eva",
+    key_field: str | None = None,
+    seen: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(records, rejects).
 
     Records carry the request key beside the payload's own fields; ``key_field`` also
     writes it over that field of the record. Rejects are failed or unreadable responses
-    with a reason. A readable body without records is neither.
+    with a reason. A readable body without records is neither. ``seen`` counts requests, failed, malformed and
+    records while the records are written, without a second read.
     """
     parsed = _parsed(payloads, row_tag, record)
+    counted = parsed.observe(seen, *_counts(row_tag)) if seen else parsed
     fields = [
         (F.col(request_key).cast("string") if f == key_field else F.col(f"__rec.{f}")).alias(f)
         for f in record.fieldNames()
     ]
     records = (
-        parsed.where(_readable())
+        counted.where(_readable())
         .select(request_key, F.explode(f"{_DOC}.{row_tag}").alias("__rec"))
         .select(F.col(request_key).alias("request_key"), *fields)
     )
@@ -53,16 +60,16 @@ def shred_payloads(
     return records, rejects
 
 
+def _counts(row_tag: str) -> list[Column]:
+    n = F.when(_readable(), F.coalesce(F.size(F.col(f"{_DOC}.{row_tag}")), F.lit(0))).otherwise(0)
+    return [
+        F.count(F.lit(1)).alias("requests"),
+        F.count_if(~_ok()).alias("failed"),
+        F.count_if(_ok() & ~_readable()).alias("malformed"),
+        F.sum(F.greatest(n, F.lit(0))).alias("records"),  # size of a missing list is -1 outside ANSI mode
+    ]
+
+
 def payload_yield(payloads: DataFrame, row_tag: str, record: T.StructType, request_key: str = "eva") -> DataFrame:
     """Requests, failures, unreadable bodies and records per request key, in one pass."""
-    n = F.when(_readable(), F.coalesce(F.size(F.col(f"{_DOC}.{row_tag}")), F.lit(0))).otherwise(0)
-    n = F.greatest(n, F.lit(0))  # size of a missing list is -1 outside ANSI mode
-    counted = _parsed(payloads, row_tag, record).select(
-        F.col(request_key), _ok().alias("__ok"), _readable().alias("__readable"), n.alias("__n")
-    )
-    return counted.groupBy(request_key).agg(
-        F.count("*").alias("requests"),
-        F.count_if(~F.col("__ok")).alias("failed"),
-        F.count_if(F.col("__ok") & ~F.col("__readable")).alias("malformed"),
-        F.sum("__n").alias("records"),
-    )
+    return _parsed(payloads, row_tag, record).groupBy(request_key).agg(*_counts(row_tag))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators import batch_profile
 from ..plans.loads import load_recent_changes, load_recent_messages
 from ..schemas import CHANGED_JSON
 
@@ -30,6 +32,18 @@ def ingest_stream(
     return reader.load(folder)
 
 
+def ingest_state(spark: SparkSession, folder: str, archive: str, schema: T.StructType = CHANGED_JSON) -> DataFrame:
+    """Files, bytes and records that wait in ``folder`` or have been read too recently to go, and those that have gone to ``archive``.
+
+    A file goes when the batch after the one that read it is done. Below ``archive`` files keep their whole path.
+    """
+    def state(place: str, path: str) -> DataFrame:
+        records = spark.read.schema(schema).option("recursiveFileLookup", "true").json(path)
+        return batch_profile(records, path, recursive=True).select(F.lit(place).alias("place"), "*")
+
+    return state("landing", folder).unionByName(state("archive", archive))
+
+
 def scd2_stream(
     stops: DataFrame,
     changes_path: str,
@@ -43,7 +57,7 @@ def scd2_stream(
     Each batch is committed to each table under the stream's ``name`` (default: the
     checkpoint) and its number; a batch that is replayed after a failure skips the table
     that already has it. Give a new checkpoint a new name. Files may arrive late, so read these
-    histories with ``guard_late``.
+    histories with ``guard_late``, or take ``late_safe_stream``.
     """
     name = name or checkpoint
 

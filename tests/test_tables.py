@@ -184,7 +184,7 @@ def test_sources(spark, tmp_path, rows):
     write_records_json(spark.range(10).repartition(3), f"{tmp_path}/j")
     (tmp_path / "j" / "part-empty.json").write_text("")
     df = read_records_json(spark, f"{tmp_path}/j/part-*", spark.range(1).schema)
-    got = batch_profile(df).first()
+    got = batch_profile(df, f"{tmp_path}/j/part-*").first()
     assert (got["n_files"], got["n_records"]) == (4, 10) and got["n_bytes"] == 10 * len('{"id":0}\n')
     for name in ("a", "b", "a"):
         archive_raw(df, f"{tmp_path}/archive", name, datetime(2024, 7, 11, 6, 5, 4))

@@ -1,9 +1,10 @@
-"""SentencePiece models of the merge kind: an agenda of adjacent pairs by score, held against the library batch by batch."""
+"""SentencePiece models of the merge kind: an agenda of adjacent pairs by score; what it makes of each word is held against the library, batch by batch."""
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,8 +22,8 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Stretches whose ids are kept at once in a worker, and the longest of them.
 CACHE, CACHED_CHARS = 300_000, 64
-#: Characters of texts that the library encodes at a time; a longer text goes alone.
-TOGETHER = 4 << 20
+#: Words handled at a time; bounds the memory that a very long text takes.
+WORDS = 200_000
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -93,7 +94,7 @@ class PieceBpe:
     of the user's own. Any other model is refused.
     """
 
-    def __init__(self, raw: bytes):
+    def __init__(self, raw: bytes, check: bool = False):
         self.library = lib = sentencepiece.SentencePieceProcessor(model_proto=raw)
         settings = Settings.read(raw)
         n = lib.get_piece_size()
@@ -103,7 +104,7 @@ class PieceBpe:
             raise ValueError("only models of the merge kind that take texts as they are")
         self._prefix = settings.dummy_prefix
         self._id = {p: i for i, p in enumerate(names) if not special[i]}
-        self._score = {p: lib.get_score(i) for p, i in self._id.items()}
+        self._turn = {p: -lib.get_score(i) for p, i in self._id.items()}  # the least comes first
         self._unused = {p for p, i in self._id.items() if lib.is_unused(i)}
         bytes_of = {int(names[i][3:-1], 16): i for i in range(n) if lib.is_byte(i)}
         self._unknown = lib.unk_id()
@@ -112,6 +113,10 @@ class PieceBpe:
         self._words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$") if not any(MARK in p.lstrip(MARK) for p in self._id) else None
         self._beside = {p[i : i + 2] for p in self._id for i in range(len(p) - 1)}
         self._cache: dict[str, tuple[int, ...]] = {}
+        #: With ``check``: words met since the last ``compare`` with their ids, and words of which the library makes something else.
+        self._check = check
+        self._fresh: list[tuple[str, tuple[int, ...]]] = []
+        self.differs: set[str] = set()
         # Decoding: the bytes of every id.
         back = {i: bytes([b]) for b, i in bytes_of.items()}
         surface = lambda i: b"" if lib.is_control(i) else " ⁇ ".encode() if i == self._unknown else names[i].replace(MARK, " ").encode()
@@ -121,7 +126,31 @@ class PieceBpe:
         self._decimal = [str(i) for i in range(n)]
 
     def _split(self, text: str) -> list[str]:
-        """Symbols of a stretch that no merge leaves: the agenda holds pairs by score, then place.
+        """Symbols of a stretch that no merge leaves."""
+        parts: dict[str, tuple[str, str]] = {}
+        out = (self._few if len(text) <= CACHED_CHARS else self._many)(text, parts)
+        return [p for piece in out for p in self._resolved(piece, parts)] if parts else out
+
+    def _few(self, text: str, parts: dict[str, tuple[str, str]]) -> list[str]:
+        """A short stretch: the agenda is the list of the pairs' turns in their places; its first least one is next."""
+        turn, never = self._turn.get, math.inf
+        symbols = list(text)
+        agenda = [turn(a + b, never) for a, b in zip(symbols, symbols[1:])]  # noqa: B905
+        while agenda and (best := min(agenda)) is not never:
+            i = agenda.index(best)
+            piece = symbols[i] + symbols[i + 1]
+            if piece in self._unused:
+                parts[piece] = symbols[i], symbols[i + 1]
+            symbols[i : i + 2] = (piece,)
+            del agenda[i]
+            if i:
+                agenda[i - 1] = turn(symbols[i - 1] + piece, never)
+            if i < len(agenda):
+                agenda[i] = turn(piece + symbols[i + 1], never)
+        return symbols
+
+    def _many(self, text: str, parts: dict[str, tuple[str, str]]) -> list[str]:
+        """A long stretch: the agenda is a heap of pairs by turn, then place.
 
         A symbol is known by its start; ``after`` and ``before`` link the starts, so a symbol's end is its follower's start.
         """
@@ -129,14 +158,13 @@ class PieceBpe:
         after, before = list(range(1, size + 1)), list(range(-1, size))
         alive = bytearray(b"\1") * size
         agenda: list[tuple[float, int, int]] = []
-        parts: dict[str, tuple[str, str]] = {}
-        score = self._score.get
+        turn = self._turn.get
 
         def offer(left: int) -> None:
             end = after[after[left]]
-            known = score(text[left:end])
+            known = turn(text[left:end])
             if known is not None:
-                heapq.heappush(agenda, (-known, left, end))
+                heapq.heappush(agenda, (known, left, end))
 
         for left in range(size - 1):
             offer(left)
@@ -158,7 +186,7 @@ class PieceBpe:
         while at < size:
             out.append(text[at : after[at]])
             at = after[at]
-        return [p for piece in out for p in self._resolved(piece, parts)] if parts else out
+        return out
 
     def _resolved(self, piece: str, parts: dict[str, tuple[str, str]]) -> list[str]:
         """An unused piece goes back to the parts it was made of."""
@@ -191,23 +219,48 @@ class PieceBpe:
                     ids += [self._byte[b] for b in piece.encode()]
                 else:
                     ids.append(self._unknown)
-        found = tuple(ids)
+        found = tuple(self._one_unknown(ids))
+        if self._check:
+            self._fresh.append((word, found))
+            if len(self._fresh) >= CACHE:
+                self.compare()
         if len(word) <= CACHED_CHARS:
             if len(self._cache) >= CACHE:
                 self._cache.clear()
             self._cache[word] = found
         return found
 
-    def encode(self, text: str) -> list[int]:
+    def words(self, text: str) -> Iterator[list[str]]:
+        """The words of a text made ready, some at a time; merges stay inside them."""
         if not text:
-            return []
+            return
         ready = (MARK if self._prefix else "") + text.replace(" ", MARK)
-        words = self._words.findall(ready) if self._words else [ready]
+        if not self._words:
+            yield [ready]
+        elif len(ready) <= WORDS:
+            yield self._words.findall(ready)
+        else:
+            found = self._words.finditer(ready)
+            while some := [m.group() for m in islice(found, WORDS)]:
+                yield some
+
+    def encode(self, text: str) -> list[int]:
         known = self._cache.get
-        ids = list(chain.from_iterable([known(w) or self._ids(w) for w in words]))
-        if self._byte is None:  # unknown pieces side by side are one
-            ids = [i for n, i in enumerate(ids) if not (n and i == self._unknown == ids[n - 1])]
-        return ids
+        ids = [i for words in self.words(text) for i in chain.from_iterable([known(w) or self._ids(w) for w in words])]
+        return self._one_unknown(ids)
+
+    def _one_unknown(self, ids: list[int]) -> list[int]:
+        """Without pieces for bytes, unknown pieces side by side are one."""
+        return ids if self._byte else [i for n, i in enumerate(ids) if not (n and i == self._unknown == ids[n - 1])]
+
+    def compare(self) -> None:
+        """Note in ``differs`` each word met since the last call for which the library gives other ids."""
+        fresh, self._fresh = self._fresh, []
+        # The library sets the dummy mark itself; a word that is that mark only is one symbol, and cannot be given to it as a text.
+        fresh = [x for x in fresh if x[0] != MARK]
+        plain = [(w[1:] if self._prefix else w).replace(MARK, " ") for w, _ in fresh]
+        theirs = self.library.encode(plain, num_threads=1) if plain else []
+        self.differs.update(w for (w, ids), want in zip(fresh, theirs, strict=True) if tuple(want) != ids)
 
     def decode(self, ids: list[int]) -> bytes:
         """The text of the ids in UTF-8: bytes are joined to characters, each byte of none becomes U+FFFD, and the dummy space goes."""
@@ -249,24 +302,11 @@ def _character(raw: bytes, size: int) -> bool:
         return False
 
 
-def _coder(spark, path: str | None):
+def _coder(spark, path: str | None, check: bool = False):
     """A function that makes the coder in a task. The model file (its size is the vocabulary's) is broadcast."""
     with open(path or public_tokenizers.path(MODEL), "rb") as file:
         sent = spark.sparkContext.broadcast(file.read())
-    return lambda: PieceBpe(sent.value)
-
-
-def _together(texts: list[str]) -> Iterator[list[str]]:
-    """Texts of a batch in groups of bounded size."""
-    group, held = [], 0
-    for text in texts:
-        if group and held + len(text) > TOGETHER:
-            yield group
-            group, held = [], 0
-        group.append(text)
-        held += len(text)
-    if group:
-        yield group
+    return lambda: PieceBpe(sent.value, check)
 
 
 def piece_digests(docs: DataFrame, path: str | None = None, check: bool = True) -> DataFrame:
@@ -274,24 +314,27 @@ def piece_digests(docs: DataFrame, path: str | None = None, check: bool = True)
 
     NULL text counts as empty: no ids, digests of the empty string. NULL ids and repeated rows are rows like others; an
     empty table gives an empty result; extra columns are ignored. Returns doc_id, n_tokens, ids_sha256 (decimal ids joined
-    by commas), decoded_sha256 (the decoded text in UTF-8), n_bytes (its bytes), agrees: whether the library gives the same ids and the
-    same text for them (NULL without ``check``). A worker's memory is some 100 bytes for each character of the longest stretch without a
+    by commas), decoded_sha256 (the decoded text in UTF-8), n_bytes (its bytes), agrees: whether the library gives the same ids for each
+    word of the text (no merge reaches over words, and a task gives a word that it has met to the library once) and decodes the
+    text's ids to the same text; NULL without ``check``. A worker's memory is some 100 bytes for each character of the longest stretch without a
     place where no piece reaches over.
     """
-    make = _coder(docs.sparkSession, path)
+    make = _coder(docs.sparkSession, path, check)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = make()
-        lib = coder.library
         for batch in batches:
             out = []
-            for texts in _together(batch.column(1).to_pylist()):
-                theirs = lib.encode(texts, num_threads=1) if check else [None] * len(texts)
-                for text, want in zip(texts, theirs, strict=True):
-                    ids = coder.encode(text)
-                    back = coder.decode(ids)
-                    agrees = ids == want and lib.decode(ids).encode() == back if check else None
-                    out.append((len(ids), hashlib.sha256(coder.decimal(ids).encode()).hexdigest(), hashlib.sha256(back).hexdigest(), len(back), agrees))
+            for text in batch.column(1):
+                text = text.as_py()
+                ids = coder.encode(text)
+                back = coder.decode(ids)
+                agrees = coder.library.decode(ids).encode() == back if check else None
+                out.append([len(ids), hashlib.sha256(coder.decimal(ids).encode()).hexdigest(), hashlib.sha256(back).hexdigest(), len(back), agrees])
+            coder.compare()
+            if coder.differs:
+                for row, text in zip(out, batch.column(1), strict=True):
+                    row[-1] &= not any(w in coder.differs for words in coder.words(text.as_py()) for w in words)
             columns = zip(*out, strict=True) if out else ((),) * 5
             kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays(

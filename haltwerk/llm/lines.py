@@ -14,7 +14,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(d, row, n, at, h, words, before): the non-blank lines of each distinct row; ``n`` counts them, ``at`` all lines, ``before`` is the words ahead."""
-    trimmed = F.transform(F.split(text_of(), "\n", -1), lambda x: F.trim(F.translate(x, "\t\r\x0b\x0c", "    ")))
+    trimmed = F.transform(F.split(text_of(), "\n", -1), lambda x: F.btrim(x, F.lit(" \t\r\x0b\x0c")))
     rows = docs.select(F.col("doc_id").alias("d"), row_key("doc_id", "text").alias("row"), F.posexplode(trimmed).alias("at", "line")).where("line <> ''")
     rows = rows.select("d", "row", "at", F.xxhash64("line").alias("h"), F.regexp_count("line", F.lit(WORD)).cast("long").alias("words"))
     # Rows that are equal in id and text are one document here.
@@ -58,17 +58,16 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Equal windows have equal fingerprints at different places, so windows whose fingerprint stands at one place only are out. The others are
     grouped by content; each is compared with the first place of its own content, by (doc_id, NULL last, row, line), and its lines go unless
-    it stands there.
+    it stands there or shares lines with it.
     """
     lines = staged(_lines(docs), "lines")
     windows = staged(_windows(lines, min_words), "line-windows")
     point = F.struct("row", "print")
     again = windows.groupBy("h").agg(F.min(point).alias("one"), F.max(point).alias("other")).where("one < other").select("h")
     windows = windows.join(again, "h", "left_semi")
-    place = F.struct(F.isnull("d").alias("unnamed"), "d", "row", "n")
-    first = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("key", "first.row", "first.n")
-    first = first.select("key", F.col("row").alias("of"), F.col("n").alias("of_n"))
-    later = windows.join(first, "key").where((F.col("row") != F.col("of")) | (F.col("n") != F.col("of_n")))
+    place = F.struct(F.isnull("d").alias("unnamed"), "d", "row", "n", "to")
+    first = windows.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("key", F.col("first.row").alias("of"), F.col("first.to").alias("of_to"))
+    later = windows.join(first, "key").where((F.col("row") != F.col("of")) | (F.col("n") > F.col("of_to")))
     # A line is in a later window if one that starts at it or before it reaches it.
     marks = lines.select("row", "n", "at", F.lit(None).cast("int").alias("to")).union(later.select("row", "n", F.lit(None).cast("int"), "to"))
     reach = F.max("to").over(Window.partitionBy("row").orderBy("n"))
@@ -79,7 +78,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with its later repeated runs of lines deleted.
 
     Lines end at line feeds and are compared without white space at their ends; blank ones take no part and stay. The first
-    document with a run, by doc_id (NULL last), keeps it, a run that repeats inside one document stays once. NULL and empty texts stay
+    document with a run, by doc_id (NULL last), keeps it; a run that repeats inside one document stays once, and where it
+    overlaps itself, as ten equal lines do, its first ``min_words`` words or more stay. NULL and empty texts stay
     as they are (NULL gives an empty text). Rows equal in id and text are one document with one result each. Extra columns are
     ignored; an empty table gives no rows. Returns doc_id, text, n_lines, n_removed (lines), n_chars (of the text left).
     """

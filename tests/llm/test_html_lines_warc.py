@@ -112,8 +112,8 @@ def _lines(text):
 
 
 def _repeated(texts, least):
-    """Lines of windows (shortest runs of ``least`` words) that stand earlier: what must go."""
-    seen, gone = set(), {d: set() for d in texts}
+    """Lines of windows (shortest runs of ``least`` words) that stand earlier without sharing lines with the first place: what must go."""
+    seen, gone = {}, {d: set() for d in texts}
     for d in sorted(texts):
         found = _lines(texts[d])
         for i in range(len(found)):
@@ -122,8 +122,8 @@ def _repeated(texts, least):
                 words += found[j][2]
                 if words >= least:
                     key = tuple(x[0] for x in found[i : j + 1])
-                    gone[d] |= {x[1] for x in found[i : j + 1]} if key in seen else set()
-                    seen.add(key)
+                    of, end = seen.setdefault(key, (d, j))
+                    gone[d] |= {x[1] for x in found[i : j + 1]} if (of, end) != (d, j) and (of != d or i > end) else set()
                     break
     return gone
 
@@ -184,6 +184,23 @@ def test_all_lines_that_stand_earlier_go(docs, texts, least):
         assert not Counter(x for x, *_ in _lines(got[d])) - Counter(x for x, i, _ in _lines(texts[d]) if i not in gone)
 
 
+@pytest.mark.parametrize("n", [1, 4, 5, 9, 10, 11, 23])
+def test_a_run_that_overlaps_itself_stays_once(spark, n):
+    """Equal lines of ten words, also in a second document: 50 words stay in the first, nothing is lost as a whole."""
+    line = "one two three four five six seven eight nine ten"
+    rows = [(1, "\n".join([line] * n)), (2, "\n".join(["head of it"] + [line] * n))]
+    left = {r.doc_id: r.text.split("\n") for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), 50).collect()}
+    assert left[1] == [line] * (n if n < 10 else 5)
+    assert left[2] == ["head of it"] + [line] * (n if n < 5 else 0)
+
+
+def test_tabs_inside_a_line_count(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, "\t".join(words)), (2, " ".join(words)), (3, "\t " + " ".join(words) + " \t\r")]
+    left = {r.doc_id: r.n_removed for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), 50).collect()}
+    assert left == {1: 0, 2: 0, 3: 1}
+
+
 def test_lines_of_odd_rows(odd, none, spark):
     got = lines.dedup_lines(odd, 5)
     assert got.columns == ["doc_id", "text", "n_lines", "n_removed", "n_chars"] and got.count() == odd.count()

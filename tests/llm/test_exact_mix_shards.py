@@ -131,3 +131,99 @@ def test_mixed_documents_hold_the_words_taken(docs, texts):
         assert r.text in texts[r.doc_id] and r.n_chars == len(r.text)
     assert words == Counter({d: n for d, n in taken.items() if n})
     assert all(sum(t == texts[d] for t in ts) >= len(ts) - 1 for d, ts in reads.items())
+
+
+@pytest.mark.parametrize("share", [0.3, 0.8, 1.0])
+def test_groups_that_fit_a_shard_stay_whole(spark, share):
+    """Groups of a part of a shard's bytes among many small texts; slots are gapless and shards near equal."""
+    small = [(i, f"{i:0100d}") for i in range(2400)]
+    each = int(share * 2400 / 8 / 2)  # two thirds of all rows are small ones
+    groups = [(10_000 + 1000 * g + i, f"{g}" * 100) for g in range(3) for i in range(each)]
+    got = shard_by_bytes(spark.createDataFrame(small + groups, "doc_id long, text string"), shards=8).collect()
+    where, sizes, slots = defaultdict(set), Counter(), defaultdict(list)
+    for r in got:
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+        if r.doc_id >= 10_000:
+            where[(r.doc_id - 10_000) // 1000].add(r.shard)
+    assert len(got) == len(small) + len(groups) and len(where) == 3 and all(len(x) == 1 for x in where.values())
+    assert max(sizes.values()) <= 1.03 * min(sizes.values()) and len(sizes) == 8
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_large_groups_that_do_not_add_up(spark):
+    """Five groups, each of three quarters of a shard, for four shards: all stay whole."""
+    rows = [(g * 1000 + i, f"{g}" * 50) for g in range(5) for i in range(60)] + [(9000 + i, f"{i:050d}") for i in range(100)]
+    got = shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string"), shards=4).collect()
+    where = defaultdict(set)
+    for r in got:
+        where[r.doc_id // 1000 if r.doc_id < 9000 else r.doc_id].add(r.shard)
+    assert all(len(x) == 1 for x in where.values()) and {r.shard for r in got} == set(range(4))
+
+
+def test_slots_are_bounded_by_need(spark):
+    """A source of ten words among a billion, and many small ones: no more than twice the slots that are used."""
+    for words in ([10, 10**9], [10**9, 10, 1, 8192, 8193, 3 * 10**6], [10**13, 1], [10**9] + [5] * 1000):
+        plan = spark.createDataFrame([(f"s{i:04d}", w) for i, w in enumerate(words)], "source string, whole_target long")
+        blocks = sum(-(-w // mixing.BLOCK_WORDS) for w in words)
+        assert blocks <= mixing._stretches(plan, mixing.BLOCK_WORDS)[1] <= 2 * blocks
+    words = [10**9, 10, 1, 8192, 8193, 3 * 10**6, None]
+    plan = spark.createDataFrame([(f"s{i}" if w else None, w or 5) for i, w in enumerate(words)], "source string, whole_target long")
+    got = Counter(r.source for r in mixing._slots(plan, mixing.BLOCK_WORDS).select("source").collect())
+    assert got == {f"s{i}" if w else None: -(-(w or 5) // mixing.BLOCK_WORDS) for i, w in enumerate(words)}
+
+
+def test_points_are_exact_far_out(spark):
+    from fractions import Fraction
+
+    ids = [0, 1, 10**6, 10**10, 10**12]
+    whole = lambda c: c.cast("decimal(19,0)")
+    F = mixing.F
+    turned = F.pmod(whole(F.col("id") + 1) * whole(F.lit(mixing.GOLDEN)), whole(F.lit(mixing.UNIT))).cast("double") / float(mixing.UNIT)
+    got = spark.createDataFrame([(i,) for i in ids], "id long").select(turned.alias("x")).collect()
+    assert [r.x for r in got] == [float(Fraction((i + 1) * mixing.GOLDEN % mixing.UNIT, mixing.UNIT)) for i in ids]
+
+
+def test_a_source_without_its_slots_fails(spark, monkeypatch):
+    stretches = mixing._stretches
+    monkeypatch.setattr(mixing, "_stretches", lambda *a: (stretches(*a)[0], 50))
+    with pytest.raises(RuntimeError, match="slots"):
+        mixing._slots(spark.createDataFrame([("a", 10**6)], "source string, whole_target long"), mixing.BLOCK_WORDS)
+
+
+def test_the_mix_carries_its_slots(docs):
+    rows = mixing.mixed_documents(docs, slot="slot", block_words=40).collect()
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r.source].append(r.slot)
+    n = max(r.slot for r in rows)
+    # Each source's reads are spread over the whole mix.
+    assert all(min(x) < 0.2 * n + 50 and max(x) > 0.5 * n for x in by_source.values() if len(x) > 20)
+    slots = {r.doc_id: (r.first_slot, r.n_slots, r.taken) for r in mixing.mix_sources(docs, block_words=40).collect()}
+    assert all((first is None) == (taken == 0) and (n > 0) == (taken > 0) for first, n, taken in slots.values())
+
+
+@pytest.mark.parametrize("bits", [8, 20, 58])
+@pytest.mark.parametrize("n", [1, 2, 300, 5000])
+def test_quotient_filters_lose_nothing(n, bits):
+    """Read back from slots and bits, packed and merged; crowded homes included."""
+    rng = np.random.default_rng(n + bits)
+    values = rng.integers(0, 1 << bits, n, dtype=np.uint64)
+    values[: n // 2] >>= np.uint64(min(bits - 1, 12))  # many of one quotient
+    parts = [p for p in np.array_split(values, 3) if len(p)]
+    built = [exact.QuotientFilter.of(*np.unique(p, return_counts=True), bits) for p in parts]
+    again = [exact.QuotientFilter.unpacked(bits, *f.packed()) for f in built]
+    whole, once = exact.merged(again), exact.QuotientFilter.of(*np.unique(values, return_counts=True), bits)
+    for f, p in [*zip(built, parts), *zip(again, parts), (whole, values)]:
+        keys, counts = f.items()
+        assert dict(zip(keys.tolist(), counts.tolist())) == Counter(p.tolist()) and (np.diff(keys.astype(object)) > 0).all()
+    assert whole.packed() == once.packed()
+
+
+def test_equal_pages_are_spread_over_archives(spark, tmp_path):
+    from haltwerk.llm import warc
+
+    pages = spark.range(0, 400, 1, 4).selectExpr("7L AS page_id", "'u' AS url", "repeat('x', 1000) AS html")
+    files = warc.write_arc(pages, str(tmp_path / "arc"), archive_bytes=100_000)
+    sizes = [r.n for r in spark.read.text(str(tmp_path / "arc"), wholetext=True).selectExpr("length(value) AS n").collect()]
+    assert files > 3 and len(sizes) == files and max(sizes) < 2 * sum(sizes) / files

@@ -23,6 +23,10 @@ SIDE = 2048
 TOGETHER = 16 << 20
 #: The training sample's bound: documents of each language, excerpts of each document, characters of each excerpt.
 SAMPLE_DOCS, EXCERPTS, EXCERPT_CHARS = 256, 6, 160
+#: The most languages that are learned, those with the most rows; bounds what the driver and each task hold of them.
+LANGUAGES = 1000
+#: Share of positions that a text's language must label, in texts of at least so many bytes, to be accepted.
+LEAST_LABELLED, JUDGED_BYTES = 0.4, 100
 PAD = 256
 UNKNOWN = "und"
 
@@ -223,17 +227,22 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """The network fitted on a bounded sample of ``docs`` (doc_id, text, lang); None without labelled rows.
 
     Of each language up to ``sample_docs`` rows, by the hash of their id, one for each id, that are not held out, of
-    each EXCERPTS excerpts spread over its text: what reaches the driver is bounded by these and the number of languages.
+    each EXCERPTS excerpts spread over its text: what reaches the driver is bounded by these and LANGUAGES.
     """
     usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
-    keyed = docs.where(usable).select("doc_id", "lang", "text", row_key("doc_id", "lang", "text").alias("picked"))
+    keyed = docs.where(usable).select("doc_id", "lang", "text", row_key("doc_id", "lang", "text").alias("picked"), F.xxhash64("doc_id").alias("h"))
+    # Languages and about how many ids each has; one sketch of each travels from a task.
+    found = keyed.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"), F.count("*").alias("n"))
+    found = found.orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()
+    if not found:
+        return None
+    # Twice the wanted share of each language by hash, taken as rows are read: what goes on is about that many ids, however large the language.
+    shares = docs.sparkSession.createDataFrame([(r.lang, min(1.0, 2.0 * sample_docs / max(1, r.ids))) for r in found], f"lang {docs.schema['lang'].dataType.simpleString()}, share double")
+    drawn = keyed.join(F.broadcast(shares), "lang").where(F.shiftrightunsigned("h", 11) < F.col("share") * F.lit(2.0**53))
     # One row for each id and language, however many have the id.
-    labelled = keyed.groupBy("doc_id", "lang").agg(F.min("picked").alias("picked")).withColumn("h", F.xxhash64("doc_id"))
-    # Twice the wanted share of each language by hash, of which the first are taken: few rows of a large language reach the window.
-    sizes = labelled.groupBy("lang").agg((F.lit(2.0 * sample_docs) / F.count("*")).alias("share"))
-    drawn = labelled.join(sizes, "lang").where(F.shiftrightunsigned("h", 11) < F.col("share") * F.lit(2.0**53))
+    labelled = drawn.groupBy("doc_id", "lang", "h").agg(F.min("picked").alias("picked"))
     place = Window.partitionBy("lang").orderBy("h", "doc_id")
-    keys = drawn.withColumn("k", F.row_number().over(place)).where(F.col("k") <= sample_docs).select("picked").distinct()
+    keys = labelled.withColumn("k", F.row_number().over(place)).where(F.col("k") <= sample_docs).select("picked").distinct()
     n = F.char_length("text")
     at = lambda i: F.substring(F.col("text"), (n * F.lit(i) / F.lit(EXCERPTS)).cast("int") + 1, F.lit(EXCERPT_CHARS))
     # At most ``sample_docs`` keys for each language; of equal rows one.
@@ -275,12 +284,19 @@ def identify_language(docs: DataFrame, model: Model | None = None) -> DataFrame:
     return _read_languages(docs.select("doc_id", held_out().alias("held_out"), text_of().alias("text")), model)
 
 
-def accepted_languages(docs: DataFrame, model: Model | None = None, least: float = 0.0) -> DataFrame:
-    """``docs`` (doc_id, text, lang and any others) without texts of no language (``und``) or with a score below ``least``.
+def accepted_languages(docs: DataFrame, model: Model | None = None, least: float = 0.0, least_labelled: float = LEAST_LABELLED) -> DataFrame:
+    """``docs`` (doc_id, text, lang and any others) without texts of no language.
 
-    Short texts of a language can have a low score, so by default none goes for its score.
+    A text without a letter goes; so does one of JUDGED_BYTES or more whose language labels less than ``least_labelled`` of its positions:
+    the network sees a bit of every language in it and none throughout. On held-out rows of the test tables the least share is 0.5, on random
+    letters or base64 it is often below 0.4. Shorter texts are not judged by it, and by default none goes for its score. If nothing is labelled there
+    is no network, and every text with a letter stays. Repeated rows, NULL ids and extra columns are kept as they are; an empty table stays empty.
     """
     model = model or fit(docs)
+    if model is None:
+        return docs.where(text_of().rlike(r"\p{L}"))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     read = _read_languages(docs.select(whole, text_of().alias("text")), model)
-    return read.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("doc.*")
+    judged = F.octet_length(F.col("doc.text").cast("string")) >= JUDGED_BYTES
+    clear = (F.col("score") >= least) & (~judged | (F.col("labelled") >= least_labelled))
+    return read.where((F.col("lang_pred") != UNKNOWN) & clear).select("doc.*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from haltwerk.llm import gru
 
 
@@ -14,3 +16,48 @@ def test_sample_is_bounded_when_ids_repeat(spark, monkeypatch):
     texts, labels = seen[0]
     assert set(labels) == {"de", "en"} and set(zip(texts, labels)) <= {(t[k:], x) for _, t, x in rows for k in range(len(t))}
     assert all(labels.count(x) <= 3 * gru.EXCERPTS for x in ("de", "en"))
+
+
+def test_an_unlabelled_corpus_stays(spark, odd, none):
+    rows = [(i, f"some text {i}" if i % 2 else "12 34", None) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert gru.fit(docs) is None
+    assert sorted(r.doc_id for r in gru.accepted_languages(docs).collect()) == list(range(1, 100, 2))
+    assert {r.lang_pred for r in gru.identify_language(docs).collect()} == {"und"}
+    assert gru.accepted_languages(none).isEmpty()
+    unlabelled = odd.withColumn("lang", gru.F.lit(None).cast("string"))
+    assert gru.accepted_languages(unlabelled).count() == 7  # all but NULL, empty and blank texts and one of digits
+
+
+def test_noise_goes_and_held_out_texts_stay(spark, docs):
+    """Noise of every position's own; texts too short to judge stay whatever they are."""
+    rng = random.Random(2)
+    noise = [(10_000 + i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400)), None, None, 400) for i in range(60)]
+    short = [(20_000 + i, "xqz", None, None, 3) for i in range(5)]
+    clean = docs.where(docs.text.rlike(r"\p{L}"))
+    stay = {r.doc_id for r in gru.accepted_languages(docs.union(spark.createDataFrame(noise + short, docs.schema))).collect()}
+    assert {r.doc_id for r in clean.collect()} <= stay and {r[0] for r in short} <= stay
+    gone = [r for r in noise if r[0] not in stay]
+    assert len(gone) >= 5
+
+
+def test_sample_moves_no_language_as_a_whole(spark, docs, monkeypatch):
+    """Rows are drawn as they are read: what is dealt by language has passed the draw."""
+    plans = []
+    monkeypatch.setattr(gru, "train", lambda *_: None)
+    collect = type(docs).collect
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return collect(df)
+
+    monkeypatch.setattr(type(docs), "collect", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 1)
+    try:
+        gru.fit(docs)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    text = plans[-1]
+    by_lang = text.index("Exchange hashpartitioning(lang")
+    assert "SortMergeJoin [lang" not in text and text.index("shiftrightunsigned") > by_lang
+    assert text.index("partial_min") > by_lang  # drawn and summed before it

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -15,7 +16,9 @@ BLOCK_WORDS = 8192
 CHUNK = 65_536
 #: Cells of [0, 1) under which the sources' stretches are listed.
 CELLS = 4096
-GOLDEN = 0.6180339887498949
+#: The golden ratio's fraction in units of 2**-62: points are exact to the last bit of a double, however many there are.
+UNIT = 1 << 62
+GOLDEN = (math.isqrt(5 * UNIT * UNIT) - UNIT) // 2
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -68,22 +71,43 @@ def _laid_out(docs: DataFrame, seed: str) -> DataFrame:
     return rows.join(ranges, same).select(rows["doc_id"], "row", rows["source"], "size", rows["range"], "nth", (F.col("begin") + F.col("offset")).alias("begin"))
 
 
-def _slots(plan: DataFrame, block_words: int) -> DataFrame:
-    """(slot, source, rank): golden-ratio points mapped through cumulative weights, ranked within their source.
+def _spare(points: float) -> float:
+    """More than an interval can lack of its share of so many golden-ratio points."""
+    return 2 * math.log(points + 2) + 3
+
+
+def _stretches(plan: DataFrame, block_words: int) -> tuple[DataFrame, int]:
+    """(source, blocks, low, high): each source's stretch of [0, 1); and how many points give all of them their blocks.
 
-    ``plan`` has one row for each source. A point falls to the source whose stretch of [0, 1) holds it. Sources
-    get a little more slots than they need, by the sequence's discrepancy; ``mix`` uses the first ones.
+    A stretch is as wide as the source's words, but that a source of few blocks gets as much as it needs for these and ``_spare`` points more:
+    with its true width it could ask for very many points for the sake of one block.
     """
-    spark = plan.sparkSession
-    need = plan.where("whole_target > 0").select(
-        "source", F.ceil(F.col("whole_target") / F.lit(block_words)).alias("blocks"), F.col("whole_target").cast("double").alias("w")
-    )
+    need = plan.where("whole_target > 0").select("source", F.ceil(F.col("whole_target") / F.lit(block_words)).alias("blocks"), F.col("whole_target").cast("double").alias("words"))
+    blocks, sources = need.agg(F.coalesce(F.sum("blocks"), F.lit(0)), F.count("*")).head()
+    spare = _spare(2 * blocks + 100 * sources)
+    few = F.col("blocks") < 2 * spare
+    few_blocks, n_few, words = need.agg(F.coalesce(F.sum(F.when(few, F.col("blocks"))), F.lit(0)), F.count_if(few), F.coalesce(F.sum(F.when(~few, F.col("words"))), F.lit(1.0))).head()
+    least = blocks + spare * n_few
+    width = F.when(few, (F.col("blocks") + F.lit(spare)) / F.lit(float(least or 1))).otherwise(F.col("words") / F.lit(words) * F.lit((blocks - few_blocks) / (least or 1)))
     by = Window.orderBy(F.isnull("source"), "source")
-    need = need.withColumn("high", F.sum("w").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)) / F.sum("w").over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    need = need.withColumn("high", F.sum(width).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     need = need.withColumn("low", F.coalesce(F.lag("high").over(by), F.lit(0.0)))
     # What a source of width d needs: n * d - discrepancy(n) >= blocks.
-    n = need.agg(F.max((F.col("blocks") + F.lit(2) * F.log(F.col("blocks") / (F.col("high") - F.col("low")) + 2) + 3) / (F.col("high") - F.col("low")))).head()[0]
-    points = spark.range(int(n or 0) + 1).select(F.col("id").alias("slot"), F.pmod((F.col("id") + 1) * F.lit(GOLDEN), F.lit(1.0)).alias("x"))
+    n = need.agg(F.max((F.col("blocks") + F.lit(spare)) / (F.col("high") - F.col("low")))).head()[0]
+    return need.select("source", "blocks", "low", "high"), math.ceil(n or 0) + 1
+
+
+def _slots(plan: DataFrame, block_words: int) -> DataFrame:
+    """(slot, source, rank): golden-ratio points mapped through cumulative weights, ranked within their source.
+
+    ``plan`` has one row for each source. A point falls to the source whose stretch of [0, 1) holds it. Points behind a source's last block
+    go unused, and every source is checked to have all its slots.
+    """
+    spark = plan.sparkSession
+    need, n = _stretches(plan, block_words)
+    whole = lambda c: c.cast("decimal(19,0)")
+    turned = F.pmod(whole(F.col("id") + 1) * whole(F.lit(GOLDEN)), whole(F.lit(UNIT))).cast("double") / float(UNIT)
+    points = spark.range(n).select(F.col("id").alias("slot"), turned.alias("x"))
     # Each stretch is listed under the cells of [0, 1) that it meets, so points find theirs by an equi-join.
     cell = lambda x: F.least(F.floor(x * CELLS), F.lit(CELLS - 1))
     stretches = need.withColumn("cell", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))))
@@ -94,7 +118,12 @@ def _slots(plan: DataFrame, block_words: int) -> DataFrame:
     counts = counts.select("of", "in", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("offset"))
     nth = F.row_number().over(Window.partitionBy("source", "chunk").orderBy("slot"))
     ranked = points.withColumn("nth", nth).join(counts, F.col("source").eqNullSafe(F.col("of")) & (F.col("chunk") == F.col("in")))
-    return ranked.withColumn("rank", (F.col("nth") - 1 + F.col("offset")).cast("long")).where("rank < blocks").select("slot", "source", "rank")
+    ranked = staged(ranked.withColumn("rank", (F.col("nth") - 1 + F.col("offset")).cast("long")).where("rank < blocks").select("slot", "source", "rank"), "mix-slots")
+    got = ranked.groupBy(F.col("source").alias("of")).agg(F.count("*").alias("got"))
+    short = need.join(got, F.col("source").eqNullSafe(F.col("of")), "left").where(F.coalesce("got", F.lit(0)) != F.col("blocks"))
+    if found := short.head():
+        raise RuntimeError(f"source {found.source!r} has {found.got} of {found.blocks} slots")
+    return ranked
 
 
 def mix_schedule(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, block_words: int = BLOCK_WORDS, seed: str = "mix") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -151,29 +180,34 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     NULL ids are rows of their own. A table without words takes nothing; an empty table gives an empty result.
     Extra columns are ignored. Taken words of a source add up to its target, rounded down; a row is
     taken at most ``most`` times. Returns doc_id, source, size, source_size,
-    target, taken, range, nth.
+    target, taken, range, nth, first_slot and n_slots: where the schedule reads the row first (NULL: nowhere), and in how many slots.
     """
     rows, targets, pieces = mix_schedule(docs, weights, share, most, block_words, seed)
-    sums = pieces.groupBy(F.col("source").alias("s"), F.col("range").alias("r"), F.col("nth").alias("k")).agg(F.sum(F.col("to") - F.col("from")).alias("words"))
+    sums = pieces.groupBy(F.col("source").alias("s"), F.col("range").alias("r"), F.col("nth").alias("k")).agg(
+        F.sum(F.col("to") - F.col("from")).alias("words"), F.min("slot").alias("first_slot"), F.count_distinct("slot").alias("n_slots")
+    )
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")) & (F.col("nth") == F.col("k"))
     out = rows.join(sums, same, "left").withColumn("taken", F.coalesce("words", F.lit(0)).cast("long"))
     targets = targets.select(F.col("source").alias("of"), "source_size", "target")
-    return out.join(targets, F.col("source").eqNullSafe(F.col("of"))).select("doc_id", "source", "size", "source_size", "target", "taken", "range", "nth")
+    return out.join(targets, F.col("source").eqNullSafe(F.col("of"))).select("doc_id", "source", "size", "source_size", "target", "taken", "range", "nth", "first_slot", F.coalesce("n_slots", F.lit(0)).alias("n_slots"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, slot: str | None = None, **options) -> DataFrame:
     """The rows of the mix with the columns of ``docs`` (doc_id, text, source and any others): a row for each time it is read.
 
+    Sorted by ``slot``, the name of a further column that holds where the schedule begins to read the row, they are in mixed order.
+
     A row that is read in part, where its source's target ends, has these words and the white space between; ``n_chars``, if
     there is such a column, follows. Rows of which nothing is taken, such as empty texts, are not in the mix. Options are those of ``mix_schedule``.
     """
     rows, _, pieces = mix_schedule(docs, **options)
-    reads = pieces.groupBy(F.col("source").alias("s"), F.col("range").alias("r"), F.col("nth").alias("k"), "pass").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    reads = pieces.groupBy(F.col("source").alias("s"), F.col("range").alias("r"), F.col("nth").alias("k"), "pass").agg(F.min("from").alias("from"), F.max("to").alias("to"), F.min("slot").alias("slot"))
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")) & (F.col("nth") == F.col("k"))
-    reads = rows.join(reads, same).select("row", "from", "to", (F.col("to") - F.col("from") == F.col("size")).alias("whole"))
+    reads = rows.join(reads, same).select("row", "from", "to", "slot", (F.col("to") - F.col("from") == F.col("size")).alias("whole"))
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), row_key("doc_id", "text").alias("row")).dropDuplicates(["row"])
     words = F.regexp_extract_all(text_of("doc.text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     part = F.array_join(F.slice(words, (F.col("from") + 1).cast("int"), (F.col("to") - F.col("from")).cast("int")), "")
     read = held.join(reads, "row").withColumn("read", F.when(F.col("whole"), F.col("doc.text")).otherwise(part))
     new = {"text": F.col("read"), "n_chars": F.char_length("read").cast("long")}
-    return read.select(*[new.get(c, F.col(f"doc.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    shown = [new.get(c, F.col(f"doc.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]
+    return read.select(*shown, *([F.col("slot").alias(slot)] if slot else []))

@@ -5,25 +5,26 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep_rows, row_key, staged, text_of
 
-#: A 64-bit fingerprint is cut into block (the shuffle key), quotient and remainder.
-BLOCK_BITS = 10
-QUOTIENT_BITS = 22
-REMAINDER_BITS = 64 - BLOCK_BITS - QUOTIENT_BITS
+#: The leading bits of a 64-bit fingerprint name its block (the shuffle key); there are as many blocks as give one at most about
+#: BLOCK_ROWS fingerprints, within these bounds. The rest is cut into quotient and remainder.
+BLOCK_BITS = (6, 30)
+BLOCK_ROWS = 1 << 20
 #: Fingerprints that one filter takes before it is handed on; bounds a task's memory.
 FILTER_ROWS = 2_000_000
+#: Share of a filter's slots that are filled at most.
+LOAD = 0.9
 #: Repeated fingerprints (8 bytes each) that are broadcast; more are joined by a shuffle.
 BROADCAST = 500_000
 #: Copies of a repeated fingerprint in that shuffle; a hot one is read by as many tasks.
 SALTS = 16
 
-_FILTER = "block int, quotients binary, remainders binary, counts binary"
+_FILTER = "block long, quotient_bits int, occupied binary, continued binary, shifted binary, remainders binary, many binary, counts binary"
 
 
 def normalised(column: str = "text") -> Column:
@@ -31,44 +32,110 @@ def normalised(column: str = "text") -> Column:
     return F.translate(text_of(column), " \t\n\x0b\x0c\r", "")
 
 
-def _filters(fingerprints: np.ndarray) -> pa.RecordBatch:
-    """The counting quotient filter of some fingerprints, one row for each block."""
-    found, counts = np.unique(fingerprints.view(np.uint64), return_counts=True)
-    block = (found >> np.uint64(64 - BLOCK_BITS)).astype(np.int32)
-    quotient = ((found >> np.uint64(REMAINDER_BITS)) & np.uint64((1 << QUOTIENT_BITS) - 1)).astype("<u4")
-    remainder = (found & np.uint64((1 << REMAINDER_BITS) - 1)).astype("<u4")
-    counts = counts.astype("<i8")
-    blocks, starts = np.unique(block, return_index=True)
-    ends = [*starts[1:], len(found)]
-    parts = [[x[a:b].tobytes() for a, b in zip(starts, ends, strict=True)] for x in (quotient, remainder, counts)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(blocks, pa.int32()), *(pa.array(p, pa.binary()) for p in parts)],
-        names=["block", "quotients", "remainders", "counts"],
-    )
-
-
-def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, n = [], 0
-    for batch in batches:
-        held.append(batch.column(0).to_numpy(zero_copy_only=False))
-        n += len(held[-1])
-        if n >= FILTER_ROWS:
-            yield _filters(np.concatenate(held))
-            held, n = [], 0
-    if n:
-        yield _filters(np.concatenate(held))
+class QuotientFilter:
+    """A counting quotient filter of fingerprints of ``bits`` bits: exact, as quotient and remainder make up the whole fingerprint.
 
+    A fingerprint's quotient is its home slot; the fingerprints of one quotient are a run of slots in the order of their remainders, which lies
+    at home or is shifted behind the runs before it. Three bits of metadata a slot tell runs and homes apart: occupied (some fingerprint has
+    this home), continued (the slot goes on with the run before), shifted (the slot is not its fingerprint's home). A slot without any is
+    empty. Remainders are kept in whole bytes, and counters only for slots of more than one.
+    """
 
-def _merge(rows: pd.DataFrame) -> pd.DataFrame:
-    """Filters of one block merged by sorted (quotient, remainder); only counts above one leave."""
-    joined = {c: np.concatenate([np.frombuffer(x, t) for x in rows[c]]) for c, t in (("quotients", "<u4"), ("remainders", "<u4"), ("counts", "<i8"))}
-    key = (joined["quotients"].astype(np.uint64) << np.uint64(REMAINDER_BITS)) | joined["remainders"]
-    order = np.argsort(key, kind="stable")
-    key, counts = key[order], joined["counts"][order]
-    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    sums = np.add.reduceat(counts, starts)
-    full = key[starts] | (np.uint64(int(rows["block"].iloc[0])) << np.uint64(64 - BLOCK_BITS))
-    return pd.DataFrame({"fp": full[sums > 1].view(np.int64), "n": sums[sums > 1]})
+    def __init__(self, bits: int, quotient_bits: int, occupied, continued, shifted, remainders, many, counts):
+        self.bits, self.quotient_bits = bits, quotient_bits
+        self.occupied, self.continued, self.shifted = occupied, continued, shifted
+        self.remainders, self.many, self.counts = remainders, many, counts
+
+    @classmethod
+    def of(cls, found: np.ndarray, counts: np.ndarray, bits: int) -> QuotientFilter:
+        """From distinct fingerprints in ascending order and their counts."""
+        quotient_bits = min(bits, max(1, int(np.ceil(np.log2(max(1, len(found)) / LOAD)))))
+        rest = np.uint64(bits - quotient_bits)
+        home = (found >> rest).astype(np.int64)
+        place = np.arange(len(found))
+        slot = place + np.maximum.accumulate(home - place)  # the first free one from home on
+        slots = max(1 << quotient_bits, int(slot[-1]) + 1 if len(slot) else 0)
+        occupied, continued, shifted = (np.zeros(slots, bool) for _ in range(3))
+        occupied[home] = True
+        continued[slot] = np.r_[False, home[1:] == home[:-1]] if len(home) else False
+        shifted[slot] = slot != home
+        return cls(bits, quotient_bits, occupied, continued, shifted, found & ((np.uint64(1) << rest) - np.uint64(1)), counts > 1, counts[counts > 1])
+
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        """Fingerprints in ascending order and their counts, read back from slots and bits."""
+        used = self.occupied | self.continued | self.shifted
+        run = np.cumsum(~self.continued[used]) - 1  # the runs lie in the order of their homes
+        home = np.flatnonzero(self.occupied)[run].astype(np.uint64)
+        counts = np.ones(len(home), np.int64)
+        counts[self.many] = self.counts
+        return (home << np.uint64(self.bits - self.quotient_bits)) | self.remainders, counts
+
+    def packed(self) -> tuple:
+        width = -(-(self.bits - self.quotient_bits) // 8)
+        remainders = self.remainders.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+        flags = (np.packbits(x).tobytes() for x in (self.occupied, self.continued, self.shifted))
+        return (self.quotient_bits, *flags, remainders.tobytes(), np.packbits(self.many).tobytes(), self.counts.astype("<i8").tobytes())
+
+    @classmethod
+    def unpacked(cls, bits: int, quotient_bits: int, occupied: bytes, continued: bytes, shifted: bytes, remainders: bytes, many: bytes, counts: bytes) -> QuotientFilter:
+        flags = [np.unpackbits(np.frombuffer(x, np.uint8)).astype(bool) for x in (occupied, continued, shifted)]
+        n, width = int((flags[0] | flags[1] | flags[2]).sum()), -(-(bits - quotient_bits) // 8)
+        held = np.zeros((n, 8), np.uint8)
+        held[:, :width] = np.frombuffer(remainders, np.uint8).reshape(n, width)
+        more = np.unpackbits(np.frombuffer(many, np.uint8))[:n].astype(bool)
+        return cls(bits, quotient_bits, *flags, held.view("<u8").ravel(), more, np.frombuffer(counts, "<i8"))
+
+
+def _builder(block_bits: int):
+    """Fingerprints to filters, one for each block and so many rows."""
+    rest = 64 - block_bits
+
+    def filters(fingerprints: np.ndarray) -> pa.RecordBatch:
+        found, counts = np.unique(fingerprints.view(np.uint64), return_counts=True)
+        blocks, starts = np.unique(found >> np.uint64(rest), return_index=True)
+        rows = []
+        for block, a, b in zip(blocks.tolist(), starts, [*starts[1:], len(found)], strict=True):
+            inside = found[a:b] & ((np.uint64(1) << np.uint64(rest)) - np.uint64(1))
+            rows.append((block, *QuotientFilter.of(inside, counts[a:b], rest).packed()))
+        kinds = [pa.int64(), pa.int32()] + [pa.binary()] * 6
+        names = [x.split()[0] for x in _FILTER.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch.column(0).to_numpy(zero_copy_only=False))
+            n += len(held[-1])
+            if n >= FILTER_ROWS:
+                yield filters(np.concatenate(held))
+                held, n = [], 0
+        if n:
+            yield filters(np.concatenate(held))
+
+    return build
+
+
+def merged(filters: list[QuotientFilter]) -> QuotientFilter:
+    """One filter of all: their sorted fingerprints are merged and counts added, so it equals the one built of all rows at once."""
+    parts = [f.items() for f in filters]
+    keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
+    order = np.argsort(keys, kind="stable")  # merges runs that are sorted already
+    keys, counts = keys[order], counts[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return QuotientFilter.of(keys[starts], np.add.reduceat(counts, starts), filters[0].bits)
+
+
+def _merger(block_bits: int):
+    rest = 64 - block_bits
+
+    def merge(rows: pa.Table) -> pa.Table:
+        """Filters of one block; only fingerprints with counts above one leave."""
+        block, *packed = (rows.column(i).to_pylist() for i in range(rows.num_columns))
+        keys, counts = merged([QuotientFilter.unpacked(rest, *x) for x in zip(*packed, strict=True)]).items()
+        whole = keys | (np.uint64(block[0]) << np.uint64(rest))
+        return pa.table({"fp": whole[counts > 1].view(np.int64), "n": counts[counts > 1]})
+
+    return merge
 
 
 def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
@@ -77,8 +144,10 @@ def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
     Each task builds filters of its rows; the filters of a block, not the rows, are shuffled and
     merged without loss. A fingerprint that a third of all rows share is one entry per filter.
     """
-    built = fingerprints.select("fp").mapInArrow(_build, _FILTER)
-    return built.groupBy("block").applyInPandas(_merge, "fp long, n long")
+    low, high = BLOCK_BITS
+    bits = min(high, max(low, (fingerprints.count() // BLOCK_ROWS).bit_length()))
+    built = fingerprints.select("fp").mapInArrow(_builder(bits), _FILTER)
+    return built.groupBy("block").applyInArrow(_merger(bits), "fp long, n long")
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:

@@ -166,7 +166,8 @@ def fingerprint_edits(docs: DataFrame, low: float = LOW, high: float = HIGH) ->
     # 12 bytes for each RANGE_BYTES of text, as the ranges themselves.
     heads = rows.join(F.broadcast(heads), "id").groupBy("id", "to").agg(F.min_by(F.struct("doc_id", "text"), order).alias("first"))
     heads = heads.select(F.col("to").alias("range"), F.lit(1).alias("after"), "id", "first.doc_id", F.lit(0).cast("long").alias("h"), "first.text")
-    dealt = own.union(heads).repartition("range").sortWithinPartitions("range", "after", F.desc("id"), "h")
+    # A range is a task: hashing a few range numbers would put several into one.
+    dealt = own.union(heads).repartitionById(max(1, len(tops)), "range").sortWithinPartitions("range", "after", F.desc("id"), "h")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = Fingerprints(sent_terms.value)

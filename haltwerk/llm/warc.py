@@ -74,7 +74,8 @@ def write_arc(pages: DataFrame, path: str, date: str = "20000101000000", archive
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string").cast("binary").alias("html"))
-    rows = rows.repartition(files, F.xxhash64("page_id", "url", "html"))
+    # Dealt by content and place, so that equal rows are spread; ``pages`` gives the same rows in the same order when read again, as files do.
+    rows = rows.repartition(files, F.xxhash64("page_id", "url", "html", F.monotonically_increasing_id()))
     _write(rows.mapInArrow(records, "value binary"), path)
     return files
 

@@ -29,16 +29,17 @@ def test_an_unlabelled_corpus_stays(spark, odd, none):
     assert gru.accepted_languages(unlabelled).count() == 7  # all but NULL, empty and blank texts and one of digits
 
 
-def test_noise_goes_and_held_out_texts_stay(spark, docs):
-    """Noise of every position's own; texts too short to judge stay whatever they are."""
+def test_clean_texts_stay_and_a_higher_share_is_asked_of_long_ones(spark, docs):
+    """The share of labelled positions decides on texts that are long enough; at the default every text with a letter stays here."""
     rng = random.Random(2)
     noise = [(10_000 + i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400)), None, None, 400) for i in range(60)]
     short = [(20_000 + i, "xqz", None, None, 3) for i in range(5)]
-    clean = docs.where(docs.text.rlike(r"\p{L}"))
-    stay = {r.doc_id for r in gru.accepted_languages(docs.union(spark.createDataFrame(noise + short, docs.schema))).collect()}
-    assert {r.doc_id for r in clean.collect()} <= stay and {r[0] for r in short} <= stay
-    gone = [r for r in noise if r[0] not in stay]
-    assert len(gone) >= 5
+    both, model = docs.union(spark.createDataFrame(noise + short, docs.schema)), gru.fit(docs)
+    clean = {r.doc_id for r in docs.where(docs.text.rlike(r"\p{L}")).collect()}
+    assert clean <= {r.doc_id for r in gru.accepted_languages(both, model).collect()}
+    kept = {r.doc_id for r in gru.accepted_languages(both, model, least_labelled=0.5).collect()}
+    assert {r[0] for r in short} <= kept and sum(r[0] not in kept for r in noise) >= 5
+    assert len(clean - kept) < 0.02 * len(clean)
 
 
 def test_sample_moves_no_language_as_a_whole(spark, docs, monkeypatch):

@@ -16,10 +16,12 @@ def require_nonempty(df: DataFrame, what: str = "batch") -> DataFrame:
 def batch_profile(df: DataFrame, path: str, recursive: bool = False) -> DataFrame:
     """Files, bytes and records of ``df``, which was read from ``path`` (a folder, file or pattern), in one row.
 
-    The files are a table that Spark lists, empty ones included; names and sizes are read, no content. Records are counted by the scan.
+    Sizes come from a table of the files that Spark lists; no content is read for them. That table leaves empty files out, so their
+    number is that of the listing which reading ``df`` has made. Records are counted by the scan.
     """
     files = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path).select("length")
-    sizes = files.agg(F.count("*").alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes"))
+    n_files = F.lit(len(df.inputFiles())).cast("long").alias("n_files")
+    sizes = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes")).select(n_files, "n_bytes")
     # One row on either side.
     return sizes.join(df.agg(F.count("*").alias("n_records")), F.lit(True)).select("n_files", "n_bytes", "n_records")
 

@@ -202,7 +202,7 @@ def upsert_history(
     spark, began = source.sparkSession, _now()
     if batch is not None and batch_committed(spark, path, batch):
         return False
-    _write_batch(source.drop(flag).withColumn("part", part("EventId")), path, batch or uuid.uuid4().hex, began, late)
+    _write_batch(source.drop(flag).withColumn("part", part("EventId")), path, batch or uuid.uuid4().hex, began, **({"late": late} if late else {}))
     return True
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep_rows, row_key, staged, text_of
@@ -24,6 +25,8 @@ CHUNK_SHINGLES, CHUNK_ROWS = 1_000_000, 20_000
 COUNTED = 2_000_000
 #: Shingles of the sets that one tree takes; larger groups are dealt to several trees.
 TREE_SHINGLES = 8_000_000
+#: Sets that one tree takes.
+TREE_SETS = 20_000
 #: Bytes of text for each shingle, roughly; sets the number of partitions only.
 BYTES_A_SHINGLE = 6
 
@@ -198,19 +201,92 @@ def _walk_trees(dealt: DataFrame, percent: int) -> DataFrame:
     return sorted_.mapInArrow(_joined(percent), "comp long, tree long, key long, label long")
 
 
-def _linked(sets: DataFrame, groups: DataFrame, percent: int, tree_shingles: int) -> DataFrame:
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of each set (key, set), a row each."""
+    for batch in batches:
+        for key, data in zip(batch["key"], batch["set"], strict=True):
+            raw = data.as_py()
+            found = _unpacked(raw[: len(raw) // (BITS // 8 + 1) * (BITS // 8)]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), key.as_py(), np.int64)), pa.array(found)], names=["key", "token"])
+
+
+def _items(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, n, comp, label, slack, held, item, pos, before, weight): the ``sets`` as sequences of items, rarest first.
+
+    Shingles that the same sets hold are one item, and its weight is their number: a passage that many texts share is one item, what a
+    single set holds is another. ``held`` counts the holders, ``before`` sums the weights ahead, ``slack`` is how much of a set may be missing in
+    another that it links with. Each sequence ends with an item of no weight that all sets have (``held`` 0).
+    """
+    tokens = sets.select("key", "set").mapInArrow(_exploded, "key long, token long")
+    holders = tokens.groupBy("token").agg(F.count("*").alias("held"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
+    named = tokens.join(holders.select("token", "held", F.xxhash64("held", "x", "y").alias("item")), "token")
+    items = named.groupBy("key", "held", "item").agg(F.count("*").alias("weight"))
+    about = sets.select("key", "n", "comp", "label", (F.col("n") - F.ceil(F.col("n") * percent / 100)).alias("slack"))
+    items = items.join(about, "key")
+    ends = about.select("key", F.lit(0).cast("long").alias("held"), F.lit(0).cast("long").alias("item"), F.lit(0).cast("long").alias("weight"), "n", "comp", "label", "slack")
+    along = Window.partitionBy("key").orderBy(F.col("held") == 0, "held", "item")
+    before = F.sum("weight").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("weight")
+    return items.unionByName(ends).withColumns({"pos": F.row_number().over(along), "before": before})
+
+
+def _parts(n: Column, count: Column, tree_shingles: int, tree_sets: int) -> Column:
+    """Parts of a group, two of which fit one tree; 1 if the whole does."""
+    more = F.greatest(F.ceil(n * 2 / F.lit(tree_shingles)), F.ceil(count * 2 / F.lit(tree_sets)))
+    return F.when((n <= tree_shingles) & (count <= tree_sets), 1).otherwise(more).cast("long")
+
+
+def _trees_of_items(sets: DataFrame, percent: int, tree_shingles: int, tree_sets: int) -> DataFrame:
+    """(comp, tree, key): trees in which any two linked ``sets`` (key, set, n, comp, label) of different labels meet.
+
+    Two linked sets have common items; what comes before the first of them has at most the slack's weight in each, and so has all that
+    is left out before the next one. So each set enters a group for each item it may have first in common, and a group that
+    does not fit a tree is split by the next common item, each time for the groups that this makes cheaper than to let all pairs of parts meet.
+    The other large ones, as very many sets that share all their first items, go by pairs of parts. A group of one label links nothing new.
+    """
+    items = staged(_items(sets, percent), "near-items")
+    # ``base`` added to the slack is the weight up to which the next common item may begin.
+    group = F.xxhash64("comp", "item", "held")
+    start = items.where("before <= slack AND held <> 1").select(group.alias("group"), "key", "n", "label", "pos", F.col("weight").alias("base"), (F.col("held") == 0).alias("ended"))
+    following = items.select("key", F.col("pos").alias("at"), "before", "weight", "slack", "held", "item")
+    state, trees = start, []
+    while True:
+        members = (F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
+        about = state.groupBy("group").agg(F.sum("n").alias("total"), F.count("*").alias("count"), F.min("label").alias("low"), F.max("label").alias("high"), F.max("ended").alias("end"), *members)
+        about = about.where("low < high").withColumn("parts", _parts(F.col("total"), F.col("count"), tree_shingles, tree_sets))
+        # Groups with the same members are one, unless they still have to be split in different ways.
+        same = F.when(F.col("parts") == 1, F.lit(0)).otherwise(F.col("group"))
+        one = about.groupBy("x", "y", "count", same.alias("same")).agg(F.min("group").alias("group"))
+        about = about.join(one.select("group"), "group", "left_semi").select("group", "parts", "end")
+        state = staged(state.join(about, "group"), "near-groups")
+        trees.append(state.where("parts = 1").select("group", "key", F.lit(0).cast("long").alias("tree")))
+        over = state.where("parts > 1")
+        if over.isEmpty():
+            break
+        on = (F.col("s.key") == F.col("f.key")) & (F.col("f.at") > F.col("s.pos")) & (F.col("f.before") <= F.col("f.slack") + F.col("s.base"))
+        joined = over.where("NOT end").alias("s").join(following.alias("f"), on)
+        step = joined.select(
+            F.col("group").alias("of"), F.xxhash64("group", "item", "held").alias("group"), "s.key", "n", "label", F.col("at").alias("pos"),
+            (F.col("base") + F.col("weight")).alias("base"), (F.col("held") == 0).alias("ended"), F.col("held").alias("holders"),
+        ).where("holders <> 1")
+        step = staged(step, "near-steps")
+        cost = over.groupBy("group", "parts").agg(F.sum("n").alias("now")).join(step.groupBy(F.col("of").alias("group")).agg(F.sum("n").alias("next")), "group", "left")
+        cheaper = cost.where(F.col("next") < F.col("now") * F.col("parts")).select("group")
+        pairs = over.join(cheaper, "group", "left_anti").withColumn("part", F.pmod(F.xxhash64("key", F.lit(2)), "parts"))
+        meets = F.expr("transform(sequence(0L, parts - 1), p -> least(p, part) * parts + greatest(p, part))")
+        trees.append(pairs.select("group", "key", F.explode(meets).alias("tree")))
+        state = step.join(cheaper.select(F.col("group").alias("of")), "of", "left_semi").drop("of", "holders")
+    return reduce(DataFrame.union, trees).withColumnRenamed("group", "comp")
+
+
+def _linked(sets: DataFrame, groups: DataFrame, percent: int, tree_shingles: int, tree_sets: int) -> DataFrame:
     """(key, label) under all links between ``sets`` (key, set, n) inside their ``groups`` (key, comp); the label is a component's least key.
 
-    A group whose sets fit one tree is joined there. A larger one is dealt by hash to parts; each part is joined with the first one,
-    and then what did not come to the largest component is joined with every part: any two sets that
-    are not in that component already meet in some tree.
+    A group whose sets fit one tree is joined there. A larger one is dealt by hash to parts, and each part is joined with the first one, which
+    brings groups of copies together; then sets of different labels meet in the trees of their items.
     """
     sets = staged(sets.join(groups, "key"), "near-sets")
-    sizes = sets.groupBy("comp").agg(F.sum("n").alias("total"))
-    # A part has half a tree's shingles, since two meet in one.
-    parts = F.when(F.col("total") <= tree_shingles, 1).otherwise(F.ceil(F.col("total") * 2 / F.lit(tree_shingles)))
-    sets = sets.join(sizes.select("comp", parts.cast("long").alias("parts")), "comp")
-    sets = sets.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
+    sizes = sets.groupBy("comp").agg(_parts(F.sum("n"), F.count("*"), tree_shingles, tree_sets).alias("parts"))
+    sets = sets.join(sizes, "comp").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
     first = F.when((F.col("parts") > 1) & (F.col("part") == 0), F.sequence(F.lit(1).cast("long"), F.col("parts") - 1)).otherwise(F.array(F.col("part")))
     near = staged(_walk_trees(sets.withColumn("tree", F.explode(first)), percent), "near-first")
     large = sets.where("parts > 1")
@@ -219,15 +295,8 @@ def _linked(sets: DataFrame, groups: DataFrame, percent: int, tree_shingles: int
     in_large = near.join(large.select("comp").distinct(), "comp", "left_semi")
     so_far = components(in_large.select(F.col("key").alias("a"), F.col("label").alias("b")))
     large = large.join(so_far.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-    large = staged(large.select("comp", "key", "set", "n", "part", "parts", "label"), "near-large")
-    main = large.groupBy("comp", "label").agg(F.count("*").alias("c")).groupBy("comp").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
-    rest = large.join(main, "comp").where("label <> main")
-    rest_parts = rest.groupBy("comp").agg((1 + F.floor(F.sum("n") * 2 / F.lit(tree_shingles))).alias("rest_parts"))
-    rest = rest.select("comp", "key", "set", "parts").join(rest_parts, "comp").withColumn("mine", F.pmod(F.xxhash64("key", F.lit(1)), F.col("rest_parts")))
-    # Tree number: the rest's part times the parts, plus the part it meets.
-    rest = rest.withColumn("tree", F.explode(F.expr("transform(sequence(0L, parts - 1), p -> mine * parts + p)")))
-    whole = large.join(rest_parts, "comp").withColumn("tree", F.explode(F.expr("transform(sequence(0L, rest_parts - 1), r -> r * parts + part)")))
-    met = rest.select("comp", "tree", "key", "set").union(whole.select("comp", "tree", "key", "set")).dropDuplicates(["comp", "tree", "key"])
+    large = staged(large.select("comp", "key", "set", "n", "label"), "near-large")
+    met = _trees_of_items(large, percent, tree_shingles, tree_sets).join(large.select("key", "set"), "key")
     more = staged(_walk_trees(met, percent), "near-rest")
     edges = in_large.select("key", "label").union(more.select("key", "label"))
     closed = components(edges.select(F.col("key").alias("a"), F.col("label").alias("b"))).select(F.col("node").alias("key"), "label")
@@ -235,14 +304,15 @@ def _linked(sets: DataFrame, groups: DataFrame, percent: int, tree_shingles: int
     return small.union(closed)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, tree_shingles: int = TREE_SHINGLES) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, tree_shingles: int = TREE_SHINGLES, tree_sets: int = TREE_SETS) -> DataFrame:
     """The class of near-duplicates of every row of ``docs`` (doc_id, text): sets of word 5-grams of Jaccard >= ``percent`` / 100.
 
     1. Rows of many sets each are made and dealt once. Their shingles are counted over all documents by ranges of value, and each chunk
     gets back the class of each count: the global order is by this class, then by value.
     2. Two sets that link share a shingle among the first ones of both (the prefix that the threshold leaves). Shingles of
     one document link nothing, so only sets with a common shingle in their prefix go on; equal sets go on as one.
-    3. Sets that share prefix shingles form groups; inside each the sets are stored in prefix trees (``trie``) and joined exactly.
+    3. Sets that share prefix shingles form groups; inside each the sets are stored in prefix trees (``trie``) and joined exactly. A tree takes
+    ``tree_shingles`` and ``tree_sets`` at most; larger groups are split by the passages their sets have in common.
     4. A class is a component of these links.
 
     Shingles are BITS-bit hashes. NULL and empty texts have an empty set and are linked with nothing. Repeated rows and NULL ids are rows like
@@ -269,7 +339,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, tree_shingles: int = TRE
     groups = components(shared).select(F.col("node").alias("key"), F.col("label").alias("comp"))
     sets = found.select(F.explode(F.arrays_zip("set_keys", "sets")).alias("x")).select(F.col("x.set_keys").alias("key"), F.col("x.sets").alias("set"))
     sets = sets.groupBy("key").agg(F.first("set").alias("set")).withColumn("n", (F.octet_length("set") / F.lit(BITS // 8 + 1)).cast("long"))
-    labels = staged(_linked(sets, groups, percent, tree_shingles), "near-labels")
+    labels = staged(_linked(sets, groups, percent, tree_shingles, tree_sets), "near-labels")
 
     labelled = each.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     least = labelled.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))

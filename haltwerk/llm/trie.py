@@ -11,7 +11,8 @@ def links_in_trie(sets: list[np.ndarray], percent: int = 80) -> np.ndarray:
     ``sets`` hold ranks in one order for all, ascending, common items first, and are stored in a tree whose paths are
     shared beginnings. The walk keeps, at each node, the overlap of the path with every set still in question, so work on a shared
     beginning is done once for all sets below. A set is dropped from a subtree when its overlap and the longest rest
-    there, or the rest of the set itself, cannot reach what the shortest set there needs.
+    there, or the rest of the set itself, cannot reach what the shortest set there needs. At a leaf, where most of a tree of loosely
+    connected sets lies, only the holders of the leaf's rarest items are asked: a link needs one of them.
     """
     count = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -29,11 +30,23 @@ def links_in_trie(sets: list[np.ndarray], percent: int = 80) -> np.ndarray:
     by_item = np.argsort(items, kind="stable")
     holders, starts = owner[by_item], np.searchsorted(items[by_item], np.arange(int(items.max()) + 2))
 
-    def held(path: np.ndarray) -> np.ndarray:
-        """How many items of the path each set holds."""
+    def holding(path: np.ndarray) -> np.ndarray:
+        """The sets that hold the items of the path, once for each item."""
         a, n = starts[path], starts[path + 1] - starts[path]
-        at = np.repeat(a - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-        return np.bincount(holders[at], minlength=count)
+        return holders[np.repeat(a - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())]
+
+    def held(path: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """How many items of the path each set in question (ascending) holds."""
+        found = holding(path)
+        if len(found) >= count:
+            return np.bincount(found, minlength=count)[asked]
+        at = np.minimum(np.searchsorted(asked, found), len(asked) - 1)
+        return np.bincount(at[asked[at] == found], minlength=len(asked))
+
+    def rarest(own: np.ndarray) -> np.ndarray:
+        """The items of a set that a linked set must have one of, those with the fewest holders here."""
+        n = starts[own + 1] - starts[own]
+        return own[np.argsort(n, kind="stable")[: len(own) - -(-percent * len(own) // 100) + 1]]
 
     def enough(mine: np.ndarray, other: np.ndarray | int) -> np.ndarray:
         """The least overlap that links sets of these sizes."""
@@ -46,10 +59,20 @@ def links_in_trie(sets: list[np.ndarray], percent: int = 80) -> np.ndarray:
         # The beginning that all of the stretch share.
         reach = int(shared[lo + 1 : hi].min()) if hi - lo > 1 else int(lengths[lo])
         reach = min(reach, int(lengths[lo]))
+        if hi - lo == 1 and len(asked):
+            rare = rarest(ordered[lo])
+            if int((starts[rare + 1] - starts[rare]).sum()) < len(asked):
+                near = np.unique(holding(rare))
+                at = np.minimum(np.searchsorted(asked, near), len(asked) - 1)
+                at = at[asked[at] == near]
+                overlap, asked = overlap[at], asked[at]
         while depth < reach:
             step = ordered[lo][depth : min(reach, depth + 64)]
             depth += len(step)
-            overlap = overlap + held(step)[asked]
+            if not len(asked):
+                depth = reach
+                break
+            overlap = overlap + held(step, asked)
             shortest, longest = int(lengths[lo:hi].min()), int(lengths[lo:hi].max())
             most = overlap + np.minimum(longest - depth, sizes[asked] - overlap)
             stay = most >= np.maximum(enough(sizes[asked], shortest), 1)

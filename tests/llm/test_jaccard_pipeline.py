@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from haltwerk.llm import gru, jaccard, shingles
 from haltwerk.llm.components import components
@@ -66,7 +67,41 @@ def test_classes_of_many_close_texts(spark, tree):
             if words:
                 words[rng.randrange(len(words))] = rng.choice("abcdefghi")
         rows.append((i, " ".join(words)))
-    _check(spark.createDataFrame(rows, "doc_id long, text string"), tree_shingles=tree)
+    _check(spark.createDataFrame(rows, "doc_id long, text string"), tree_shingles=tree, tree_sets=jaccard.TREE_SETS if tree > 400 else 20)
+
+
+def test_trees_of_texts_of_common_passages_grow_with_the_rows(spark, monkeypatch):
+    dealt, walk = [], jaccard._walk_trees
+
+    def counted(rows, percent):
+        dealt[-1] += rows.count()
+        each = rows.join(sizes, "key").groupBy("comp", "tree").agg(F.sum("size").alias("size"), F.count("*").alias("c")).agg(F.max("size"), F.max("c")).head()
+        # Parts are dealt by hash, so two may pass the bound a little.
+        assert each[0] < 1.5 * 4000 and each[1] < 1.5 * 60
+        return walk(rows, percent)
+
+    monkeypatch.setattr(jaccard, "_walk_trees", counted)
+    for rows in (300, 600):
+        rng = random.Random(7)
+        passages = [" ".join(f"w{rng.randrange(5000)}" for _ in range(20)) for _ in range(40)]
+        texts = [" ".join(rng.sample(passages, 5)) for _ in range(rows)]
+        texts[5] = texts[200] + " one more"
+        found = [shingles.shingle_set(t.encode()) for t in texts]
+        sizes = spark.createDataFrame([(jaccard.set_key(s), len(s)) for s in found], "key long, size int")
+        dealt.append(0)
+        classes = _check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tree_shingles=4000, tree_sets=60)
+        assert classes[200] == 5
+    assert dealt[1] < 2.5 * dealt[0] and dealt[0] < 10 * 300
+
+
+def test_leaves_of_a_tree_ask_few_sets():
+    """Sets with one common item: work grows with their number, and links are found."""
+    rng = np.random.default_rng(5)
+    sets = [np.sort(np.r_[0, 1 + rng.choice(500_000, 9, replace=False)]) for _ in range(3000)]
+    sets[17] = np.sort(np.r_[sets[2000][:9], 600_000])
+    values = np.unique(np.concatenate(sets))
+    labels = links_in_trie([np.searchsorted(values, s) for s in sets])
+    assert labels[17] == labels[2000] and len(set(labels.tolist())) == 2999
 
 
 def test_classes_of_odd_rows(odd, none):

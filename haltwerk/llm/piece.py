@@ -1,4 +1,4 @@
-"""SentencePiece models of the merge kind: an agenda of adjacent pairs by score; what it makes of each word is held against the library, batch by batch."""
+"""SentencePiece models of the merge kind: an agenda of adjacent pairs by score, for many new words at once; what it makes of each word is held against the library, batch by batch."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain, islice
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
@@ -24,6 +25,10 @@ MARK = "▁"
 CACHE, CACHED_CHARS = 300_000, 64
 #: Words handled at a time; bounds the memory that a very long text takes.
 WORDS = 200_000
+#: Characters of texts whose new words go through one agenda, and the rows of words it has at a time.
+TOGETHER, ROWS = 1 << 20, 4096
+#: The turn of a pair that is no piece.
+NEVER = np.iinfo(np.int32).max
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -112,7 +117,7 @@ class PieceBpe:
         # Without a piece that goes on with the mark after another character, no merge reaches over the start of a word.
         self._words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$") if not any(MARK in p.lstrip(MARK) for p in self._id) else None
         self._beside = {p[i : i + 2] for p in self._id for i in range(len(p) - 1)}
-        self._cache: dict[str, tuple[int, ...]] = {}
+        self._cache: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
         #: With ``check``: words met since the last ``compare`` with their ids, and words of which the library makes something else.
         self._check = check
         self._fresh: list[tuple[str, tuple[int, ...]]] = []
@@ -124,6 +129,131 @@ class PieceBpe:
         self._is_byte = [i in back for i in range(n)]
         self._marked = [not special[i] and names[i].startswith(MARK) for i in range(n)]
         self._decimal = [str(i) for i in range(n)]
+        self._pairs()
+
+    def _pairs(self) -> None:
+        """The pairs of pieces that make a piece, sorted by key, with their turns and what they make; the pieces of one character by code point."""
+        n = self._n = self.library.get_piece_size()
+        turns = sorted(set(self._turn.values()))
+        place = {t: i for i, t in enumerate(turns)}
+        known = self._id
+        found = [(known[p[:k]] * (n + 2) + known[p[k:]], place[self._turn[p]], i) for p, i in known.items() for k in range(1, len(p)) if p[:k] in known and p[k:] in known]
+        table = np.array(sorted(found), np.int64).reshape(-1, 3)
+        self._key, self._key_turn, self._key_makes = table[:, 0].copy(), table[:, 1].astype(np.int32), table[:, 2].astype(np.int32)
+        self._single = np.full(0x110000, n + 1, np.int32)
+        for p, i in known.items():
+            if len(p) == 1:
+                self._single[ord(p)] = i
+
+    def _looked_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Turns of pairs of ids, and the ids they make; the two ids after the last one stand for none and for a character that is no piece."""
+        wanted = left.astype(np.int64) * (self._n + 2) + right
+        at = np.minimum(np.searchsorted(self._key, wanted), len(self._key) - 1)
+        hit = self._key[at] == wanted
+        return np.where(hit, self._key_turn[at], NEVER), self._key_makes[at]
+
+    def _agenda(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows of ids, filled up by the id of none: row numbers and rows of those that are done, as they get done.
+
+        Each row has its agenda, the turns of its pairs in their places; in each round the first least pair of every row is made one.
+        """
+        rows = np.arange(len(ids))
+        turns, makes = self._looked_up(ids[:, :-1], ids[:, 1:])
+        while turns.shape[1]:
+            at = turns.argmin(1)
+            go = turns[np.arange(len(rows)), at] != NEVER
+            if not go.all():
+                yield rows[~go], ids[~go]
+                rows, ids, turns, makes, at = rows[go], ids[go], turns[go], makes[go], at[go]
+            if not len(rows):
+                return
+            each, column = np.arange(len(rows)), at[:, None]
+            ids[each, at] = makes[each, at]
+            ids = np.where(np.arange(ids.shape[1] - 1) > column, ids[:, 1:], ids[:, :-1])
+            late = np.arange(turns.shape[1] - 1) >= column
+            turns, makes = np.where(late, turns[:, 1:], turns[:, :-1]), np.where(late, makes[:, 1:], makes[:, :-1])
+            for which, first in ((at > 0, at - 1), (at < turns.shape[1], at)):
+                r, i = each[which], first[which]
+                turns[r, i], makes[r, i] = self._looked_up(ids[r, i], ids[r, i + 1])
+        yield rows, ids
+
+    def learn(self, words: set[str]) -> None:
+        """Keep the ids of new short words, many of them through one agenda."""
+        if len(self._cache) >= CACHE:
+            self._cache.clear()
+        if self._unused or not self._byte or not self._key.size:
+            return
+        listed = sorted((w for w in words if len(w) <= CACHED_CHARS), key=len)
+        for start in range(0, len(listed), ROWS):
+            some = listed[start : start + ROWS]
+            sizes = np.fromiter(map(len, some), np.int64, len(some))
+            singles = self._single[np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32)]
+            ids = np.full((len(some), int(sizes[-1])), self._n, np.int32)
+            ids[np.arange(ids.shape[1]) < sizes[:, None]] = singles
+            for rows, done in self._agenda(ids):
+                spelt = (done > self._n).any(1).tolist()
+                for i, row, n, odd in zip(rows.tolist(), done.tolist(), (done != self._n).sum(1).tolist(), spelt, strict=True):
+                    found = tuple(self._spelt(some[i], row[:n]) if odd else row[:n])
+                    self._cache[some[i]] = self._record(some[i], found)
+                    if self._check:
+                        self._fresh.append((some[i], found))
+            if len(self._fresh) >= CACHE:
+                self.compare()
+
+    def _spelt(self, word: str, ids: list[int]) -> Iterator[int]:
+        """``ids`` with the characters that are no pieces, which stand in the word's order, as bytes."""
+        others = (c for c in word if c not in self._id)
+        for i in ids:
+            if i > self._n:
+                yield from (self._byte[b] for b in next(others).encode())
+            else:
+                yield i
+
+    def _record(self, word: str, ids: tuple[int, ...]) -> tuple[tuple[int, ...], str, bytes]:
+        """A word's ids, the same in decimals, and what they decode to but for the dummy space."""
+        raw = b"".join(map(self._bytes.__getitem__, ids))
+        return ids, self.decimal(ids), raw if raw == word.replace(MARK, " ").encode() else b"".join(self._joined(list(ids)))
+
+    def coded_all(self, texts: list[str]) -> Iterator[tuple[int, str, bytes]]:
+        """For each text the number of its ids, the ids in decimals joined by commas, and what they decode to.
+
+        Where every word but the first begins with the piece of the mark or a longer one, no run of bytes and no run of unknown pieces reaches over its
+        start, so what is known of the words is put together.
+        """
+        if not (self._words and self._byte and MARK in self._id and not self._unused):
+            for ids in self.encode_all(texts):
+                yield len(ids), self.decimal(ids), self.decode(ids)
+            return
+        for records in self._records(texts):
+            out = b"".join([raw for _, _, raw in records])
+            yield sum([len(ids) for ids, _, _ in records]), ",".join([x for _, x, _ in records]), out[1:] if self._prefix and out else out
+
+    def _records(self, texts: list[str]) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
+        """The records of the words of each text; texts go together up to a number of characters, so that their new words share an agenda."""
+        known, start = self._cache.get, 0
+        while start < len(texts):
+            end, size = start, 0
+            while end < len(texts) and (end == start or size + len(texts[end]) <= TOGETHER):
+                size += len(texts[end])
+                end += 1
+            if size > TOGETHER:
+                parts = self.words(texts[start])
+                yield [known(w) or self._new(w) for words in parts for w in self._learnt(words)]
+            else:
+                words = [list(chain.from_iterable(self.words(t))) for t in texts[start:end]]
+                self.learn({w for some in words for w in some if w not in self._cache})
+                for some in words:
+                    yield [known(w) or self._new(w) for w in some]
+            start = end
+
+    def _learnt(self, words: list[str]) -> list[str]:
+        self.learn({w for w in words if w not in self._cache})
+        return words
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text."""
+        for records in self._records(texts):
+            yield self._one_unknown(list(chain.from_iterable([ids for ids, _, _ in records])))
 
     def _split(self, text: str) -> list[str]:
         """Symbols of a stretch that no merge leaves."""
@@ -220,6 +350,10 @@ class PieceBpe:
             self._fresh.append((word, found))
             if len(self._fresh) >= CACHE:
                 self.compare()
+        return found
+
+    def _new(self, word: str) -> tuple[tuple[int, ...], str, bytes]:
+        found = self._record(word, self._ids(word))
         if len(word) <= CACHED_CHARS:
             if len(self._cache) >= CACHE:
                 self._cache.clear()
@@ -242,7 +376,7 @@ class PieceBpe:
 
     def encode(self, text: str) -> list[int]:
         known = self._cache.get
-        ids = [i for words in self.words(text) for i in chain.from_iterable([known(w) or self._ids(w) for w in words])]
+        ids = [i for words in self.words(text) for i in chain.from_iterable([(known(w) or self._new(w))[0] for w in words])]
         return self._one_unknown(ids)
 
     def _one_unknown(self, ids: list[int]) -> list[int]:
@@ -321,12 +455,10 @@ def piece_digests(docs: DataFrame, path: str | None = None, check: bool = True)
         coder = make()
         for batch in batches:
             out = []
-            for text in batch.column(1):
-                text = text.as_py()
-                ids = coder.encode(text)
-                back = coder.decode(ids)
+            texts = batch.column(1).to_pylist()
+            for text, (n, decimals, back) in zip(texts, coder.coded_all(texts), strict=True):
                 agrees = back == text.replace(MARK, " ").encode() if check else None
-                out.append([len(ids), hashlib.sha256(coder.decimal(ids).encode()).hexdigest(), hashlib.sha256(back).hexdigest(), len(back), agrees])
+                out.append([n, hashlib.sha256(decimals.encode()).hexdigest(), hashlib.sha256(back).hexdigest(), len(back), agrees])
             coder.compare()
             if coder.differs:
                 for row, text in zip(out, batch.column(1), strict=True):
@@ -349,7 +481,7 @@ def piece_encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = make()
         for batch in batches:
-            ids = [coder.encode(t.as_py()) for t in batch.column(1)]
+            ids = list(coder.encode_all(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>"

@@ -84,6 +84,8 @@ from . import bindings as B
 Query = Callable[[SparkSession, str], DataFrame]
 
 _PAYLOAD_STOP = S.PLANNED_XML
+#: Events in a document of `xml_broken_records`, about 400 kB.
+_EVENTS_A_DOCUMENT = 5_000
 
 
 def _zone_free(df: DataFrame) -> DataFrame:
@@ -510,8 +512,9 @@ def broken_xml(spark: SparkSession, sf: str) -> DataFrame:
     )
     lines = F.array_join(F.array_sort(F.collect_list(kinds)), "")
     head = F.lit('<?xml version="1.0"?><!DOCTYPE timetable [<!ELEMENT s ANY>]><timetable>')
-    # One document for every 20 events.
-    documents = ev.groupBy((F.col("event_id") / 20).cast("long").alias("d")).agg(F.concat(head, lines, F.lit("</timetable>")).alias("value"))
+    # One file for each document; so many that their size stays the same, whatever the ids are.
+    n = ev.count() // _EVENTS_A_DOCUMENT + 1
+    documents = ev.groupBy(F.pmod(F.xxhash64("event_id"), F.lit(n)).alias("d")).agg(F.concat(head, lines, F.lit("</timetable>")).alias("value"))
     documents.select("value").write.option("maxRecordsPerFile", 1).text(path)
     schema = T.StructType([T.StructField("__id", T.StringType())])
     return read_records_xml(spark, path, schema, "s", root_tag="timetable").groupBy(F.col("__id").alias("id")).agg(F.count("*").alias("n"))

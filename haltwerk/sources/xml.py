@@ -89,7 +89,9 @@ def _steps(text: Column) -> Column:
 def _pieces(spark: SparkSession, path: str, close: str) -> DataFrame:
     """The text below ``path`` cut at those closing tags that stand in no construct, as column ``value``."""
     text = spark.read.option("lineSep", close).text(path)
-    text = text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    meta = F.col("_metadata")
+    cut = meta.file_block_length < meta.file_size
+    text = text.select("value", meta.file_path.alias("file"), meta.file_block_start.alias("block"), cut.alias("cut"))
     # As long as no cut falls into a construct, every piece starts outside; the files where one does are seen by that alone.
     steps = _steps(F.col("value"))
     cut_wrong = work_dir(spark, "xml-files")
@@ -106,7 +108,8 @@ def _pieces(spark: SparkSession, path: str, close: str) -> DataFrame:
         pieces = _in_order(pieces)
 
     # What a split does to each state it may begin with; then every file's splits in order; then the pieces once more.
-    ends = pieces.select("file", "block", "steps").mapInArrow(_split_steps, "file string, block long, ends array<int>, closes array<boolean>")
+    # A file that is one split begins outside and needs none of this.
+    ends = pieces.where("cut").select("file", "block", "steps").mapInArrow(_split_steps, "file string, block long, ends array<int>, closes array<boolean>")
     found = work_dir(spark, "xml-splits")
     ends.groupBy("file").applyInArrow(_file_states, "file string, block long, state int, home long").write.parquet(found)
     states = spark.read.schema("file string, block long, state int, home long").parquet(found)

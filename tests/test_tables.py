@@ -443,3 +443,21 @@ def test_constructs_over_splits(spark, tmp_path, rows, monkeypatch, split_bytes)
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_broken_xml_files_follow_the_rows_and_not_the_ids(spark, tmp_path, rows, monkeypatch):
+    """Ids far apart, one of them twice and one NULL: a file for each 5,000 rows, and all records."""
+    from haltwerk.harness import queries
+
+    ids = [*range(0, 300_000, 1000), 1000, None]
+    spark.createDataFrame([(i,) for i in ids], "event_id long").write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(queries, "work_dir", lambda _, label: f"{tmp_path}/{label}")
+    got = dict(rows(queries.broken_xml(spark, str(tmp_path))))
+    broken = [i for i in range(0, 300_000, 1000) if i % 7 == 2]
+    assert got.pop(None) == len(broken)
+    assert got == {str(i): 2 if i == 1000 else 1 for i in range(0, 300_000, 1000) if i % 7 != 2}
+    assert len(list((tmp_path / "broken").glob("part-*"))) == 1
+    monkeypatch.setattr(queries, "_EVENTS_A_DOCUMENT", 50)
+    monkeypatch.setattr(queries, "work_dir", lambda _, label: f"{tmp_path}/{label}-50")
+    assert dict(rows(queries.broken_xml(spark, str(tmp_path)))) == got | {None: len(broken)}
+    assert 1 < len(list((tmp_path / "broken-50").glob("part-*"))) <= 7

@@ -126,6 +126,53 @@ def test_late_rows_are_never_active(spark, tmp_path, rows):
     assert got == sorted(want, key=lambda r: [(v is not None, str(v)) for v in r])
 
 
+def _marked(spark, folder, checkpoint, batch, schema, **more):
+    """What a run of the stream over one more file marks."""
+    found = []
+    spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(schema).parquet(folder)
+    marked = mark_late(stream, ["k", "l"], "at", **more).writeStream.foreachBatch(lambda df, _: found.extend(df.collect()))
+    marked.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return found
+
+
+def test_late_marks_equal_a_loop(spark, tmp_path):
+    """Keys of two columns with NULLs and marks of JSON, rows of one time, rows without time, times that a double cannot hold."""
+    rng, schema = Random(5), spark.createDataFrame([], "k string, l int, at timestamp, v string").schema
+    base, seen = datetime(9000, 1, 1), {}
+    for _ in range(3):
+        batch = [
+            (rng.choice(["a", 'a","b', "null", "", None]), rng.choice([1, 2, None]), rng.choice([None, *(base + timedelta(microseconds=n) for n in range(6))]), rng.choice([None, "x", "y"]))
+            for _ in range(40)
+        ]
+        want = []
+        for key in {r[:2] for r in batch}:
+            own = [r for r in batch if r[:2] == key]
+            timed = [r for r in own if r[2]]
+            newest = max((r[2] for r in timed), default=None)
+            first = min((r for r in own if r[2] == newest), key=lambda r: (r[3] is not None, r[3] or ""))
+            want.append((*first, key in seen and (newest is None or (seen[key] is not None and newest < seen[key]))))
+            seen[key] = max((x for x in (newest, seen.get(key)) if x), default=None)
+        got = [tuple(r) for r in _marked(spark, f"{tmp_path}/in", f"{tmp_path}/cp", batch, schema, buckets=4)]
+        assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_late_keys_share_their_state(spark, tmp_path):
+    schema = spark.createDataFrame([], "k string, l int, at timestamp, v string").schema
+    batch = [(str(n), 1, datetime(2024, 1, 1), "v") for n in range(3000)]
+    assert len(_marked(spark, f"{tmp_path}/in", f"{tmp_path}/cp", batch, schema)) == 3000
+    assert spark.read.format("statestore").load(f"{tmp_path}/cp").count() <= 1024
+
+
+def test_late_keys_go_when_their_time_is_over(spark, tmp_path):
+    """Kept for less than the watermark is behind, a key goes with the batch after its own; it then counts as new."""
+    schema = spark.createDataFrame([], "k string, l int, at timestamp, v string").schema
+    new, old = [("a", 1, datetime(2024, 1, 2), "v")], [("a", 1, datetime(2024, 1, 1), "v")]
+    run = lambda batch, cp, days: [r["IsLate"] for r in _marked(spark, f"{tmp_path}/{cp}-in", f"{tmp_path}/{cp}", batch, schema, buckets=1, keep_days=days)]
+    assert run(new, "kept", 7) + run(old, "kept", 7) == [False, True]
+    assert run(new, "gone", -2) + run(old, "gone", 7) == [False, False]
+
+
 def test_state_of_an_ingest(spark, tmp_path, rows):
     (tmp_path / "landing").mkdir()
     (tmp_path / "archive" / "deep" / "er").mkdir(parents=True)

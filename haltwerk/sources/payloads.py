@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_DOC = "__doc"
+_DOC, _HAS = "__doc", "__has"
 _CORRUPT = "_corrupt_record"
 _STATUS_OK = 200
 
@@ -16,7 +16,8 @@ def _parsed(payloads: DataFrame, row_tag: str, record: T.StructType) -> DataFram
         [T.StructField(row_tag, T.ArrayType(record)), T.StructField(_CORRUPT, T.StringType())]
     )
     body = F.when(_ok(), F.col("body"))  # a failed response is not parsed
-    return payloads.withColumn(_DOC, F.from_xml(body, document.simpleString()))
+    # Made by a generator: a filter on what was parsed stays above it, and neither parses a body nor builds it once more.
+    return payloads.select("*", F.inline(F.array(F.struct(F.from_xml(body, document.simpleString()).alias(_DOC), F.col("body").isNotNull().alias(_HAS)))))
 
 
 def _ok() -> Column:
@@ -24,7 +25,7 @@ def _ok() -> Column:
 
 
 def _readable() -> Column:
-    return _ok() & F.col("body").isNotNull() & F.col(f"{_DOC}.{_CORRUPT}").isNull()
+    return _ok() & F.col(_HAS) & F.col(f"{_DOC}.{_CORRUPT}").isNull()
 
 
 def shred_payloads(
@@ -56,7 +57,7 @@ def shred_payloads(
     reason = F.when(_ok(), F.lit("malformed")).otherwise(
         F.concat(F.lit("status "), F.coalesce(F.col("status").cast("string"), F.lit("missing")))
     )
-    rejects = parsed.where(~_readable()).withColumn("reason", reason).drop(_DOC)
+    rejects = parsed.where(~_readable()).withColumn("reason", reason).drop(_DOC, _HAS)
     return records, rejects
 
 

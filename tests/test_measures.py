@@ -79,6 +79,11 @@ def test_counts_come_from_the_pass_that_writes(spark, tmp_path):
     assert plan(messages).count("FileScan") == 1
 
 
+def test_a_body_is_built_and_parsed_once(spark):
+    for df in shred_payloads(B.payloads(B.events(spark, SF)), "s", S.PLANNED_XML):
+        assert plan(df).count("from_xml(") == plan(df).count("to_xml(") == 1
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, rows, fact):
     ev = B.events(spark, SF)
     planned, changed = planned_rows(B.planned_stops(ev)), recent_change_rows(B.changed_stops_json(ev))

@@ -19,8 +19,8 @@ HIDDEN = 6
 STRETCH = 128
 #: Stretches that are read side by side; bounds a worker's memory.
 SIDE = 2048
-#: Bytes of texts that are cut into stretches at a time.
-TOGETHER = 16 << 20
+#: Bytes of texts that are cut into stretches at a time, and the rows of a batch that are read at a time.
+TOGETHER, ROWS = 2 << 20, 1000
 #: The training sample's bound: documents of each language, excerpts of each document, characters of each excerpt.
 SAMPLE_DOCS, EXCERPTS, EXCERPT_CHARS = 256, 6, 160
 #: The most languages that are learned, those with the most rows; bounds what the driver and each task hold of them.
@@ -257,7 +257,7 @@ def _read_languages(rows: DataFrame, model: Model | None) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, letter = (Reader(model) if model else None), regex.compile(r"\p{L}")
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             known = [i for i, t in enumerate(texts) if reader and t and letter.search(t)]
             found, score, labelled = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)

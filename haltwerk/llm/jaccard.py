@@ -21,8 +21,8 @@ from .trie import links_in_trie
 
 #: Shingles in one row of sets, and rows of texts it takes at most.
 CHUNK_SHINGLES, CHUNK_ROWS = 1_000_000, 20_000
-#: Shingles whose document counts one task makes at a time.
-COUNTED = 2_000_000
+#: Shingles whose document counts one task makes at a time, and those it sorts at a time.
+COUNTED, SORTED = 2_000_000, 400_000
 #: Shingles of the sets that one tree takes; larger groups are dealt to several trees.
 TREE_SHINGLES = 8_000_000
 #: Sets that one tree takes.
@@ -105,13 +105,24 @@ def _to_count(buckets: int):
 
 def _classes(rows: pd.DataFrame) -> pd.DataFrame:
     """For each chunk's shingles of one bucket the class of their document count: 0 for one document, then its bits."""
-    values = [np.cumsum(np.frombuffer(x[1:], f"<u{x[:1].decode()}").astype(np.uint64)) for x in rows["steps"]]
-    counts = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["counts"]]).astype(np.int64)
-    _, at = np.unique(np.concatenate(values), return_inverse=True)
-    total = np.bincount(at, weights=counts).astype(np.int64)
-    classes = np.ceil(np.log2(total)).astype(np.uint8)[at]
-    ends = np.cumsum([len(v) for v in values])[:-1]
-    return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "classes": [x.tobytes() for x in np.split(classes, ends)]})
+    values = [np.cumsum(np.frombuffer(x[1:], f"<u{x[:1].decode()}"), dtype=np.uint64) for x in rows["steps"]]
+    counts = [np.frombuffer(x, np.uint8) for x in rows["counts"]]
+    classes = [np.empty(len(v), np.uint8) for v in values]
+    # Each chunk's shingles ascend, so a range of values is a slice of each; only one range is sorted at a time.
+    low, high = min(int(v[0]) for v in values), max(int(v[-1]) for v in values)
+    ranges = 1 + sum(map(len, values)) // SORTED
+    starts = [0] * len(values)
+    for k in range(1, ranges + 1):
+        bound = np.uint64(low + (high + 1 - low) * k // ranges)
+        ends = [int(np.searchsorted(v, bound)) for v in values]
+        cuts = [slice(i, j) for i, j in zip(starts, ends, strict=True)]
+        _, at = np.unique(np.concatenate([v[c] for v, c in zip(values, cuts, strict=True)]), return_inverse=True)
+        total = np.bincount(at, weights=np.concatenate([n[c] for n, c in zip(counts, cuts, strict=True)])).astype(np.int64)
+        found = np.ceil(np.log2(total)).astype(np.uint8)[at]
+        for own, c, part in zip(classes, cuts, np.split(found, np.cumsum([c.stop - c.start for c in cuts])[:-1]), strict=True):
+            own[c] = part
+        starts = ends
+    return pd.DataFrame({"chunk": rows["chunk"], "bucket": rows["bucket"], "classes": [x.tobytes() for x in classes]})
 
 
 _PREFIXES = "ids array<long>, rows array<long>, sizes array<int>, keys array<long>, tokens array<long>, token_keys array<long>, set_keys array<long>, sets array<binary>"

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,3 +179,49 @@ def test_pipeline_stage_by_stage(spark, docs, tmp_path):
             assert len(rows) == len(before_rows) and all(r.n_bytes for r in rows)
         now = after
     assert corpus_pipeline.run(spark, sf).count() == now.count()
+
+
+def _counted(n, chunks=4):
+    """Rows of one bucket as they are dealt: ``chunks`` of ``n`` ascending shingles each, and how many documents of a chunk have each."""
+    rng, values, rows = np.random.default_rng(1), [], []
+    for chunk in range(chunks):
+        own = np.unique(rng.integers(0, 3 * n, n, np.uint64))
+        counts = rng.integers(1, 4, len(own)).astype(np.uint8)
+        values.append((own, counts))
+        rows.append((chunk, 0, b"4" + np.diff(own, prepend=np.uint64(0)).astype("<u4").tobytes(), counts.tobytes()))
+    return values, pd.DataFrame(rows, columns=["chunk", "bucket", "steps", "counts"])
+
+
+@pytest.mark.parametrize("at_once", [1, 50, jaccard.SORTED])
+def test_classes_of_counts_by_ranges(monkeypatch, at_once):
+    monkeypatch.setattr(jaccard, "SORTED", at_once)
+    values, rows = _counted(150)
+    total = Counter()
+    for own, counts in values:
+        total.update(dict(zip(own.tolist(), counts.tolist(), strict=True)))
+    got = jaccard._classes(rows)
+    assert list(got.columns) == ["chunk", "bucket", "classes"] and got["chunk"].tolist() == rows["chunk"].tolist()
+    for (own, _), found in zip(values, got["classes"], strict=True):
+        assert list(found) == [int(np.ceil(np.log2(total[v]))) for v in own.tolist()]
+
+
+def _most(work):
+    """Bytes that ``work`` allocates at once."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_counts_is_little_above_the_shingles():
+    values, rows = _counted(500_000)
+    n = sum(len(own) for own, _ in values)
+    assert _most(lambda: jaccard._classes(rows)) < 30 * n
+
+
+def test_memory_of_the_language_is_bounded_for_many_texts():
+    reader = gru.Reader(gru.train(["aa bb", "cc dd"], ["x", "y"], steps=1))
+    few, many = ([b"some words of a text " * 100] * n for n in (1000, 4000))
+    assert _most(lambda: reader.read(many)) < 1.5 * _most(lambda: reader.read(few))

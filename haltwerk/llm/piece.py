@@ -129,6 +129,7 @@ class PieceBpe:
         self._is_byte = [i in back for i in range(n)]
         self._marked = [not special[i] and names[i].startswith(MARK) for i in range(n)]
         self._decimal = [str(i) for i in range(n)]
+        self._decimals, self._backs = _table([f"{x},".encode() for x in self._decimal]), _table(self._bytes)
         self._pairs()
 
     def _pairs(self) -> None:
@@ -179,8 +180,6 @@ class PieceBpe:
 
     def learn(self, words: set[str]) -> None:
         """Keep the ids of new short words, many of them through one agenda."""
-        if len(self._cache) >= CACHE:
-            self._cache.clear()
         if self._unused or not self._byte or not self._key.size:
             return
         listed = sorted((w for w in words if len(w) <= CACHED_CHARS), key=len)
@@ -190,16 +189,41 @@ class PieceBpe:
             singles = self._single[np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32)]
             ids = np.full((len(some), int(sizes[-1])), self._n, np.int32)
             ids[np.arange(ids.shape[1]) < sizes[:, None]] = singles
-            for rows, done in self._agenda(ids):
-                spelt = (done > self._n).any(1).tolist()
-                for i, row, n, odd in zip(rows.tolist(), done.tolist(), (done != self._n).sum(1).tolist(), spelt, strict=True):
-                    found = tuple(self._spelt(some[i], row[:n]) if odd else row[:n])
-                    self._cache[some[i]] = self._record(some[i], found)
-                    if self._check:
-                        self._fresh.append((some[i], found))
+            parts = [(rows, done[done != self._n], (done != self._n).sum(1)) for rows, done in self._agenda(ids)]
+            order, flat, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+            self._keep([some[i] for i in order.tolist()], flat, counts)
             if len(self._fresh) >= CACHE:
                 self.compare()
 
+    def _keep(self, words: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
+        """The records of words whose ids stand one after another, ``counts`` for each; decimals and bytes of all are looked up at once."""
+        ends = np.cumsum(counts)
+        odd = set(np.searchsorted(ends, np.flatnonzero(flat > self._n), "right").tolist())
+        known = np.where(flat > self._n, self._unknown, flat)
+        decimals, decimal_ends = self._strung(self._decimals, known, ends)
+        back, back_ends = self._strung(self._backs, known, ends)
+        decimals, ids = decimals.decode(), flat.tolist()
+        i = a = b = 0
+        for k, (word, j, c, d) in enumerate(zip(words, ends.tolist(), decimal_ends.tolist(), back_ends.tolist(), strict=True)):
+            if k in odd:
+                found = tuple(self._spelt(word, ids[i:j]))
+                record = self._record(word, found)
+            else:
+                found, raw = tuple(ids[i:j]), back[b:d]
+                record = found, decimals[a : c - 1], raw if raw == word.replace(MARK, " ").encode() else b"".join(self._joined(list(found)))
+            self._cache[word] = record
+            if self._check:
+                self._fresh.append((word, found))
+            i, a, b = j, c, d
+
+    @staticmethod
+    def _strung(table: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The entries of ``ids`` one after another, and where those up to each of ``ends`` end."""
+        raw, starts, sizes = table
+        size = sizes[ids]
+        after = np.cumsum(size)
+        return raw[np.repeat(starts[ids] - after + size, size) + np.arange(after[-1])].tobytes(), after[ends - 1]
+
     def _spelt(self, word: str, ids: list[int]) -> Iterator[int]:
         """``ids`` with the characters that are no pieces, which stand in the word's order, as bytes."""
         others = (c for c in word if c not in self._id)
@@ -225,8 +249,9 @@ class PieceBpe:
                 yield len(ids), self.decimal(ids), self.decode(ids)
             return
         for records in self._records(texts):
-            out = b"".join([raw for _, _, raw in records])
-            yield sum([len(ids) for ids, _, _ in records]), ",".join([x for _, x, _ in records]), out[1:] if self._prefix and out else out
+            ids, decimals, parts = zip(*records, strict=True) if records else ((), (), ())
+            out = b"".join(parts)
+            yield sum(map(len, ids)), ",".join(decimals), out[1:] if self._prefix and out else out
 
     def _records(self, texts: list[str]) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
         """The records of the words of each text; texts go together up to a number of characters, so that their new words share an agenda."""
@@ -241,13 +266,17 @@ class PieceBpe:
                 yield [known(w) or self._new(w) for words in parts for w in self._learnt(words)]
             else:
                 words = [list(chain.from_iterable(self.words(t))) for t in texts[start:end]]
-                self.learn({w for some in words for w in some if w not in self._cache})
+                self._learnt(list(chain.from_iterable(words)))
                 for some in words:
-                    yield [known(w) or self._new(w) for w in some]
+                    records = list(map(known, some))
+                    yield records if all(records) else [r or known(w) or self._new(w) for r, w in zip(records, some, strict=True)]
             start = end
 
     def _learnt(self, words: list[str]) -> list[str]:
-        self.learn({w for w in words if w not in self._cache})
+        # A full cache is cleared before the new words are told from the known ones: all that these texts need is learnt together.
+        if len(self._cache) >= CACHE:
+            self._cache.clear()
+        self.learn(set(words).difference(self._cache))
         return words
 
     def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
@@ -425,6 +454,12 @@ class PieceBpe:
         return ",".join(map(self._decimal.__getitem__, ids))
 
 
+def _table(entries: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries one after another, where each starts, and its size."""
+    sizes = np.array([len(x) for x in entries], np.int64)
+    return np.frombuffer(b"".join(entries), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
 def _character(raw: bytes, size: int) -> bool:
     try:
         return len(raw) == size and len(raw.decode()) == 1

@@ -43,6 +43,20 @@ def test_pieces_equal_the_library(library, texts):
     assert not coder.differs
 
 
+def test_a_full_cache_loses_no_word_of_the_texts_at_hand(monkeypatch, library):
+    monkeypatch.setattr(piece, "CACHE", 40)
+    coder, alone = piece.PieceBpe(RAW, check=True), []
+    new = coder._new
+    monkeypatch.setattr(coder, "_new", lambda word: (alone.append(word), new(word))[1])
+    for k in range(0, 200, 10):
+        texts = [" ".join(f"word{i} common text" for i in range(k, k + 30)), "", " common"]
+        for text, (n, decimals, back) in zip(texts, coder.coded_all(texts), strict=True):
+            ids = library.encode(text)
+            assert (n, decimals, back) == (len(ids), ",".join(map(str, ids)), text.encode())
+    coder.compare()
+    assert not alone and not coder.differs
+
+
 def test_any_ids_decode_as_in_the_library(library):
     coder, rng = piece.PieceBpe(RAW), random.Random(5)
     for _ in range(500):

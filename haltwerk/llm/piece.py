@@ -8,7 +8,8 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
+from functools import lru_cache
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -22,11 +23,13 @@ MODEL = "piece_bpe_32k.model"
 #: The sign that stands for a space inside pieces.
 MARK = "▁"
 #: Stretches whose ids are kept at once in a worker, and the longest of them.
-CACHE, CACHED_CHARS = 300_000, 64
+CACHE, CACHED_CHARS = 500_000, 64
 #: Words handled at a time; bounds the memory that a very long text takes.
 WORDS = 200_000
 #: Characters of texts whose new words go through one agenda, and the rows of words it has at a time.
 TOGETHER, ROWS = 1 << 20, 4096
+#: New words after which the library is asked for their ids.
+FRESH = 30_000
 #: The turn of a pair that is no piece.
 NEVER = np.iinfo(np.int32).max
 
@@ -93,7 +96,7 @@ class Settings:
 
 
 class PieceBpe:
-    """Encoder and decoder of one model; made once for each task.
+    """Encoder and decoder of one model; made once for each worker, which keeps what it knows of words from task to task.
 
     Takes models of the merge kind that read texts as they are: no table of replacements, no removal of spaces, no pieces
     of the user's own. Any other model is refused.
@@ -145,6 +148,10 @@ class PieceBpe:
         for p, i in known.items():
             if len(p) == 1:
                 self._single[ord(p)] = i
+        # A character of one byte that is no piece is the piece of its byte, which nothing is merged with.
+        if self._byte:
+            plain = self._single[:128]
+            plain[:] = np.where(plain > n, self._byte[:128], plain)
 
     def _looked_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Turns of pairs of ids, and the ids they make; the two ids after the last one stand for none and for a character that is no piece."""
@@ -192,29 +199,32 @@ class PieceBpe:
             parts = [(rows, done[done != self._n], (done != self._n).sum(1)) for rows, done in self._agenda(ids)]
             order, flat, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
             self._keep([some[i] for i in order.tolist()], flat, counts)
-            if len(self._fresh) >= CACHE:
+            if len(self._fresh) >= FRESH:
                 self.compare()
 
     def _keep(self, words: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
         """The records of words whose ids stand one after another, ``counts`` for each; decimals and bytes of all are looked up at once."""
         ends = np.cumsum(counts)
-        odd = set(np.searchsorted(ends, np.flatnonzero(flat > self._n), "right").tolist())
+        odd = np.unique(np.searchsorted(ends, np.flatnonzero(flat > self._n), "right")).tolist()
         known = np.where(flat > self._n, self._unknown, flat)
         decimals, decimal_ends = self._strung(self._decimals, known, ends)
         back, back_ends = self._strung(self._backs, known, ends)
         decimals, ids = decimals.decode(), flat.tolist()
-        i = a = b = 0
-        for k, (word, j, c, d) in enumerate(zip(words, ends.tolist(), decimal_ends.tolist(), back_ends.tolist(), strict=True)):
-            if k in odd:
-                found = tuple(self._spelt(word, ids[i:j]))
-                record = self._record(word, found)
-            else:
-                found, raw = tuple(ids[i:j]), back[b:d]
-                record = found, decimals[a : c - 1], raw if raw == word.replace(MARK, " ").encode() else b"".join(self._joined(list(found)))
-            self._cache[word] = record
-            if self._check:
-                self._fresh.append((word, found))
-            i, a, b = j, c, d
+        ends, decimal_ends, back_ends = ([0, *x.tolist()] for x in (ends, decimal_ends, back_ends))
+        found = [tuple(ids[i:j]) for i, j in pairwise(ends)]
+        records = list(zip(found, [decimals[i : j - 1] for i, j in pairwise(decimal_ends)], [back[i:j] for i, j in pairwise(back_ends)], strict=True))
+        for k in odd:
+            found[k] = tuple(self._spelt(words[k], found[k]))
+            records[k] = self._record(words[k], found[k])
+        if not odd and back == "".join(words).replace(MARK, " ").encode():
+            differ = ()  # ids that are pieces of the words decode to them
+        else:
+            differ = (k for k, (word, (_, _, raw)) in enumerate(zip(words, records, strict=True)) if raw != word.replace(MARK, " ").encode())
+        for k in differ:
+            records[k] = self._record(words[k], found[k])
+        self._cache.update(zip(words, records, strict=True))
+        if self._check:
+            self._fresh += zip(words, found, strict=True)
 
     @staticmethod
     def _strung(table: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -224,9 +234,9 @@ class PieceBpe:
         after = np.cumsum(size)
         return raw[np.repeat(starts[ids] - after + size, size) + np.arange(after[-1])].tobytes(), after[ends - 1]
 
-    def _spelt(self, word: str, ids: list[int]) -> Iterator[int]:
+    def _spelt(self, word: str, ids: tuple[int, ...]) -> Iterator[int]:
         """``ids`` with the characters that are no pieces, which stand in the word's order, as bytes."""
-        others = (c for c in word if c not in self._id)
+        others = (c for c in word if self._single[ord(c)] > self._n)
         for i in ids:
             if i > self._n:
                 yield from (self._byte[b] for b in next(others).encode())
@@ -273,10 +283,13 @@ class PieceBpe:
             start = end
 
     def _learnt(self, words: list[str]) -> list[str]:
-        # A full cache is cleared before the new words are told from the known ones: all that these texts need is learnt together.
+        # A full cache keeps only the words of these texts, before the new ones are told from the known ones: all that these texts need is learnt together.
+        wanted = set(words)
         if len(self._cache) >= CACHE:
+            some = {w: self._cache[w] for w in wanted.intersection(self._cache)}
             self._cache.clear()
-        self.learn(set(words).difference(self._cache))
+            self._cache.update(some)
+        self.learn(wanted.difference(self._cache))
         return words
 
     def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
@@ -377,7 +390,7 @@ class PieceBpe:
         found = tuple(self._one_unknown(ids))
         if self._check:
             self._fresh.append((word, found))
-            if len(self._fresh) >= CACHE:
+            if len(self._fresh) >= FRESH:
                 self.compare()
         return found
 
@@ -468,10 +481,16 @@ def _character(raw: bytes, size: int) -> bool:
 
 
 def _coder(spark, path: str | None, check: bool = False):
-    """A function that makes the coder in a task. The model file (its size is the vocabulary's) is broadcast."""
+    """A function that gives the coder in a task. The model file (its size is the vocabulary's) is broadcast."""
     with open(path or public_tokenizers.path(MODEL), "rb") as file:
         sent = spark.sparkContext.broadcast(file.read())
-    return lambda: PieceBpe(sent.value, check)
+    return lambda: _kept(sent.value, check)
+
+
+@lru_cache(maxsize=1)
+def _kept(raw: bytes, check: bool) -> PieceBpe:
+    """The coder that this worker has for a model; a worker runs one task at a time."""
+    return PieceBpe(raw, check)
 
 
 def piece_digests(docs: DataFrame, path: str | None = None, check: bool = True) -> DataFrame:

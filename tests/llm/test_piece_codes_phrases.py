@@ -57,6 +57,24 @@ def test_a_full_cache_loses_no_word_of_the_texts_at_hand(monkeypatch, library):
     assert not alone and not coder.differs
 
 
+def test_a_full_cache_keeps_the_words_of_the_texts_at_hand(monkeypatch, library):
+    monkeypatch.setattr(piece, "CACHE", 40)
+    coder, learnt = piece.PieceBpe(RAW, check=True), []
+    learn = coder.learn
+    monkeypatch.setattr(coder, "learn", lambda words: (learnt.append(set(words)), learn(words))[1])
+    first = " ".join(f"word{i}" for i in range(50))
+    for text in (first, first + " more\nwords 日\U0001f600"):
+        ids = library.encode(text)
+        assert list(coder.coded_all([text])) == [(len(ids), ",".join(map(str, ids)), text.encode())]
+    coder.compare()
+    assert len(learnt[0]) == 50 and learnt[1] == {"▁more\nwords", "▁日\U0001f600"} and not coder.differs
+
+
+def test_a_worker_keeps_its_coder(spark):
+    make = piece._coder(spark, None, True)
+    assert make() is make()
+
+
 def test_any_ids_decode_as_in_the_library(library):
     coder, rng = piece.PieceBpe(RAW), random.Random(5)
     for _ in range(500):

@@ -8,7 +8,6 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import chain, islice, pairwise
 
 import numpy as np
@@ -481,16 +480,16 @@ def _character(raw: bytes, size: int) -> bool:
 
 
 def _coder(spark, path: str | None, check: bool = False):
-    """A function that gives the coder in a task. The model file (its size is the vocabulary's) is broadcast."""
+    """A function that gives the coder in a task. The model file (its size is the vocabulary's) is broadcast; a worker keeps its coder beside it."""
     with open(path or public_tokenizers.path(MODEL), "rb") as file:
-        sent = spark.sparkContext.broadcast(file.read())
-    return lambda: _kept(sent.value, check)
+        sent = spark.sparkContext.broadcast({"model": file.read()})
 
+    def make() -> PieceBpe:
+        if "coder" not in sent.value:
+            sent.value["coder"] = PieceBpe(sent.value["model"], check)
+        return sent.value["coder"]
 
-@lru_cache(maxsize=1)
-def _kept(raw: bytes, check: bool) -> PieceBpe:
-    """The coder that this worker has for a model; a worker runs one task at a time."""
-    return PieceBpe(raw, check)
+    return make
 
 
 def piece_digests(docs: DataFrame, path: str | None = None, check: bool = True) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import compare
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -72,7 +73,15 @@ def test_a_full_cache_keeps_the_words_of_the_texts_at_hand(monkeypatch, library)
 
 def test_a_worker_keeps_its_coder(spark):
     make = piece._coder(spark, None, True)
-    assert make() is make()
+
+    def known(batches):
+        for batch in batches:
+            coder = make()
+            yield pa.RecordBatch.from_arrays([pa.array([len(coder._cache)] * batch.num_rows, pa.int64())], names=["n"])
+            list(coder.encode_all(["some words"]))
+
+    met = [r.n for r in spark.range(0, 64, 1, 64).mapInArrow(known, "n long").collect()]
+    assert len(met) == 64 and set(met) == {0, 2}
 
 
 def test_any_ids_decode_as_in_the_library(library):

@@ -62,3 +62,12 @@ def test_sample_moves_no_language_as_a_whole(spark, docs, monkeypatch):
     by_lang = text.index("Exchange hashpartitioning(lang")
     assert "SortMergeJoin [lang" not in text and text.index("shiftrightunsigned") > by_lang
     assert text.index("partial_min") > by_lang  # drawn and summed before it
+
+
+def test_a_text_goes_to_python_once(spark, monkeypatch):
+    rows = [(1, "some plain words", "en"), (2, None, "en"), (3, "1234", None), (None, "more words", "de")]
+    docs, sent, read = spark.createDataFrame(rows, "doc_id long, text string, lang string"), [], gru._read_languages
+    monkeypatch.setattr(gru, "_read_languages", lambda rows, *rest: (sent.append(rows.columns), read(rows, *rest))[1])
+    model = gru.train([r[1] for r in rows if r[0] == 1], ["en"])
+    assert sorted(map(tuple, gru.accepted_languages(docs, model).collect()), key=str) == [(1, "some plain words", "en"), (None, "more words", "de")]
+    assert sent == [["doc"]]

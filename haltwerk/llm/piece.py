@@ -498,7 +498,7 @@ def piece_digests(docs: DataFrame, path: str | None = None, check: bool = True)
     NULL text counts as empty: no ids, digests of the empty string. NULL ids and repeated rows are rows like others; an
     empty table gives an empty result; extra columns are ignored. Returns doc_id, n_tokens, ids_sha256 (decimal ids joined
     by commas), decoded_sha256 (the decoded text in UTF-8), n_bytes (its bytes), agrees: whether the library gives the same ids for each
-    word of the text (no merge reaches over words, and a task gives a word that it has met to the library once), and the
+    word of the text (no merge reaches over words, and a worker gives a word that it has met to the library once, until it forgets it), and the
     ids decode to the text, the mark as a space; NULL without ``check``. A worker's memory is some 100 bytes for each character of the longest stretch without a
     place where no piece reaches over.
     """

@@ -54,7 +54,7 @@ from ..plans import (
     recent_message_rows,
     register_views,
 )
-from ..session import work_dir
+from ..session import together, work_dir
 from ..sinks import (
     create_if_absent,
     current_snapshot,
@@ -580,9 +580,12 @@ def sql_views(spark: SparkSession, sf: str) -> DataFrame:
     """Views registered over empty tables, which loads and two batches of the stream then fill; queried in SQL."""
     base, ev, customers = work_dir(spark, "views"), B.events(spark, sf), B.table(spark, sf, "customer")
     register_views(spark, f"{base}/stations", f"{base}/planned", f"{base}/changes", f"{base}/messages")
-    load_stations(B.stations_xml(customers), f"{base}/stations", B.OLD_FROM, min_main_stations=1)
-    load_planned(B.planned_stops(ev), f"{base}/planned")
-    _streamed(spark, sf, base)
+    together(
+        spark,
+        lambda: load_stations(B.stations_xml(customers), f"{base}/stations", B.OLD_FROM, min_main_stations=1),
+        lambda: load_planned(B.planned_stops(ev), f"{base}/planned"),
+        lambda: _streamed(spark, sf, base),
+    )
     return spark.sql(
         """
         SELECT v.EventType, count(*) AS n_events, count_if(v.IsCancelled) AS n_cancelled,
@@ -619,7 +622,8 @@ def _streamed(spark: SparkSession, sf: str, base: str | None = None) -> str:
     """Two arrivals of files, each followed by one run of the stream."""
     base, ev = base or work_dir(spark, "stream"), B.events(spark, sf)
     for part in (B.first_batch(ev), B.second_batch(ev)):
-        B.changed_stops_json(part).write.mode("append").json(f"{base}/landing")
+        # Dealt out while rows are small: events lie in order of time, so a batch is in few row groups, however many cores there are.
+        B.changed_stops_json(part.repartition("event_id", "user_id", "ts")).write.mode("append").json(f"{base}/landing")
         scd2_stream(
             ingest_stream(spark, f"{base}/landing", archive=f"{base}/archive"),
             f"{base}/changes",

@@ -6,8 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from functools import cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -53,3 +56,14 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused, so nothing is overwritten."""
     return f"{shared_dir(spark)}/haltwerk-{label}-{uuid.uuid4().hex}"
+
+
+def together(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """What independent steps return. Their jobs share the cluster: one fills the cores that the last tasks of another leave idle.
+
+    All have ended when this returns or raises what the first that failed has raised.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        wait(running)
+    return [r.result() for r in running]

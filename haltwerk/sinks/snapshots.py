@@ -145,11 +145,12 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType, days: Sequence
 
 def _write_batch(rows: DataFrame, path: str, batch: str, began: int, late: str | None = None) -> None:
     order = F.lit(began) if late is None else F.when(F.col(late), F.lit(0)).otherwise(F.lit(began))
-    rows = rows.withColumns({_ORDER: order.cast("long"), "batch": F.lit(batch)})
-    rows = rows.drop(late) if late else rows
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         # Right-sized files: small parts share a task, a big part is split into many.
         rows = rows.hint("rebalance", "part")
+    # Added after the shuffle, which then does not carry the batch's name with every row.
+    rows = rows.withColumns({_ORDER: order.cast("long"), "batch": F.lit(batch)})
+    rows = rows.drop(late) if late else rows
     # Dynamic: only the batch's own folders are replaced, whatever the session's overwrite mode is.
     rows.write.partitionBy("part", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(f"{path}/data")
     _mark_done(rows.sparkSession, path, batch)

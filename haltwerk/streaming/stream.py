@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import batch_profile
 from ..plans.loads import load_recent_changes, load_recent_messages
 from ..schemas import CHANGED_JSON
+from ..session import together
 
 
 def ingest_stream(
@@ -54,7 +55,7 @@ def scd2_stream(
 ) -> StreamingQuery:
     """Flag upsert of both facts per micro-batch.
 
-    Each batch is committed to each table under the stream's ``name`` (default: the
+    The two facts are loaded side by side. Each batch is committed to each table under the stream's ``name`` (default: the
     checkpoint) and its number; a batch that is replayed after a failure skips the table
     that already has it. Give a new checkpoint a new name. Files may arrive late, so read these
     histories with ``guard_late``, or take ``late_safe_stream``.
@@ -62,13 +63,17 @@ def scd2_stream(
     name = name or checkpoint
 
     def upsert(batch: DataFrame, number: int) -> None:
-        if batch.isEmpty():
-            return
         label = f"{name}#{number}"
         batch.persist()
         try:
-            load_recent_changes(batch, changes_path, label)
-            load_recent_messages(batch, messages_path, label)
+            # Reads and parses the batch; both loads then take it from memory.
+            if batch.isEmpty():
+                return
+            together(
+                batch.sparkSession,
+                lambda: load_recent_changes(batch, changes_path, label),
+                lambda: load_recent_messages(batch, messages_path, label),
+            )
         finally:
             batch.unpersist()
 

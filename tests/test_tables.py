@@ -3,12 +3,14 @@ from __future__ import annotations
 from datetime import date, datetime
 from json import dumps
 from random import Random
+from threading import Barrier, Event
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from haltwerk import schemas as S
+from haltwerk.harness import queries
 from haltwerk.operators import batch_profile, find_event, open_main_stations, require_nonempty
 from haltwerk.plans import delay_fact, kpi_ontime, load_full, load_recent_changes, load_stations, recent_change_rows, register_views
 from haltwerk.sinks import (
@@ -21,8 +23,9 @@ from haltwerk.sinks import (
     read_whole,
     upsert_history,
 )
+from haltwerk.session import together
 from haltwerk.sources import archive_raw, read_records_json, read_records_xml, split_rejects, write_records_json
-from haltwerk.streaming import ingest_stream, scd2_stream
+from haltwerk.streaming import ingest_stream, scd2_stream, stream
 
 FACT = "EventId string, EventType string, IsUnplannedEvent boolean, SnapshotTimestamp timestamp, v int, IsActive boolean"
 
@@ -253,6 +256,61 @@ def test_stream_late_file_does_not_win(spark, tmp_path, rows):
     assert got == [(2407110541, False), (2407110600, True)]
 
 
+def test_a_batch_loads_both_facts_side_by_side(spark, tmp_path, monkeypatch):
+    both = Barrier(2)
+    for load in ("load_recent_changes", "load_recent_messages"):
+        monkeypatch.setattr(stream, load, lambda *args, f=getattr(stream, load): (both.wait(60), f(*args)))
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "a.jsonl").write_text(dumps(json_stop(A, 6)))
+    run_stream(spark, tmp_path)
+    assert read_history(spark, str(tmp_path / "changes"), S.FACT_CHANGED, S.CHANGED_KEY).count() == 1
+
+
+def test_a_fact_that_fails_leaves_the_other_whole(spark, tmp_path, rows, monkeypatch):
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "a.jsonl").write_text(dumps(json_stop(A, 6)))
+
+    def fails(*_):
+        raise ValueError("no changes today")
+
+    with monkeypatch.context() as m:
+        m.setattr(stream, "load_recent_changes", fails)
+        with pytest.raises(StreamingQueryException):
+            run_stream(spark, tmp_path)
+    tables = (("changes", S.FACT_CHANGED, S.CHANGED_KEY), ("messages", S.FACT_MESSAGES, S.MESSAGE_KEY))
+    count = lambda: [read_history(spark, str(tmp_path / t), schema, key).count() for t, schema, key in tables]
+    assert count() == [0, 1]
+    run_stream(spark, tmp_path)  # the batch again: messages are there already
+    assert count() == [1, 1]
+
+
+def test_together_ends_all_steps_before_it_raises(spark):
+    seen, failed = [], Event()
+
+    def fails():
+        failed.set()
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        together(spark, fails, lambda: seen.append((failed.wait(60), spark.range(5).count())))
+    assert seen == [(True, 5)]
+    assert together(spark, lambda: 1, lambda: 2) == [1, 2]
+
+
+def test_batches_in_few_row_groups_are_dealt_out(spark, tmp_path):
+    events = spark.range(0, 80, 1, 1).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-18 00:00:00' + make_dt_interval(0, id) AS ts", "id % 7 AS user_id", "'click' AS event_type", "1.0D AS value"
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        base = queries._streamed(spark, str(tmp_path), f"{tmp_path}/s")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [f for place in ("landing", "archive") for f in (tmp_path / "s" / place).rglob("part-*.json")]
+    assert len(files) > 8 and read_history(spark, f"{base}/changes", S.FACT_CHANGED, S.CHANGED_KEY).count() > 0
+
+
 def test_views_follow_their_tables(spark, tmp_path, rows):
     paths = [f"{tmp_path}/{n}" for n in ("stations", "planned", "changes", "messages")]
     register_views(spark, *paths)
